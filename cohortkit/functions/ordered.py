@@ -60,10 +60,10 @@ def bucket_splits(df: DataFrame, col: str, n: int, rel_err: float = 1e-3) -> lis
     """``n`` roughly equal-count buckets of a double column: split points
     from Spark's mergeable quantile sketch (bounded memory, one pass)."""
     if n <= 1:
-        return [float("-inf"), float("inf")]
+        return [float("-inf"), 0.0, float("inf")]
     qs = df.approxQuantile(col, [i / n for i in range(1, n)], rel_err)
     inner = sorted(set(q for q in qs if q is not None and q == q and abs(q) != float("inf")))
-    return [float("-inf"), *inner, float("inf")]
+    return [float("-inf"), *(inner or [0.0]), float("inf")]
 
 
 def bucketize(df: DataFrame, col: str, splits: list[float], out: str) -> DataFrame:

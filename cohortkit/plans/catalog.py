@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from cohortkit.functions import temporal as tm
 from cohortkit.functions.ordered import average_rank, quantiles
-from cohortkit.operators import clean, evaluate as ev, features as fe, joins, lab, scale, select as sel, stats
+from cohortkit.operators import clean, evaluate as ev, features as fe, interpret as xp, joins, lab, ml, scale, select as sel, stats
 from cohortkit.sources.tables import Tables
 
 # Unique order of lab events within an admission (line numbers repeat).
@@ -1238,3 +1238,141 @@ def queries() -> dict:
 
 def oracle_sql() -> dict:
     return {k: v[1] for k, v in _registry().items() if v[1]}
+
+
+# --- M / X: models and explanations (rows-only: seeded, no SQL oracle) -------------------
+
+ADM_FEATURES = ["o_totalprice", "c_acctbal", "n_lines", "qty_mean", "price_mean", "disc_mean", "share_f", "los_mean"]
+
+
+def admission_table(t: Tables) -> DataFrame:
+    """Training table: one row per admission, lab aggregates as features,
+    label = final status (o_orderstatus = 'F')."""
+    w = wide(t)
+    g = w.groupBy("o_orderkey", "o_totalprice", "c_acctbal", "o_orderstatus").agg(
+        F.count("l_orderkey").cast("double").alias("n_lines"), F.avg("l_quantity").alias("qty_mean"),
+        F.avg("l_extendedprice").alias("price_mean"), F.avg("l_discount").alias("disc_mean"),
+        F.avg((F.col("l_linestatus") == "F").cast("double")).alias("share_f"),
+        F.avg(tm.days_between("o_orderdate", "l_shipdate")).alias("los_mean"))
+    return g.select(F.col("o_orderkey").alias("id"), *ADM_FEATURES, is_final().alias("label")).na.drop()
+
+
+def embedding_table(t: Tables) -> DataFrame:
+    e = t.embeddings
+    return ml.array_features(e, "embedding", 64).drop("embedding")
+
+
+_MODEL_CACHE: dict = {}
+
+
+def _trained(spark, d, name="random_forest"):
+    k = (id(spark), d, name)
+    if k not in _MODEL_CACHE:
+        data = admission_table(Tables(spark, d))
+        model, scored_, metrics = ml.train_model(data, ADM_FEATURES, name, "label", ["id"], seed=42,
+                                                 **({"numTrees": 30, "maxDepth": 6} if name == "random_forest" else {}))
+        _MODEL_CACHE[k] = (model, data)
+    return _MODEL_CACHE[k]
+
+
+def q_M01(spark, d):
+    var, n95, proj = ml.pca_analysis(embedding_table(Tables(spark, d)), [f"x{i}" for i in range(64)])
+    return r6(var.withColumn("n_components_95", F.lit(n95)))
+
+
+def q_M02(spark, d):
+    summary, assigned, clusters = ml.kmeans_analysis(embedding_table(Tables(spark, d)),
+                                                     [f"x{i}" for i in range(64)], k=10, seed=42)
+    return r6(clusters)
+
+
+def q_M05(spark, d):
+    data = admission_table(Tables(spark, d))
+    bal = ml.smote(data, ADM_FEATURES, "label", ["id"], k=5, seed=42, bucket_length=2.0, max_distance=4.0)
+    return bal.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_M06(spark, d):
+    data = ml.assemble(admission_table(Tables(spark, d)), ADM_FEATURES)
+    best, scores = ml.tune(data, "logistic", "features", "label", ["id"], n_trials=3, folds=3, seed=42)
+    return r6(spark.createDataFrame([(i, float(s)) for i, s in enumerate(scores)], "trial int, cv_roc_auc double"))
+
+
+def q_M08(spark, d):
+    data = admission_table(Tables(spark, d))
+    bases, meta, oof = ml.stacking(data, ADM_FEATURES, ("logistic", "random_forest"), "label", ["id"], folds=3)
+    return r6(oof)
+
+
+def q_M09(spark, d):
+    data = admission_table(Tables(spark, d))
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml import Pipeline
+    z = scale.standard_scale(data, ADM_FEATURES)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=ADM_FEATURES, outputCol="features"),
+                            ml.mlp(len(ADM_FEATURES), hidden=(16, 8), maxIter=50)])
+    m = pipe.fit(z)
+    return r6(ev.evaluate(ml.score(m, z)))
+
+
+def q_M10(spark, d):
+    data = admission_table(Tables(spark, d))
+    metrics, best, fitted = ml.train_and_evaluate(data, ADM_FEATURES, "label", ["id"], ("logistic", "random_forest"))
+    return r6(metrics.drop("train_seconds").withColumn("best", F.col("model") == F.lit(best)))
+
+
+def q_M11(spark, d):
+    model, data = _trained(spark, d)
+    return r6(ml.score(model, data).select("id", "label", "prediction", "score"))
+
+
+def q_X01(spark, d):
+    model, data = _trained(spark, d)
+    return r6(xp.builtin_importances(model, ADM_FEATURES, spark))
+
+
+def q_X02(spark, d):
+    model, data = _trained(spark, d)
+    return r6(xp.permutation_importance(model, data, ADM_FEATURES, "label", ["id"], repeats=3, seed=42))
+
+
+def q_X03(spark, d):
+    lr, data = _trained(spark, d, "logistic")
+    attr = xp.linear_attributions(lr, data, ADM_FEATURES, ["id"])
+    return r6(xp.explanation_stability(attr, ["id"], replicates=20, seed=42))
+
+
+def q_X04(spark, d):
+    lr, data = _trained(spark, d, "logistic")
+    return r6(xp.attribution_summary(xp.linear_attributions(lr, data, ADM_FEATURES, ["id"])))
+
+
+def q_X05(spark, d):
+    model, data = _trained(spark, d)
+    return r6(xp.partial_dependence(model, data, ["share_f", "qty_mean"], resolution=10))
+
+
+def q_X06(spark, d):
+    model, data = _trained(spark, d)
+    inst = sel.sample_n(data, 5, ["id"], seed=1)
+    return r6(xp.lime_weights(model, data, inst, ADM_FEATURES, ["id"], samples=100, seed=42))
+
+
+def q_X07(spark, d):
+    model, data = _trained(spark, d)
+    inst = sel.sample_n(data, 1, ["id"], seed=1).first().asDict()
+    return r6(xp.anchors(model, data, inst, ADM_FEATURES, bins=4))
+
+
+def q_X08(spark, d):
+    model, data = _trained(spark, d)
+    inst = sel.sample_n(data, 20, ["id"], seed=1)
+    return r6(xp.counterfactuals(model, data, inst, ADM_FEATURES, ["id"], bucket_length=1.0, max_distance=3.0))
+
+
+def q_X09(spark, d):
+    model, data = _trained(spark, d)
+    a = xp.builtin_importances(model, ADM_FEATURES, spark)
+    b = xp.permutation_importance(model, data, ADM_FEATURES, "label", ["id"], repeats=2, seed=42).select(
+        "feature", F.col("importance_mean").alias("importance"))
+    return r6(xp.compare_explanations(a, b))
