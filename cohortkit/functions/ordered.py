@@ -148,17 +148,41 @@ def melt(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: dict[str, float],
-              by: Sequence[str] = (), accuracy: int = 10000, max_candidates: int = 100_000,
+              by: Sequence[str] = (), accuracy: int = 10000, max_candidates: int = 1_000_000,
               max_rounds: int = 6) -> DataFrame:
     """Exact quantiles (linear interpolation, as ``quantile_cont``).
 
     Returns ``(by..., column, <name> for each prob)``; one row per group
     and column that has at least one non-null value.
+
+    Groups of at most ``max_candidates`` values use Spark's exact
+    ``percentile`` (its buffer is then bounded by that constant).  Larger
+    ("hot") groups -- or a whole column -- go through iterative selection,
+    whose memory per group is bounded by ``max_candidates`` whatever the
+    group size.
     """
     by = list(by)
     keys = by + ["column"]
     names = list(probs)
     long = melt(df, cols, by)
+    sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ck_n"))
+    hot = sizes.where(F.col("_ck_n") > max_candidates).select(*keys)
+    if hot.isEmpty():
+        return _small_groups_exact(long, keys, probs)
+    normal = long.join(hot, keys, "left_anti")
+    heavy = long.join(hot, keys, "left_semi")
+    return _small_groups_exact(normal, keys, probs).unionByName(
+        _selection(heavy, keys, names, probs, by, accuracy, max_candidates, max_rounds))
+
+
+def _small_groups_exact(long: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    names = list(probs)
+    g = long.groupBy(*keys).agg(
+        F.percentile("value", [float(probs[n]) for n in names]).alias("_ck_q"))
+    return g.select(*keys, *[F.col("_ck_q")[i].alias(n) for i, n in enumerate(names)])
+
+
+def _selection(long, keys, names, probs, by, accuracy, max_candidates, max_rounds):
     eps = 1.0 / accuracy
     targets = [(i, float(probs[nm])) for i, nm in enumerate(names)]
 

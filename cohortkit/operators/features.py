@@ -58,9 +58,11 @@ def tfidf_features(df: DataFrame, key: str, text: str, max_features: int = 100,
     the sorted vocabulary), raw counts × smoothed idf, L2-normalised per
     row.  Rows without vocabulary terms get zeros.
 
-    Work: one tokenize + partial-aggregated term count, one vocabulary
-    aggregate (top-k), one pivot of ≤ ``max_features`` columns per
-    document, joined back on ``key``.
+    Work: a tokenize + partial-aggregated term count feeds a vocabulary
+    aggregate (top-k, ≤ ``max_features`` rows to the driver); the weights
+    of each document are then collected into one map of at most
+    ``max_features`` entries and spread into columns, joined back on
+    ``key``.
     """
     prefix = prefix or f"{text}_tfidf"
     tf = term_counts(df, key, text, stop_words)
@@ -69,12 +71,13 @@ def tfidf_features(df: DataFrame, key: str, text: str, max_features: int = 100,
     names = [f"{prefix}_{i}" for i in range(len(vocab))]
     if not vocab:
         return df
+    idx = F.create_map(*[x for i, (t, _) in enumerate(vocab) for x in (F.lit(t), F.lit(i))])
     idf = F.create_map(*[x for t, w in vocab for x in (F.lit(t), F.lit(w))])
-    terms = [t for t, _ in vocab]
-    w = tf.where(F.col("term").isin(terms)).select(key, "term", (F.col("tf") * idf[F.col("term")]).alias("w"))
-    wide = w.groupBy(key).agg(*[F.sum(F.when(F.col("term") == t, F.col("w"))).alias(nm)
-                               for t, nm in zip(terms, names)])
-    norm = F.sqrt(sum((F.coalesce(F.col(nm), F.lit(0.0)) ** 2 for nm in names), F.lit(0.0)))
-    wide = wide.select(key, *[(F.coalesce(F.col(nm), F.lit(0.0)) / norm).alias(nm) for nm in names])
+    w = tf.select(key, idx[F.col("term")].alias("i"), (F.col("tf") * idf[F.col("term")]).alias("w")).where(
+        F.col("i").isNotNull())
+    per_doc = w.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("i", "w"))).alias("_ck_m"),
+                                 F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_ck_norm"))
+    wide = per_doc.select(key, *[(F.coalesce(F.col("_ck_m")[i], F.lit(0.0)) / F.col("_ck_norm")).alias(nm)
+                                 for i, nm in enumerate(names)])
     j = df.join(wide, key, "left")
     return j.select(*df.columns, *[F.coalesce(F.col(nm), F.lit(0.0)).alias(nm) for nm in names])

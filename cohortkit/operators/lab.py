@@ -14,33 +14,74 @@ from cohortkit.functions.ordered import bucket_splits, bucketize, order_number,
 STAT_SUFFIXES = ["mean", "std", "min", "max", "median", "range", "iqr"]
 
 
-def group_stats(df: DataFrame, key: Sequence[str] | str, cols: Sequence[str]) -> DataFrame:
+HOT_ROWS = 1_000_000
+
+
+def find_hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS, order: str | None = None) -> list:
+    """Keys holding more than ``hot_rows`` rows, with their row count and,
+    when ``order`` is given, the min/max of its order number.  At most
+    N / hot_rows keys can qualify, so the list is bounded."""
+    aggs = [F.count(F.lit(1)).alias("_ck_n")]
+    if order:
+        on = order_number(df, order)
+        aggs += [F.min(on).alias("_ck_lo"), F.max(on).alias("_ck_hi")]
+    hot = df.groupBy(*key).agg(*aggs).where(F.col("_ck_n") > hot_rows).limit(100_001).collect()
+    if len(hot) > 100_000:
+        raise ValueError("more than 100000 hot keys: raise hot_rows")
+    return hot
+
+
+def _hot_frame(df: DataFrame, key: Sequence[str], hot: list) -> DataFrame:
+    return df.sparkSession.createDataFrame([tuple(r[k] for k in key) for r in hot],
+                                           T.StructType([df.schema[k] for k in key]))
+
+
+def group_stats(df: DataFrame, key: Sequence[str] | str, cols: Sequence[str], hot: list | None = None,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per key and column mean, sample std, min, max, exact median,
     range and IQR (q75 − q25, linear interpolation).
 
-    Moments use Spark's partial/final aggregation (map-side combine, so a
-    hot key costs nothing extra); quantiles use the bounded-memory selection
-    helper instead of ``percentile``, which would hold a hot key's distinct
-    values in one task.
+    Ordinary keys: one aggregation computes everything (exact
+    ``percentile`` on a group of at most ``hot_rows`` values).  Hot keys
+    (``find_hot_keys``): moments by partial aggregation, quantiles by the
+    bounded-memory selection helper, never a whole hot key in one buffer.
     """
     key = [key] if isinstance(key, str) else list(key)
     cols = list(cols)
-    moments = df.groupBy(*key).agg(*[e for c in cols for e in (
-        F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"),
-        F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))])
-    q = quantiles(df, cols, {"q25": 0.25, "median": 0.5, "q75": 0.75}, by=key)
-    qw = q.groupBy(*key).agg(*[e for c in cols for e in (
-        F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"{c}_median"),
-        F.max(F.when(F.col("column") == c, F.col("q75") - F.col("q25"))).alias(f"{c}_iqr"))])
-    j = moments.join(qw, key, "left")
-    return j.select(*key, *[e for c in cols for e in (
-        F.col(f"{c}_mean"), F.col(f"{c}_std"), F.col(f"{c}_min"), F.col(f"{c}_max"),
-        F.col(f"{c}_median"), (F.col(f"{c}_max") - F.col(f"{c}_min")).alias(f"{c}_range"),
-        F.col(f"{c}_iqr"))])
+    hot = find_hot_keys(df, key, hot_rows) if hot is None else hot
+
+    def stats_of(frame, with_quantiles=True):
+        aggs = []
+        for c in cols:
+            aggs += [F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"),
+                     F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+            if with_quantiles:
+                aggs.append(F.percentile(F.col(c).cast("double"), [0.25, 0.5, 0.75]).alias(f"{c}_q"))
+        return frame.groupBy(*key).agg(*aggs)
+
+    def shape(frame, qexpr):
+        return frame.select(*key, *[e for c in cols for e in (
+            F.col(f"{c}_mean"), F.col(f"{c}_std"), F.col(f"{c}_min"), F.col(f"{c}_max"),
+            qexpr(c, 1).alias(f"{c}_median"), (F.col(f"{c}_max") - F.col(f"{c}_min")).alias(f"{c}_range"),
+            (qexpr(c, 2) - qexpr(c, 0)).alias(f"{c}_iqr"))])
+
+    def from_array(c, i):
+        return F.col(f"{c}_q")[i]
+
+    if not hot:
+        return shape(stats_of(df), from_array)
+    hot_df = F.broadcast(_hot_frame(df, key, hot))
+    normal = shape(stats_of(df.join(hot_df, key, "left_anti")), from_array)
+    heavy = df.join(hot_df, key, "left_semi")
+    q = quantiles(heavy, cols, {"q25": 0.25, "median": 0.5, "q75": 0.75}, by=key, max_candidates=hot_rows)
+    qw = q.groupBy(*key).agg(*[F.array(*[F.max(F.when(F.col("column") == c, F.col(n))) for n in ("q25", "median", "q75")])
+                               .alias(f"{c}_q") for c in cols])
+    heavy_stats = shape(stats_of(heavy, False).join(qw, key, "left"), from_array)
+    return normal.unionByName(heavy_stats)
 
 
 def trend(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], cols: Sequence[str],
-          hot_rows: int = 2_000_000, num_partitions: int | None = None) -> DataFrame:
+          hot_rows: int = HOT_ROWS, num_partitions: int | None = None, hot: list | None = None) -> DataFrame:
     """``{col}_trend`` = value minus the previous value of the same
     key along ``order`` (unique within a key), and ``{col}_trend_sign``.
 
@@ -57,13 +98,10 @@ def trend(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], cols: S
     order = list(order)
     cols = list(cols)
     on = order_number(df, order[0])
-    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_ck_n"), F.min(on).alias("_ck_lo"),
-                                 F.max(on).alias("_ck_hi"))
-    hot = sizes.where(F.col("_ck_n") > hot_rows).limit(100_001).collect()
+    if hot is None or (hot and "_ck_lo" not in hot[0].asDict()):
+        hot = find_hot_keys(df, key, hot_rows, order[0]) if (hot is None or hot) else hot
     if not hot:
         return _lag_by_window(df, key, order, cols)
-    if len(hot) > 100_000:
-        raise ValueError("more than 100000 hot keys: raise hot_rows")
     spark = df.sparkSession
     hot_df = spark.createDataFrame(
         [(*[r[k] for k in key], i, float(r["_ck_lo"]), float(r["_ck_hi"])) for i, r in enumerate(hot)],
@@ -122,8 +160,9 @@ def lab_features(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
     key_l = [key] if isinstance(key, str) else list(key)
     cols = list(cols) if cols is not None else [
         c for c in select_by_substring(df, "lab_") if not c.endswith(("_lower", "_upper"))]
-    stats = group_stats(df, key_l, cols)
-    out = trend(df, key_l, order, cols)
+    hot = find_hot_keys(df, key_l, HOT_ROWS, order[0])
+    stats = group_stats(df, key_l, cols, hot=hot)
+    out = trend(df, key_l, order, cols, hot=hot)
     out = out.join(stats, key_l, "left")
     out = bound_flags(out, cols)
     return out
