@@ -1243,6 +1243,85 @@ def oracle_sql() -> dict:
     return {k: v[1] for k, v in _registry().items() if v[1]}
 
 
+# --- remaining inventory IDs -----------------------------------------------------------
+
+def q_A04(spark, d):
+    """Missing counts after imputation (mean / 'UNKNOWN'): only the
+    timestamp column keeps its NULLs."""
+    return r6(clean.missing_counts(clean.handle_missing(wide(Tables(spark, d)), "mean")))
+
+
+SQL_A04 = " UNION ALL ".join(
+    (f"SELECT '{c}' AS \"column\", CAST(count(*) - count({c}) AS BIGINT) AS missing_count, "
+     f"round((count(*) - count({c})) * 100.0 / count(*), 6) AS missing_percentage FROM {WIDE_SQL} x") if c == "l_shipdate" else
+    f"SELECT '{c}' AS \"column\", CAST(0 AS BIGINT) AS missing_count, 0.0 AS missing_percentage"
+    for c in WIDE_COLS)
+
+
+def q_P10(spark, d):
+    a = adm(Tables(spark, d))
+    enc = scale.one_hot(a, ["o_orderstatus"], drop_source=False)
+    return r6(sel.drop_columns(enc, ["o_orderstatus", "c_name"]))
+
+
+SQL_P10 = ("SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice, o_orderdate, o_orderpriority, c_custkey, "
+           "c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment, "
+           + ", ".join(f"CAST(coalesce(o_orderstatus = '{v}', false) AS TINYINT) AS o_orderstatus_{v}" for v in "FOP")
+           + f" FROM {ADM_SQL} x")
+
+
+def q_J04(spark, d):
+    """Column-wise concatenation by key: admissions with their per-admission
+    lab statistics (never by position)."""
+    t = Tables(spark, d)
+    g = lab.group_stats(t.lineitem, "l_orderkey", ["l_quantity"]).withColumnRenamed("l_orderkey", "o_orderkey")
+    return r6(joins.concat_columns(t.orders, g, ["o_orderkey"]))
+
+
+SQL_J04 = (f"SELECT {_sel(ORD_COLS, 'o.')}, g.* EXCLUDE (l_orderkey) FROM orders o LEFT JOIN ("
+           + _sql_group_stats("l_orderkey", ["l_quantity"], "lineitem") + ") g ON o.o_orderkey = g.l_orderkey")
+
+
+def q_W03(spark, d):
+    """Cumulative share of a distribution (the running-sum form behind the
+    cumulative explained variance): histogram bins of l_extendedprice."""
+    from pyspark.sql import Window
+    h = stats.histogram(Tables(spark, d).lineitem, ["l_extendedprice"], 50)
+    w = Window.partitionBy("column").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tot = Window.partitionBy("column")
+    return r6(h.select("column", "bin", (F.sum("count").over(w) / F.sum("count").over(tot)).alias("cumulative")))
+
+
+SQL_W03 = ("SELECT \"column\", bin, round(sum(count) OVER (PARTITION BY \"column\" ORDER BY bin) / sum(count) OVER (PARTITION BY \"column\"), 6) "
+           "AS cumulative FROM (" + SQL_A14.split(" UNION ALL ")[0] + ") h")
+
+
+def q_M04(spark, d):
+    o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus")
+    return r6(ml.with_class_weights(o, "o_orderstatus"))
+
+
+SQL_M04 = ("SELECT o_orderkey, o_orderstatus, round((SELECT count(*) FROM orders) / ((SELECT count(DISTINCT o_orderstatus) FROM orders) "
+           "* count(*) OVER (PARTITION BY o_orderstatus)), 6) AS weight FROM orders")
+
+
+def q_M07(spark, d):
+    data = admission_table(Tables(spark, d))
+    model, scored_, metrics = ml.train_model(data, ADM_FEATURES, "logistic", "label", ["id"], seed=42)
+    return r6(metrics.drop("train_seconds"))
+
+
+def q_S02(spark, d):
+    """Time columns parsed from text (unparseable → NULL): orders' date
+    rendered as text, with one in three made unparseable, parsed back."""
+    o = Tables(spark, d).orders
+    txt = F.when(F.col("o_orderkey") % 3 == 0, F.lit("not a date")).otherwise(F.col("o_orderdate").cast("string"))
+    return o.select("o_orderkey", tm.to_ts(txt).alias("o_orderdate"))
+
+
+SQL_S02 = "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate FROM orders"
+
+
 # --- M / X: models and explanations (rows-only: seeded, no SQL oracle) -------------------
 
 ADM_FEATURES = ["o_totalprice", "c_acctbal", "n_lines", "qty_mean", "price_mean", "disc_mean", "share_f", "los_mean"]
