@@ -25,12 +25,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
 
 def merge(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str] | None = None,
           how: str = "left", suffixes: tuple[str, str] = ("_x", "_y"), null_safe: bool = False,
-          broadcast_rows: int | None = None) -> DataFrame:
+          broadcast_rows: int | None = None, skewed_right: bool = False) -> DataFrame:
     """Equi-join that keeps one copy of each key and suffixes other
     overlapping column names, as ``pandas.merge`` does.
 
     ``null_safe`` matches NULL keys with each other (pandas behaviour);
     the default is SQL semantics.
+
+    ``skewed_right`` (left joins whose right side may hold a hot key, e.g.
+    admissions ⟕ lab events): AQE can split skewed partitions only on the
+    outer side of a left join, so the join is run as an inner join (both
+    sides splittable) plus the unmatched left rows from an anti join
+    against the right side's distinct keys.
     """
     left_on = list(left_on)
     right_on = list(right_on or left_on)
@@ -47,8 +53,23 @@ def merge(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: S
     cond = conds[0]
     for c in conds[1:]:
         cond = cond & c
-    j = l2.join(r2, cond, how)
     same = [a for a, b in zip(left_on, right_on) if a == b]
+    if skewed_right and how in ("left", "left_outer") and not null_safe:
+        inner = _project(l2.join(r2, cond, "inner"), l2, r2, same, "inner")
+        rkeys = r2.select(*[F.col(b).alias(f"_ck_rk{i}") for i, b in enumerate(right_on)]).distinct()
+        acond = None
+        for i, a in enumerate(left_on):
+            c = F.col(f"_l.{a}") == F.col(f"_ck_rk{i}")
+            acond = c if acond is None else acond & c
+        unmatched = l2.join(rkeys, acond, "left_anti")
+        rtypes = dict(r2.dtypes)
+        pad = [F.lit(None).cast(rtypes[c]).alias(c) for c in r2.columns if c not in same]
+        return inner.unionByName(unmatched.select(*[F.col(f"_l.{c}") for c in l2.columns], *pad))
+    j = l2.join(r2, cond, how)
+    return _project(j, l2, r2, same, how)
+
+
+def _project(j, l2, r2, same, how):
     out = []
     for c in l2.columns:
         if c in same and how in ("right", "right_outer"):

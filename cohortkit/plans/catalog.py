@@ -42,7 +42,7 @@ def adm(t: Tables) -> DataFrame:
 
 def wide(t: Tables) -> DataFrame:
     """(admissions ⟕ patients) ⟕ lab events."""
-    return joins.merge(adm(t), t.lineitem, ["o_orderkey"], ["l_orderkey"], "left")
+    return joins.merge(adm(t), t.lineitem, ["o_orderkey"], ["l_orderkey"], "left", skewed_right=True)
 
 
 def scored(t: Tables) -> DataFrame:

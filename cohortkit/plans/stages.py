@@ -39,7 +39,7 @@ def preprocess(admissions: DataFrame, patients: DataFrame, labs: DataFrame, subj
     t0 = time.time()
     m = joins.merge(admissions, patients, [subject], how="left")
     keys = [k for k in (subject, admission) if k in labs.columns]
-    m = joins.merge(m, labs, keys, how="left")
+    m = joins.merge(m, labs, keys, how="left", skewed_right=True)
     out = clean.clean_data(m, keys=[subject, admission])
     metrics = {"rows": out.count(), "columns": len(out.columns), "seconds": time.time() - t0}
     return out, metrics
