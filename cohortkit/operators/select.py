@@ -186,11 +186,22 @@ def sample_fraction(df: DataFrame, fraction: float, key: Sequence[str], seed: in
     return df.where(hash_uniform(key, seed) < fraction)
 
 
+def md5_uniform(cols: Sequence, seed: int) -> Column:
+    """U[0,1) from the first 52 bits of MD5(``seed|c1|c2…``): reproducible
+    in any engine that has ``md5``."""
+    txt = F.concat_ws("|", F.lit(str(seed)), *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(txt), 1, 13), 16, 10).cast("long").cast("double") / float(1 << 52)
+
+
+def poisson1_cdf(kmax: int = 16) -> list[float]:
+    import math
+    return [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(kmax)]
+
+
 def _poisson1(u: Column, kmax: int = 16) -> Column:
     """Inverse CDF of Poisson(1) on a uniform ``u``."""
-    import math
     expr = F.lit(kmax)
-    cdf = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(kmax)]
+    cdf = poisson1_cdf(kmax)
     for k in reversed(range(kmax)):
         expr = F.when(u < cdf[k], F.lit(k)).otherwise(expr)
     return expr
@@ -203,8 +214,7 @@ def bootstrap(df: DataFrame, replicates: int, key: Sequence[str], seed: int = 42
     no global coordination."""
     reps = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate")
     e = df.select("*", reps)
-    u = (F.pmod(F.xxhash64(F.lit(seed), F.col("replicate"), *[F.col(k) for k in key]), F.lit(1 << 53))
-         .cast("double") / float(1 << 53))
+    u = md5_uniform(["replicate", *key], seed)
     return e.withColumn("weight", _poisson1(u)).where(F.col("weight") > 0)
 
 

@@ -944,10 +944,23 @@ SQL_O05 = (f"SELECT {EV_SEL} FROM events ORDER BY md5(concat_ws('|', '7', CAST(e
 
 def q_O06(spark, d):
     b = sel.bootstrap(Tables(spark, d).orders.select("o_orderkey", "o_totalprice"), 20, ["o_orderkey"], seed=42)
-    return r6(b.groupBy("replicate").agg(F.sum("weight").alias("n"),
+    return r6(b.groupBy("replicate").agg(F.sum("weight").cast("int").alias("n"),
                                          (F.sum(F.col("weight") * F.col("o_totalprice")) / F.sum("weight")).alias("mean_price")))
 
 
+def _sql_poisson(u):
+    cdf = sel.poisson1_cdf(16)
+    return "CASE " + " ".join(f"WHEN {u} < {c!r} THEN {k}" for k, c in enumerate(cdf)) + " ELSE 16 END"
+
+
+_U_SQL = "CAST(('0x' || substr(md5(concat_ws('|', '42', CAST(r AS VARCHAR), CAST(o_orderkey AS VARCHAR))), 1, 13)) AS BIGINT) / 4503599627370496.0"
+SQL_O06 = f"""
+SELECT r AS replicate, CAST(sum(w) AS INTEGER) AS n, round(sum(w * o_totalprice) / sum(w), 6) AS mean_price
+FROM (SELECT r, o_orderkey, o_totalprice, {_sql_poisson(_U_SQL)} AS w
+      FROM orders, (SELECT unnest(range(20)) AS r) g) b WHERE w > 0 GROUP BY r
+"""
+
+
 def q_O07(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus")
     return sel.stratified_split(o, "o_orderstatus", ["o_orderkey"], 0.8, seed=42)
