@@ -63,7 +63,7 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> Data
     dropped) plus the origin at threshold +inf."""
     s = score_table(df, label, score)
     pts = s.select(F.col("threshold").cast("double").alias("threshold"),
-                   (F.col("fp") / F.col("N")).alias("fpr"), (F.col("tp") / F.col("P")).alias("tpr"))
+                   F.try_divide(F.col("fp"), F.col("N")).alias("fpr"), F.try_divide(F.col("tp"), F.col("P")).alias("tpr"))
     origin = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return pts.unionByName(origin)
 
@@ -73,7 +73,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
     distinct score, equal to the rank-sum statistic)."""
     s = score_table(df, label, score)
     term = F.col("neg") * (F.col("tp0") + 0.5 * F.col("pos"))
-    return s.agg((F.sum(term) / (F.first("P") * F.first("N"))).alias("roc_auc"))
+    return s.agg(F.try_divide(F.sum(term), F.first("P") * F.first("N")).alias("roc_auc"))
 
 
 def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

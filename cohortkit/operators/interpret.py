@@ -286,4 +286,5 @@ def compare_explanations(a: DataFrame, b: DataFrame, item: str = "feature", scor
     ra = average_rank(j, "_a", name="ra").select("_a", "ra")
     rb = average_rank(j, "_b", name="rb").select("_b", "rb")
     r = j.join(ra, "_a").join(rb, "_b")
-    return r.agg(F.corr("ra", "rb").alias("spearman"), F.count(F.lit(1)).alias("n_features"))
+    from cohortkit.operators.stats import safe_corr
+    return r.agg(safe_corr("ra", "rb").alias("spearman"), F.count(F.lit(1)).alias("n_features"))

@@ -117,6 +117,15 @@ def box_stats(df: DataFrame, cols: Sequence[str], target: str, k: float = 1.5) -
 
 # --- correlation -------------------------------------------------------------
 
+def safe_corr(a: str, b: str):
+    """Pearson correlation over rows where both values are present; NULL
+    (not an ANSI divide-by-zero error) when either column is constant."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    xa, ya = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_samp(xa, ya), F.stddev_samp(xa) * F.stddev_samp(ya))
+
+
 def _pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = list(cols)
     pairs = list(itertools.combinations(range(len(cols)), 2))
@@ -125,7 +134,7 @@ def _pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         chunk = pairs[s:s + MAX_AGG_EXPRS]
         if not chunk:
             break
-        wide = df.agg(*[F.corr(cols[i], cols[j]).alias(f"p{i}_{j}") for i, j in chunk])
+        wide = df.agg(*[safe_corr(cols[i], cols[j]).alias(f"p{i}_{j}") for i, j in chunk])
         parts.append(wide.select(F.explode(F.array(*[
             F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"p{i}_{j}").alias("r"))
             for i, j in chunk])).alias("x")).select("x.*"))
@@ -168,7 +177,7 @@ def high_correlation_pairs(df: DataFrame, cols: Sequence[str], threshold: float
 def target_correlation(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """R05 scores: ``(feature, abs_corr)`` = |Pearson(col, target)|."""
     cols = [c for c in cols if c != target]
-    wide = df.agg(*[F.abs(F.corr(c, target)).alias(f"{c}__abs_corr") for c in cols])
+    wide = df.agg(*[F.abs(safe_corr(c, target)).alias(f"{c}__abs_corr") for c in cols])
     return _tidy(wide, cols, ["abs_corr"]).withColumnRenamed("column", "feature")
 
 
@@ -196,13 +205,13 @@ def welch_tests(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
             aggs += [F.count(v).alias(f"{c}__n{g}"), F.avg(v).alias(f"{c}__m{g}"),
                      F.var_samp(v).alias(f"{c}__v{g}")]
     long = _tidy(df.agg(*aggs), cols, ["n1", "m1", "v1", "n0", "m0", "v0"])
-    se1, se0 = F.col("v1") / F.col("n1"), F.col("v0") / F.col("n0")
-    tstat = (F.col("m1") - F.col("m0")) / F.sqrt(se1 + se0)
-    dof = (se1 + se0) ** 2 / (se1 ** 2 / (F.col("n1") - 1) + se0 ** 2 / (F.col("n0") - 1))
+    se1, se0 = F.try_divide(F.col("v1"), F.col("n1")), F.try_divide(F.col("v0"), F.col("n0"))
+    tstat = F.try_divide(F.col("m1") - F.col("m0"), F.sqrt(se1 + se0))
+    dof = F.try_divide((se1 + se0) ** 2, F.try_divide(se1 ** 2, F.col("n1") - 1) + F.try_divide(se0 ** 2, F.col("n0") - 1))
     out = long.select("column", F.col("n1").alias("n_pos"), F.col("n0").alias("n_neg"),
                       F.col("m1").alias("mean_pos"), F.col("m0").alias("mean_neg"),
                       tstat.alias("t_stat"), dof.alias("dof"),
-                      ((F.col("m1") - F.col("m0")) / F.sqrt((F.col("v1") + F.col("v0")) / 2)).alias("cohens_d"))
+                      F.try_divide(F.col("m1") - F.col("m0"), F.sqrt((F.col("v1") + F.col("v0")) / 2)).alias("cohens_d"))
     return out.withColumn("p_value", t_pvalue_udf(F.col("t_stat"), F.col("dof")))
 
 
@@ -237,7 +246,7 @@ def chi2_tests(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
                                 F.first(dof).alias("dof"), F.first(n).alias("n"),
                                 F.first(F.least(F.col("r"), ncols)).alias("min_dim"))
     out = g.select("column", "chi2", F.col("dof").cast("long").alias("dof"),
-                   F.sqrt(F.col("chi2") / (F.col("n") * (F.col("min_dim") - 1))).alias("cramers_v"))
+                   F.sqrt(F.try_divide(F.col("chi2"), F.col("n") * (F.col("min_dim") - 1))).alias("cramers_v"))
     return out.withColumn("p_value", chi2_pvalue_udf(F.col("chi2"), F.col("dof").cast("double")))
 
 

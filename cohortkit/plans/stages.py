@@ -22,6 +22,7 @@ DEFAULTS = {
     "numeric_fill": "median", "cat_fill_value": "UNKNOWN", "text_max_features": 100, "n_features": 30,
     "n_clusters": 3, "n_components": 2, "random_state": 42, "test_size": 0.2, "n_trials": 0, "cv_folds": 3,
     "balance_strategy": "class_weight", "max_interaction_inputs": 10,
+    "models": ("random_forest", "gbt", "logistic"),
 }
 
 
@@ -49,13 +50,17 @@ def engineer(df: DataFrame, config: dict | None = None, admission: str = "hadm_i
              time_cols: Sequence[str] = ("ADMITTIME", "DISCHTIME", "DEATHTIME"),
              lab_order: Sequence[str] | None = None, categorical: Sequence[str] = ("insurance", "admission_type",
                                                                                    "admission_location"),
-             text_key: str | None = None, text_cols: Sequence[str] = ("ICD_CODE_LIST", "ALL_DRUGS", "DEPARTMENTS")):
+             text_key: str | None = None, text_cols: Sequence[str] = ("ICD_CODE_LIST", "ALL_DRUGS", "DEPARTMENTS"),
+             keep: Sequence[str] = ("subject_id", "hadm_id")):
     """Stage 2: temporal (F02–F07) → lab (A03, W01, W02, F09) → one-hot
     (I04) → TF-IDF (T01) → interactions (F10) → selection (R05) → scaling
-    (I03).  Column names are matched case-insensitively.  Returns
-    ``(features_df, registry)`` where registry maps category → names."""
+    (I03).  Column names are matched case-insensitively.  ``keep``
+    columns (identifiers) pass through untouched: never interacted,
+    selected or scaled.  Returns ``(features_df, registry)`` where registry
+    maps category → names."""
     c = _cfg(config)
     lower = {x.lower(): x for x in df.columns}
+    keep = [lower[k.lower()] for k in keep if k.lower() in lower]
 
     def has(n):
         return lower.get(n.lower())
@@ -85,12 +90,16 @@ def engineer(df: DataFrame, config: dict | None = None, admission: str = "hadm_i
             reg["text"] += [x for x in df.columns if x not in before]
     before = set(df.columns)
     target = has(c["target_col"]) if c.get("target_col") else None
-    df = fe.interactions(df, max_inputs=c["max_interaction_inputs"], exclude=[target] if target else [])
+    fixed = keep + ([target] if target else [])
+    inputs = [x for x in fe.interaction_inputs(df, 10 ** 6, exclude=fixed)
+              if x not in set(sel.columns_of_kind(df.select(*reg["temporal"]), "numeric"))][:c["max_interaction_inputs"]]
+    df = fe.interactions(df, inputs)
     reg["interactions"] = [x for x in df.columns if x not in before]
     if target:
-        cand = [x for x in sel.columns_of_kind(df, "numeric") if x != target]
-        df, names = stats.select_features(df, target, cand, c["n_features"])
-    df = scale.standard_scale(df, exclude=[target] if target else [])
+        cand = [x for x in sel.columns_of_kind(df, "numeric") if x not in set(fixed)]
+        picked, names = stats.select_features(df, target, cand, c["n_features"])
+        df = df.select(*keep, *names, target)
+    df = scale.standard_scale(df, exclude=fixed)
     return df, reg
 
 
@@ -126,7 +135,8 @@ def train(df: DataFrame, label: str, key: Sequence[str], features: Sequence[str]
                                              if x in set(sel.columns_of_kind(data, "numeric"))
                                              and x not in set(key)]
     balance = {"class_weight": "weights", "smote": "smote"}.get(c["balance_strategy"])
-    metrics, best, fitted = ml.train_and_evaluate(data, feats, label, key, n_trials=c["n_trials"],
+    metrics, best, fitted = ml.train_and_evaluate(data, feats, label, key, models=tuple(c["models"]),
+                                                  n_trials=c["n_trials"],
                                                   seed=c["random_state"], balance=balance, save_dir=save_dir)
     return metrics, best, fitted, feats
 

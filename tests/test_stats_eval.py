@@ -62,7 +62,15 @@ def test_corr_matrix_and_spearman(spark):
     assert m[("a", "a")] == 1.0
 
 
-def test_mutual_information_independent_is_small(spark):
+def test_constant_column_correlation_is_null_not_an_error(spark):
+    df = spark.createDataFrame([(1.0, 5.0, 1), (2.0, 5.0, 0), (3.0, 5.0, 1)], "a double, c double, t int")
+    m = {(r["col_a"], r["col_b"]): r["r"] for r in stats.corr_matrix(df, ["a", "c"]).collect()}
+    assert m[("a", "c")] is None
+    w = stats.welch_tests(spark.createDataFrame([(5.0, 1), (5.0, 0)], "c double, t int"), "t", ["c"]).first()
+    assert w["t_stat"] is None
+
+
+def test_mutual_information_determined_target(spark):
     rows = [(float(i % 10), i % 2) for i in range(1000)]
     r = stats.mutual_information(spark.createDataFrame(rows, "x double, t int"), "t", ["x"]).first()
     assert r["mutual_info"] == pytest.approx(np.log(2), rel=1e-6)  # x determines t
