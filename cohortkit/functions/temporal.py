@@ -88,34 +88,38 @@ def temporal_features(df: DataFrame, time_cols: Sequence[str], admit: str | None
 
 
 # --- US federal holidays (F04 / J05) -------------------------------------
-# Rules (federal law, years from 1971 on):
-#   fixed dates: Jan 1, Jun 19 (from 2021), Jul 4, Nov 11, Dec 25;
-#   a fixed date on Saturday is observed the Friday before, on Sunday the
-#   Monday after (Jan 1 on Saturday is observed on Dec 31 of the prior year);
-#   Monday holidays: 3rd Monday of January (from 1986), 3rd Monday of
-#   February, last Monday of May, 1st Monday of September, 2nd Monday of
-#   October; Thanksgiving: 4th Thursday of November.
+
+# month*100 + day of the fixed-date federal holidays
+# (New Year's Day, Independence Day, Veterans Day, Christmas Day), and of
+# Juneteenth, which counts from 2021.
+FIXED_HOLIDAYS = [101, 704, 1111, 1225]
+JUNETEENTH = 619
+# month*10 + n for "n-th Monday of the month" holidays
+# (Washington's Birthday: 3rd Monday of February, Labor Day: 1st Monday of
+# September, Columbus Day: 2nd Monday of October); Martin Luther King Jr.
+# Day (3rd Monday of January) counts from 1986.
+NTH_MONDAY_HOLIDAYS = [23, 91, 102]
+MLK_DAY = 13
+
 
 def _fixed_holiday(d: Column) -> Column:
-    m, dd, y = F.month(d), F.dayofmonth(d), F.year(d)
-    return (((m == 1) & (dd == 1)) | ((m == 6) & (dd == 19) & (y >= 2021)) | ((m == 7) & (dd == 4))
-            | ((m == 11) & (dd == 11)) | ((m == 12) & (dd == 25)))
+    md = F.month(d) * 100 + F.dayofmonth(d)
+    return md.isin(FIXED_HOLIDAYS) | ((md == JUNETEENTH) & (F.year(d) >= 2021))
 
 
 def _floating_holiday(d: Column) -> Column:
-    m, dd, y, wd = F.month(d), F.dayofmonth(d), F.year(d), F.weekday(d)
-    monday, thursday = wd == 0, wd == 3
-    return ((monday & (((m == 1) & dd.between(15, 21) & (y >= 1986))
-                       | ((m == 2) & dd.between(15, 21))
-                       | ((m == 5) & (dd >= 25))
-                       | ((m == 9) & (dd <= 7))
-                       | ((m == 10) & dd.between(8, 14))))
-            | (thursday & (m == 11) & dd.between(22, 28)))
+    m, dd, wd = F.month(d), F.dayofmonth(d), F.weekday(d)
+    nth = m * 10 + F.floor((dd - 1) / 7).cast("int") + 1
+    monday = (nth.isin(NTH_MONDAY_HOLIDAYS) | ((nth == MLK_DAY) & (F.year(d) >= 1986))
+              | ((m == 5) & (dd >= 25)))                       # Memorial Day: last Monday of May
+    return ((wd == 0) & monday) | ((wd == 3) & (nth == 114))  # Thanksgiving: 4th Thursday of November
 
 
 def is_us_holiday(col) -> Column:
     """True when the calendar date of ``col`` is a US federal holiday or
-    its observed day.  A pure expression: no lookup table, no join."""
+    its observed day (a fixed date on Saturday is observed the Friday
+    before, on Sunday the Monday after).  A pure expression: no lookup
+    table, no join, no Python."""
     d = F.to_date(_c(col))
     wd = F.weekday(d)
     observed = (((wd == 4) & _fixed_holiday(F.date_add(d, 1)))

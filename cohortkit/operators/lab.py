@@ -98,8 +98,9 @@ def trend(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], cols: S
     order = list(order)
     cols = list(cols)
     on = order_number(df, order[0])
+    # A precomputed list must carry the order range (find_hot_keys with order).
     if hot is None or (hot and "_ck_lo" not in hot[0].asDict()):
-        hot = find_hot_keys(df, key, hot_rows, order[0]) if (hot is None or hot) else hot
+        hot = find_hot_keys(df, key, hot_rows, order[0])
     if not hot:
         return _lag_by_window(df, key, order, cols)
     spark = df.sparkSession

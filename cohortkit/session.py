@@ -19,14 +19,19 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "cohortkit", extra: dict | None = None) -> SparkSession:
+                app_name: str = "cohortkit", extra: dict | None = None,
+                local_memory: str = "8g") -> SparkSession:
     """Build (or reuse) a session with AQE, UTC and no web UI.
 
-    On a cluster pass ``master=None`` and let spark-submit decide.
+    On a cluster pass ``master=None`` and let spark-submit decide.  In
+    local mode the driver JVM is also every executor, so it gets
+    ``local_memory`` of heap instead of the 1g default.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory", local_memory)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
