@@ -1335,6 +1335,88 @@ def q_S02(spark, d):
 SQL_S02 = "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate FROM orders"
 
 
+# --- sinks, read back (S03, S07–S11) -------------------------------------------------------
+
+def _scratch(spark, name):
+    import uuid
+    from cohortkit.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/cohortkit-{name}-{uuid.uuid4().hex}"
+
+
+def q_S07(spark, d):
+    """Parquet table sink, read back."""
+    from cohortkit.sources import sinks
+    path = _scratch(spark, "s07")
+    sinks.write_table(adm(Tables(spark, d)), path)
+    return r6(spark.read.parquet(path))
+
+
+SQL_S07 = SQL_J01
+
+
+def q_S03(spark, d):
+    """CSV table sink, read back with the time column parsed (S03 load)."""
+    from cohortkit.sources import sinks, tables
+    path = _scratch(spark, "s03")
+    sinks.write_table(Tables(spark, d).orders, path, "csv")
+    return r6(tables.load_with_times(spark, path, ["o_orderdate", "o_shipdate_absent"]))
+
+
+SQL_S03 = f"SELECT {_sel(ORD_COLS)} FROM orders"
+
+
+def q_S08(spark, d):
+    """Metrics sink (JSON lines), read back: class weights as metrics."""
+    from cohortkit.sources import sinks
+    path = _scratch(spark, "s08")
+    w = stats.class_weights(Tables(spark, d).orders, "o_orderstatus")
+    m = w.select(F.concat(F.lit("weight."), F.col("label")).alias("metric"), F.col("weight").alias("value"),
+                 F.lit(None).cast("string").alias("text"))
+    sinks.write_metrics(m, path)
+    return r6(spark.read.schema("metric string, value double, text string").json(path))
+
+
+SQL_S08 = ("SELECT 'weight.' || o_orderstatus AS metric, round((SELECT count(*) FROM orders) / ((SELECT count(DISTINCT o_orderstatus) "
+           "FROM orders) * count(*)), 6) AS value, CAST(NULL AS VARCHAR) AS text FROM orders GROUP BY o_orderstatus")
+
+
+def q_S09(spark, d):
+    """Feature-list sink and scan (S06): the top-3 selected features."""
+    from cohortkit.sources import sinks
+    path = _scratch(spark, "s09")
+    sc = stats.target_correlation(_sel_table(Tables(spark, d)), "target", SEL_COLS)
+    names = [r["feature"] for r in sel.top_k(sc, "abs_corr", 3, ["feature"]).collect()]
+    sinks.write_feature_list(spark, names, path)
+    return spark.createDataFrame([(n,) for n in sinks.read_feature_list(spark, path)], "feature string")
+
+
+SQL_S09 = f"SELECT feature FROM ({SQL_R05}) s ORDER BY abs_corr DESC, feature LIMIT 3"
+
+
+def q_S10(spark, d):
+    """Importance sink (CSV), read back."""
+    from cohortkit.sources import sinks
+    path = _scratch(spark, "s10")
+    sc = stats.target_correlation(_sel_table(Tables(spark, d)), "target", SEL_COLS).withColumnRenamed("abs_corr", "importance")
+    sinks.write_importances(sc, path)
+    return r6(spark.read.schema("feature string, importance double").option("header", True).csv(path))
+
+
+SQL_S10 = f"SELECT feature, abs_corr AS importance FROM ({SQL_R05}) s"
+
+
+def q_S11(spark, d):
+    """Model save and load: the reloaded model scores like the original."""
+    from cohortkit.sources import sinks
+    model, data = _trained(spark, d, "logistic")
+    path = _scratch(spark, "s11")
+    sinks.save_model(model, path)
+    again = sinks.load_model(path)
+    a = ml.score(model, data).select("id", F.col("score").alias("s1"))
+    b = ml.score(again, data).select("id", F.col("score").alias("s2"))
+    return a.join(b, "id").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("s1") - F.col("s2"))).alias("max_diff"))
+
+
 # --- M / X: models and explanations (rows-only: seeded, no SQL oracle) -------------------
 
 ADM_FEATURES = ["o_totalprice", "c_acctbal", "n_lines", "qty_mean", "price_mean", "disc_mean", "share_f", "los_mean"]

@@ -29,6 +29,15 @@ class Tables:
         return read_table(self.spark, self.dir, name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem (local, HDFS, object
+    stores alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
+
+
 def load_named(spark: SparkSession, paths: dict[str, str], fmt: str = "csv",
                schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
     """Read several named tables; fail fast if a path is missing.
@@ -37,7 +46,7 @@ def load_named(spark: SparkSession, paths: dict[str, str], fmt: str = "csv",
     out = {}
     schemas = schemas or {}
     for name, path in paths.items():
-        if "://" not in path and not os.path.exists(path):
+        if not path_exists(spark, path):
             raise FileNotFoundError(f"{name}: {path}")
         r = spark.read
         if name in schemas:
