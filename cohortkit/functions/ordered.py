@@ -105,7 +105,9 @@ def prefix_sums(df: DataFrame, order: Sequence, weights: dict[str, Column] | Non
     offsets = totals.select(*by, _PID, *[
         F.coalesce(F.sum(f"_ck_t_{k}").over(before), F.lit(0)).alias(f"_ck_o_{k}") for k in weights])
     # offsets: one row per (group, bucket) -- bounded by buckets × groups.
-    joined = local.join(F.broadcast(offsets) if _small_groups(by) else offsets, [*by, _PID])
+    # Without groups the offsets table has one row per bucket: broadcast.
+    # With groups its size depends on the group count, so AQE decides.
+    joined = local.join(F.broadcast(offsets) if not by else offsets, [*by, _PID])
     exprs = []
     for k in weights:
         incl = F.col(f"_ck_o_{k}") + F.col(f"_ck_l_{k}")
@@ -113,12 +115,6 @@ def prefix_sums(df: DataFrame, order: Sequence, weights: dict[str, Column] | Non
     return joined.select(*[F.col(c) for c in df.columns], *exprs)
 
 
-def _small_groups(by: Sequence[str]) -> bool:
-    # Callers group by a handful of labels (targets, strata); the offset
-    # table is then buckets × labels rows.
-    return len(by) <= 1
-
-
 def row_index(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str = "row_idx",
               num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row along ``order`` within ``by`` groups."""

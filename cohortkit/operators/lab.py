@@ -133,9 +133,13 @@ def trend(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], cols: S
 
 def _lag_by_window(df, key, order, cols):
     w = Window.partitionBy(*key).orderBy(*order)
+    has_key = F.lit(True)
+    for k in key:
+        has_key = has_key & F.col(k).isNotNull()
     exprs = []
     for c in cols:
-        d = F.col(c) - F.lag(c).over(w)
+        # Rows without a key form no group (as pandas drops NULL groups).
+        d = F.when(has_key, F.col(c) - F.lag(c).over(w))
         exprs += [d.alias(f"{c}_trend"), F.signum(d).alias(f"{c}_trend_sign")]
     return df.select("*", *exprs)
 

@@ -225,8 +225,9 @@ def stratified_split(df: DataFrame, label: str, key: Sequence[str], train_fracti
     round(train_fraction · n_label) go to ``train``, the rest to ``test``."""
     h = df.withColumn("_ck_h", hash_key(key, seed))
     r = row_index(h, ["_ck_h", *key], by=[label], name="_ck_i")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_ck_n"))
-    j = r.join(F.broadcast(sizes), label)
+    sizes = df.groupBy(F.col(label).alias("_ck_lab")).agg(F.count(F.lit(1)).alias("_ck_n"))
+    # One row per label value (NULL included, matched null-safe).
+    j = r.join(F.broadcast(sizes), r[label].eqNullSafe(sizes["_ck_lab"]))
     cut = F.floor(F.col("_ck_n") * train_fraction + 0.5)
     return j.select(*[F.col(c) for c in df.columns],
                     F.when(F.col("_ck_i") < cut, "train").otherwise("test").alias(name))
