@@ -156,8 +156,53 @@ def bound_flags(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select("*", *exprs)
 
 
+def _window_features(df: DataFrame, key: list, order: list, cols: list) -> DataFrame:
+    """Statistics and trend of ordinary keys in one shuffle: one window
+    partitioned by key (aggregates over the whole key, lag along the
+    order); Spark sorts once by (key, order) for both."""
+    wk = Window.partitionBy(*key)
+    wo = Window.partitionBy(*key).orderBy(*order)
+    has_key = F.lit(True)
+    for k in key:
+        has_key = has_key & F.col(k).isNotNull()
+    trends, stats = [], []
+    for c in cols:
+        d = F.when(has_key, F.col(c) - F.lag(c).over(wo))
+        trends += [d.alias(f"{c}_trend"), F.signum(d).alias(f"{c}_trend_sign")]
+        q = F.percentile(F.col(c).cast("double"), [0.25, 0.5, 0.75]).over(wk)
+        mn, mx = F.min(c).over(wk), F.max(c).over(wk)
+        stats += [F.when(has_key, F.avg(c).over(wk)).alias(f"{c}_mean"),
+                  F.when(has_key, F.stddev_samp(c).over(wk)).alias(f"{c}_std"),
+                  F.when(has_key, mn).alias(f"{c}_min"), F.when(has_key, mx).alias(f"{c}_max"),
+                  F.when(has_key, q[1]).alias(f"{c}_median"), F.when(has_key, mx - mn).alias(f"{c}_range"),
+                  F.when(has_key, q[2] - q[0]).alias(f"{c}_iqr")]
+    return df.select("*", *trends, *stats)
+
+
+def key_features(df: DataFrame, key: str | Sequence[str], order: Sequence[str], cols: Sequence[str],
+                 hot: list | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """A03 + J03 + W01 + W02: every row with its key's statistics and its
+    trend.  Ordinary keys take a single window pass (one shuffle, no join
+    back).  Hot keys (``find_hot_keys``, with the order range) take the
+    bounded-memory paths: bucketed trend and selection quantiles, with
+    their one-row-per-key statistics broadcast back."""
+    key = [key] if isinstance(key, str) else list(key)
+    order, cols = list(order), list(cols)
+    if hot is None:
+        hot = find_hot_keys(df, key, hot_rows, order[0])
+    if not hot:
+        return _window_features(df, key, order, cols)
+    hot_df = F.broadcast(_hot_frame(df, key, hot))
+    normal = _window_features(df.join(hot_df, key, "left_anti"), key, order, cols)
+    heavy = df.join(hot_df, key, "left_semi")
+    stats = group_stats(heavy, key, cols, hot=hot, hot_rows=hot_rows)
+    out = trend(heavy, key, order, cols, hot=hot, hot_rows=hot_rows)
+    # stats: one row per hot key (bounded by the hot-key list).
+    return normal.unionByName(out.join(F.broadcast(stats), key, "left"))
+
+
 def lab_features(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
-                 cols: Sequence[str] | None = None) -> DataFrame:
+                 cols: Sequence[str] | None = None, hot: list | None = None) -> DataFrame:
     """A03 + J03 + W01 + W02 + F09.  ``cols`` defaults to every column whose
     lower-cased name contains ``lab_`` (P02)."""
     from cohortkit.operators.select import select_by_substring
@@ -165,12 +210,7 @@ def lab_features(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
     key_l = [key] if isinstance(key, str) else list(key)
     cols = list(cols) if cols is not None else [
         c for c in select_by_substring(df, "lab_") if not c.endswith(("_lower", "_upper"))]
-    hot = find_hot_keys(df, key_l, HOT_ROWS, order[0])
-    stats = group_stats(df, key_l, cols, hot=hot)
-    out = trend(df, key_l, order, cols, hot=hot)
-    out = out.join(stats, key_l, "left")
-    out = bound_flags(out, cols)
-    return out
+    return bound_flags(key_features(df, key_l, order, cols, hot=hot), cols)
 
 
 # Reference ranges of five lab items

@@ -128,16 +128,18 @@ WIDE_COLS = ORD_COLS + CUST_COLS + LI_COLS
 # Each: (spark, sf_dir) -> DataFrame.  Registered in REGISTRY below.
 
 def q_flagship(spark, d):
-    """J01 → J02 → U01 → A03 + J03 → W01/W02 → F06 in one plan."""
+    """J01 → J02 → U01 → A03 + J03 → W01/W02 → F06 in one plan.
+
+    Hot admissions are found from the lab table's key column alone (a
+    partial-aggregated count); ordinary admissions then need a single
+    shuffle for statistics and trend together."""
     t = Tables(spark, d)
     w = sel.drop_duplicates(wide(t)).where(F.col("l_orderkey").isNotNull())
-    # Read by three jobs below (group sizes, hot keys, the result): write
-    # it once to the checkpoint folder instead of re-joining each time.
-    w = w.select("o_orderkey", "o_orderdate", *TREND_ORDER, "l_quantity").checkpoint(eager=True)
-    hot = lab.find_hot_keys(w, ["o_orderkey"], lab.HOT_ROWS, TREND_ORDER[0])
-    g = lab.group_stats(w, "o_orderkey", ["l_quantity"], hot=hot)
-    tr = lab.trend(w, "o_orderkey", TREND_ORDER, ["l_quantity"], hot=hot)
-    out = tr.join(g, "o_orderkey", "left").select(
+    labs = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
+    hot = lab.find_hot_keys(labs, ["o_orderkey"], lab.HOT_ROWS, TREND_ORDER[0])
+    feats = lab.key_features(w.select("o_orderkey", "o_orderdate", *TREND_ORDER, "l_quantity"), "o_orderkey",
+                             TREND_ORDER, ["l_quantity"], hot=hot)
+    out = feats.select(
         "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
         *[f"l_quantity_{s}" for s in lab.STAT_SUFFIXES], "l_quantity_trend", "l_quantity_trend_sign",
         tm.days_between("o_orderdate", "l_shipdate").alias("los_days"))

@@ -59,3 +59,18 @@ def test_group_stats_hot_key_path(spark):
     assert np.allclose(got["v_median"], exp.median())
     assert np.allclose(got["v_iqr"], exp.quantile(0.75) - exp.quantile(0.25))
     assert np.allclose(got["v_std"], exp.std())
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 200])
+def test_key_features_paths_agree(spark, hot_rows):
+    rng = np.random.default_rng(11)
+    n = 2000
+    pdf = pd.DataFrame({"k": rng.integers(0, 5, n), "o": rng.permutation(n), "v": rng.normal(size=n).round(3)})
+    df = spark.createDataFrame(pdf)
+    got = lab.key_features(df, "k", ["o"], ["v"], hot_rows=hot_rows).toPandas().sort_values(["k", "o"])
+    p = pdf.sort_values(["k", "o"])
+    g = p.groupby("k")["v"]
+    assert np.allclose(got["v_trend"].fillna(-9).values, g.diff().fillna(-9).values)
+    assert np.allclose(got["v_median"].values, g.transform("median").values)
+    assert np.allclose(got["v_iqr"].values, (g.transform(lambda x: x.quantile(0.75) - x.quantile(0.25))).values)
+    assert np.allclose(got["v_std"].values, g.transform("std").values)
