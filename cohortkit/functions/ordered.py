@@ -47,7 +47,8 @@ def order_number(df: DataFrame, col: str, descending: bool = False) -> Column:
     if isinstance(dt, T.StringType):
         v = F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
     elif isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        v = F.unix_micros(c.cast("timestamp")).cast("double")
+        from cohortkit.functions.temporal import epoch_micros
+        v = epoch_micros(c, dt).cast("double")
     elif isinstance(dt, T.BooleanType):
         v = c.cast("int").cast("double")
     else:

@@ -31,10 +31,22 @@ def day_of_week(col) -> Column:
 
 
 def days_between(start, end) -> Column:
-    """``end - start`` in fractional days (pandas ``total_seconds()/86400``)."""
-    s = F.unix_micros(_c(start).cast("timestamp"))
-    e = F.unix_micros(_c(end).cast("timestamp"))
-    return (e - s) / F.lit(MICROS_PER_DAY)
+    """``end - start`` in fractional days (pandas ``total_seconds()/86400``).
+    Exact microsecond difference: no time-zone or DST shift for
+    ``timestamp_ntz`` columns."""
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(MICROS_PER_DAY)
+
+
+def epoch_micros(col, dtype=None) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp, independent of the
+    session time zone for ``timestamp_ntz`` (monotone in both types)."""
+    from pyspark.sql import types as T
+    c = _c(col)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, T.DateType):
+        c = c.cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
 
 
 def admission_parts(df: DataFrame, col: str, prefix: str = "admission") -> DataFrame:
