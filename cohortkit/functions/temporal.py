@@ -30,23 +30,27 @@ def day_of_week(col) -> Column:
     return F.weekday(_c(col))
 
 
-def days_between(start, end) -> Column:
+def days_between(start, end, start_type=None, end_type=None) -> Column:
     """``end - start`` in fractional days (pandas ``total_seconds()/86400``).
-    Exact microsecond difference: no time-zone or DST shift for
-    ``timestamp_ntz`` columns."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(MICROS_PER_DAY)
+    Wall-clock difference for ``timestamp_ntz``: no time-zone or DST shift."""
+    return (epoch_micros(end, end_type) - epoch_micros(start, start_type)) / F.lit(MICROS_PER_DAY)
 
 
 def epoch_micros(col, dtype=None) -> Column:
-    """Microseconds since 1970-01-01 of a timestamp, independent of the
-    session time zone for ``timestamp_ntz`` (monotone in both types)."""
+    """Microseconds since 1970-01-01 00:00.  ``timestamp`` (with zone): the
+    instant.  ``timestamp_ntz``/``date`` (the default assumption): built
+    from calendar fields, so the session time zone never enters (a cast to
+    an instant would move wall times inside a DST gap)."""
     from pyspark.sql import types as T
     c = _c(col)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dtype, T.DateType):
         c = c.cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    days = F.unix_date(F.to_date(c)).cast("long")
+    secs = (F.hour(c) * 3600 + F.minute(c) * 60).cast("long")
+    frac = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return days * 86_400_000_000 + secs * 1_000_000 + frac
 
 
 def admission_parts(df: DataFrame, col: str, prefix: str = "admission") -> DataFrame:
@@ -92,10 +96,11 @@ def temporal_features(df: DataFrame, time_cols: Sequence[str], admit: str | None
     """F02–F07 in one projection: 11 columns per time column, ``los_days``
     and ``time_to_death`` when the bounds are given."""
     exprs = [e for c in time_cols for e in temporal_columns(c)]
+    types = {f.name: f.dataType for f in df.schema.fields}
     if admit and disch:
-        exprs.append(days_between(admit, disch).alias("los_days"))
+        exprs.append(days_between(admit, disch, types.get(admit), types.get(disch)).alias("los_days"))
     if admit and death:
-        exprs.append(days_between(admit, death).alias("time_to_death"))
+        exprs.append(days_between(admit, death, types.get(admit), types.get(death)).alias("time_to_death"))
     return df.select("*", *exprs)
 
 
