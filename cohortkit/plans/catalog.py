@@ -27,8 +27,9 @@ LAB_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def r6(df: DataFrame) -> DataFrame:
-    """Round every float/double column to 6 decimals."""
-    return df.select(*[F.round(F.col(f.name), 6).alias(f.name)
+    """Round every float/double column to 6 decimals (+ 0.0 turns a
+    negative zero into a positive one, as on the SQL side)."""
+    return df.select(*[(F.round(F.col(f.name), 6) + F.lit(0.0)).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -957,7 +958,7 @@ def _sql_poisson(u):
 
 _U_SQL = "CAST(('0x' || substr(md5(concat_ws('|', '42', CAST(r AS VARCHAR), CAST(o_orderkey AS VARCHAR))), 1, 13)) AS BIGINT) / 4503599627370496.0"
 SQL_O06 = f"""
-SELECT r AS replicate, CAST(sum(w) AS INTEGER) AS n, round(sum(w * o_totalprice) / sum(w), 6) AS mean_price
+SELECT CAST(r AS INTEGER) AS replicate, CAST(sum(w) AS INTEGER) AS n, round(sum(w * o_totalprice) / sum(w), 6) AS mean_price
 FROM (SELECT r, o_orderkey, o_totalprice, {_sql_poisson(_U_SQL)} AS w
       FROM orders, (SELECT unnest(range(20)) AS r) g) b WHERE w > 0 GROUP BY r
 """
@@ -1035,8 +1036,8 @@ def q_S12(spark, d):
 SQL_S12 = f"""
 WITH a AS (SELECT feature, importance, row_number() OVER (ORDER BY importance DESC, feature) AS rank_a FROM ({_RANK_A}) x),
      b AS (SELECT feature, importance, row_number() OVER (ORDER BY importance DESC, feature) AS rank_b FROM ({_RANK_B}) y)
-SELECT coalesce(a.feature, b.feature) AS feature, round(a.importance, 6) AS importance_a, a.rank_a,
-       round(b.importance, 6) AS importance_b, b.rank_b,
+SELECT coalesce(a.feature, b.feature) AS feature, round(a.importance, 6) AS importance_a, CAST(a.rank_a AS INTEGER) AS rank_a,
+       round(b.importance, 6) AS importance_b, CAST(b.rank_b AS INTEGER) AS rank_b,
        coalesce(a.rank_a <= 5 AND b.rank_b <= 5, false) AS in_both_top5
 FROM a FULL OUTER JOIN b ON a.feature = b.feature WHERE a.rank_a <= 10 OR b.rank_b <= 10
 """
@@ -1153,7 +1154,7 @@ def q_W04(spark, d):
     return ev.score_table(scored(Tables(spark, d))).select("threshold", "pos", "neg", "tp", "fp").transform(r6)
 
 
-SQL_W04 = f"SELECT round(threshold, 6) AS threshold, pos, neg, tp, fp FROM {_sql_score_table(SCORED_SQL)} t"
+SQL_W04 = f"SELECT round(threshold, 6) AS threshold, pos, neg, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp FROM {_sql_score_table(SCORED_SQL)} t"
 
 
 def q_W05(spark, d):
@@ -1192,8 +1193,8 @@ def q_F09(spark, d):
     return r6(lab.bound_flags(li, ["lab_qty"]))
 
 
-SQL_F09 = ("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_quantity, 6) AS lab_qty, round(l_linenumber * 5.0, 6) AS lab_qty_lower, "
-           "round(l_linenumber * 5.0 + 20, 6) AS lab_qty_upper, CAST(coalesce(l_quantity < l_linenumber * 5.0 OR l_quantity > l_linenumber * 5.0 + 20, false) AS INTEGER) "
+SQL_F09 = ("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_quantity, 6) AS lab_qty, round(CAST(l_linenumber * 5.0 AS DOUBLE), 6) AS lab_qty_lower, "
+           "round(CAST(l_linenumber * 5.0 + 20 AS DOUBLE), 6) AS lab_qty_upper, CAST(coalesce(l_quantity < l_linenumber * 5.0 OR l_quantity > l_linenumber * 5.0 + 20, false) AS INTEGER) "
            "AS lab_qty_is_abnormal FROM lineitem")
 
 
@@ -1254,8 +1255,35 @@ def queries() -> dict:
     return {k: v[0] for k, v in _registry().items()}
 
 
+def _positive_zero_rounds(sql: str) -> str:
+    """Wrap every ``round(...)`` as ``(round(...) + 0.0)`` so that a value
+    rounding to zero from below is +0.0, as Spark's decimal rounding gives."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 0, j + len(key) - 1
+        while k < len(sql):
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _positive_zero_rounds(sql[j + len(key):k])
+        out.append(sql[i:j] + "(round(" + inner + ") + 0.0)")
+        i = k + 1
+
+
 def oracle_sql() -> dict:
-    return {k: v[1] for k, v in _registry().items() if v[1]}
+    return {k: _positive_zero_rounds(v[1]) for k, v in _registry().items() if v[1]}
 
 
 # --- remaining inventory IDs -----------------------------------------------------------
@@ -1360,8 +1388,12 @@ def q_S03(spark, d):
     """CSV table sink, read back with the time column parsed (S03 load)."""
     from cohortkit.sources import sinks, tables
     path = _scratch(spark, "s03")
-    sinks.write_table(Tables(spark, d).orders, path, "csv")
-    return r6(tables.load_with_times(spark, path, ["o_orderdate", "o_shipdate_absent"]))
+    o = Tables(spark, d).orders
+    sinks.write_table(o, path, "csv")
+    # Declared schema (no inference pass); the time column arrives as text.
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "o_orderdate" else f.dataType)
+                           for f in o.schema.fields])
+    return r6(tables.load_with_times(spark, path, ["o_orderdate", "o_shipdate_absent"], schema=schema))
 
 
 SQL_S03 = f"SELECT {_sel(ORD_COLS)} FROM orders"

@@ -57,10 +57,11 @@ def load_named(spark: SparkSession, paths: dict[str, str], fmt: str = "csv",
     return out
 
 
-def load_with_times(spark: SparkSession, path: str, time_cols: Sequence[str], fmt: str = "csv") -> DataFrame:
-    """Read a table and parse the listed time columns present;
-    unparseable text becomes NULL."""
-    df = load_named(spark, {"t": path}, fmt)["t"]
+def load_with_times(spark: SparkSession, path: str, time_cols: Sequence[str], fmt: str = "csv",
+                    schema: T.StructType | None = None) -> DataFrame:
+    """Read a table (declared ``schema``, else inferred) and parse
+    the listed time columns present; unparseable text becomes NULL."""
+    df = load_named(spark, {"t": path}, fmt, {"t": schema} if schema else None)["t"]
     present = set(c for c in time_cols if c in df.columns)
     return df.select(*[F.col(c).cast("string").try_cast("timestamp_ntz").alias(c) if c in present else F.col(c)
                        for c in df.columns])

@@ -27,10 +27,16 @@ def _digest(cols, rows):
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
 
 
+DUCK_TO_SPARK = {"DOUBLE": "double", "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string",
+                 "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "TINYINT": "tinyint", "DATE": "date"}
+
+
 @pytest.mark.parametrize("qid", sorted(SQL))
 def test_query_matches_oracle(spark, duck, qid):
     df = QUERIES[qid](spark, SF0001)
     rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(SQL[qid])
+    assert {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)} == dict(df.dtypes)
     res = duck.execute(SQL[qid])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
