@@ -76,8 +76,15 @@ def kmeans_analysis(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int =
     v = assemble(z, cols)
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(v)
     s = model.summary
+    centers = [[float(c) for c in ctr] for ctr in model.clusterCenters()]
+    # Centers in the plane of the first two principal components, projected
+    # as PCAModel.transform projects the (standardized) rows.
+    two = PCA(k=min(2, len(cols)), inputCol="features", outputCol="pcs").fit(v)
+    pcs = two.pc.toArray()
+    centers_2d = [[float(sum(ctr[i] * pcs[i][j] for i in range(len(cols)))) for j in range(pcs.shape[1])]
+                  for ctr in centers]
     summary = {"inertia": float(s.trainingCost), "sizes": [int(x) for x in s.clusterSizes],
-               "centers": [[float(c) for c in ctr] for ctr in model.clusterCenters()]}
+               "centers": centers, "centers_2d": centers_2d}
     assigned = model.transform(v).select(*key, *cols, "cluster")
     return summary, assigned, cluster_stats(assigned, "cluster", cols)
 

@@ -249,6 +249,16 @@ def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
+def dedup_report(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+    """U01 metrics: ``(rows_before, rows_after, removed)`` in one row."""
+    before = df.agg(F.count(F.lit(1)).alias("rows_before"))
+    after = drop_duplicates(df, subset).agg(F.count(F.lit(1)).alias("rows_after"))
+    # Two one-row aggregates side by side (equi-join on a constant key).
+    before, after = before.withColumn("_ck", F.lit(1)), after.withColumn("_ck", F.lit(1))
+    return before.join(after, "_ck").select(
+        "rows_before", "rows_after", (F.col("rows_before") - F.col("rows_after")).alias("removed"))
+
+
 def common_top(a: DataFrame, b: DataFrame, k: int = 5, item: str = "feature", score: str = "importance") -> DataFrame:
     """Items in the top-k of both rankings."""
     ta = top_k(a, score, k, [item]).select(item)

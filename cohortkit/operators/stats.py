@@ -115,6 +115,20 @@ def box_stats(df: DataFrame, cols: Sequence[str], target: str, k: float = 1.5) -
         F.count_if(~inside).alias("n_outliers"))
 
 
+def box_outliers(df: DataFrame, cols: Sequence[str], target: str, k: float = 1.5,
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """A15 outlier points: rows outside [q1 − k·IQR, q3 + k·IQR] of their
+    target group, as ``(target, column, value, keep…)``."""
+    long = melt(df.where(F.col(target).isNotNull()), cols, by=[target, *keep])
+    q = quantiles(long.select(target, "column", "value").withColumnRenamed("column", "_ck_col"),
+                  ["value"], {"q1": 0.25, "q3": 0.75}, by=[target, "_ck_col"]).drop("column")
+    q = q.withColumnRenamed("_ck_col", "column")
+    j = long.join(F.broadcast(q), [target, "column"])  # targets × columns rows
+    iqr = F.col("q3") - F.col("q1")
+    out = (F.col("value") < F.col("q1") - k * iqr) | (F.col("value") > F.col("q3") + k * iqr)
+    return j.where(out).select(target, "column", "value", *keep)
+
+
 # --- correlation -------------------------------------------------------------
 
 def safe_corr(a: str, b: str):

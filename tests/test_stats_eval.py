@@ -113,3 +113,15 @@ def test_metrics_and_calibration(spark):
     assert set(cal) == {9, 2, 0, 5, 7}
     c = ev.confusion(df).first()
     assert (c["tn"], c["fp"], c["fn"], c["tp"]) == (1, 1, 1, 2)
+
+
+def test_box_outliers_and_dedup_report(spark):
+    from cohortkit.operators import select as sel
+    rows = [(float(x), 0) for x in [1, 2, 3, 4, 100]] + [(float(x), 1) for x in [10, 11, 12, 13, -50]]
+    df = spark.createDataFrame(rows, "x double, t int")
+    out = sorted((r["t"], r["value"]) for r in stats.box_outliers(df, ["x"], "t").collect())
+    assert out == [(0, 100.0), (1, -50.0)]
+    b = stats.box_stats(df, ["x"], "t").where("t = 0").first()
+    assert b["n_outliers"] == 1 and b["whisker_hi"] == 4.0
+    rep = sel.dedup_report(df.unionByName(df.limit(3))).first()
+    assert (rep["rows_before"], rep["rows_after"], rep["removed"]) == (13, 10, 3)
