@@ -62,3 +62,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = tempfile.mkdtemp(prefix="cohortkit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict:
+    """Settings sized for an input of ``input_bytes`` on a cluster.
+
+    Shuffle partitions aim at ``target_partition_bytes`` of (compressed
+    input) data each, so a task's sort and aggregation buffers fit in
+    executor memory and spill rarely; AQE then coalesces small ones and
+    splits skewed ones against the same advisory size.
+    """
+    parts = max(200, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
