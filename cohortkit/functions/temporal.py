@@ -53,6 +53,24 @@ def epoch_micros(col, dtype=None) -> Column:
     return days * 86_400_000_000 + secs * 1_000_000 + frac
 
 
+def instant_of(col) -> Column:
+    """``timestamp_ntz`` → ``timestamp`` reading the wall time as UTC
+    (needed for watermarks and windows; no session time zone involved)."""
+    return F.timestamp_micros(epoch_micros(col))
+
+
+def wall_time_of(col) -> Column:
+    """Inverse of ``instant_of``: a ``timestamp`` → its UTC wall time as
+    ``timestamp_ntz``, built from epoch microseconds."""
+    us = F.unix_micros(_c(col))
+    days = F.floor(us / 86_400_000_000).cast("int")
+    rest = us - days.cast("long") * 86_400_000_000
+    d = F.date_from_unix_date(days)
+    secs = (rest / 1_000_000.0)
+    return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), F.floor(secs / 3600).cast("int"),
+                                F.floor(secs / 60).cast("int") % 60, (secs % 60).cast("decimal(16,6)"))
+
+
 def admission_parts(df: DataFrame, col: str, prefix: str = "admission") -> DataFrame:
     """hour, day of week, month and quarter of one time column."""
     c = F.col(col)

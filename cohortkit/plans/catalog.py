@@ -1451,6 +1451,52 @@ def q_S11(spark, d):
     return a.join(b, "id").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("s1") - F.col("s2"))).alias("max_diff"))
 
 
+# --- Structured Streaming ---------------------------------------------------------------------
+
+def q_stream_features(spark, d):
+    """F02–F05 on a stream: the events table read with ``readStream``,
+    features added per micro-batch, written (availableNow) to a Parquet sink
+    in the checkpoint folder with its own streaming checkpoint, read back."""
+    import os
+    from cohortkit.streaming import features as sf
+    schema = spark.read.parquet(os.path.join(d, "events.parquet")).schema
+    # A streaming file source watches a directory or a glob; the character
+    # class makes a glob that matches exactly the one table file.
+    stream = sf.read_stream(spark, os.path.join(d, "event[s].parquet"), schema, max_files_per_trigger=1)
+    out = _scratch(spark, "stream")
+    q = (sf.stream_features(stream, ["ts"]).writeStream.format("parquet").option("path", f"{out}/data")
+         .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return r6(spark.read.parquet(f"{out}/data"))
+
+
+SQL_stream_features = f"SELECT {EV_SEL}, {', '.join(_TS_PARTS)} FROM events"
+
+
+def q_stream_series(spark, d):
+    """D05 on a stream: watermarked daily windows per event type.  The
+    aggregate runs in complete mode and each micro-batch overwrites the
+    Parquet result, so the last batch leaves the full table."""
+    import os
+    from cohortkit.streaming import features as sf
+    schema = spark.read.parquet(os.path.join(d, "events.parquet")).schema
+    stream = sf.read_stream(spark, os.path.join(d, "event[s].parquet"), schema, max_files_per_trigger=1)
+    stream = stream.withColumn("ts", tm.instant_of("ts"))  # watermarks need a zoned timestamp
+    out = _scratch(spark, "series")
+    series = sf.windowed_series(stream, "ts", "1 day", "1 day", ["event_type"], "value")
+
+    def sink(batch, epoch):
+        batch.select("bucket", "event_type", "n", "value_mean").write.mode("overwrite").parquet(f"{out}/data")
+
+    sf.run_once(series, f"{out}/checkpoint", sink, output_mode="complete")
+    res = spark.read.parquet(f"{out}/data")
+    return r6(res.select(tm.wall_time_of("bucket").alias("bucket"), "event_type", "n", "value_mean"))
+
+
+SQL_stream_series = ("SELECT date_trunc('day', ts) AS bucket, event_type, count(*) AS n, round(avg(value), 6) AS value_mean "
+                     "FROM events GROUP BY 1, 2")
+
+
 # --- M / X: models and explanations (rows-only: seeded, no SQL oracle) -------------------
 
 ADM_FEATURES = ["o_totalprice", "c_acctbal", "n_lines", "qty_mean", "price_mean", "disc_mean", "share_f", "los_mean"]
