@@ -249,8 +249,6 @@ def _refine(long, t, keys, by, eps, accuracy, max_candidates):
     span = F.greatest(F.col("inb") - 1, F.lit(1))
     q0 = (F.col("r0") - F.col("below")) / span
     q1 = (F.col("r1") - F.col("below")) / span
-    j = j.withColumn("_q", F.array(F.greatest(q0 - 2 * eps, F.lit(0.0)),
-                                   F.least(q1 + 2 * eps, F.lit(1.0))))
     # percentile_approx needs a foldable percentage, so sketch at a fixed
     # grid and pick the grid points around each target afterwards.
     grid = [i / 1000.0 for i in range(1001)]

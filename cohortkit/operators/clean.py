@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.functions.ordered import melt, quantile_values, quantiles
+from cohortkit.functions.ordered import quantile_values, quantiles
 from cohortkit.operators.select import (cast_columns, columns_of_kind, drop_duplicates, drop_null_keys,
                                         inf_to_null)
 
