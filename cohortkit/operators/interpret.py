@@ -252,7 +252,7 @@ def counterfactuals(model, df: DataFrame, instances: DataFrame, features: Sequen
     an LSH similarity join -- approximate: an instance whose buckets hold no
     such row within ``max_distance`` gets none.  Output
     ``(key…, cf_key…, distance)``."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH, VectorAssembler
+    from pyspark.ml.feature import VectorAssembler
     key = list(key)
     feats = list(features)
     st = df.agg(*[e for f in feats for e in (F.avg(f).alias(f"m_{f}"), F.stddev_pop(f).alias(f"s_{f}"))]).first()
@@ -264,8 +264,8 @@ def counterfactuals(model, df: DataFrame, instances: DataFrame, features: Sequen
     va = VectorAssembler(inputCols=feats, outputCol="_ck_v")
     a = va.transform(z(_pred(model, instances)))
     b = va.transform(z(_pred(model, df)))
-    lsh = BucketedRandomProjectionLSH(inputCol="_ck_v", outputCol="_ck_h", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=seed).fit(b)
+    from cohortkit.operators.ml import fit_lsh_bounded
+    lsh, _ = fit_lsh_bounded(b, "_ck_v", bucket_length, num_tables, seed)
     j = lsh.approxSimilarityJoin(a, b, max_distance, "distance")
     j = j.where(F.col("datasetA.prediction") != F.col("datasetB.prediction"))
     best = j.groupBy(*[F.col(f"datasetA.{k}").alias(k) for k in key]).agg(

@@ -121,6 +121,28 @@ def with_class_weights(df: DataFrame, label: str = "label", name: str = "weight"
     return df.join(F.broadcast(w), F.col(label) == F.col("_ck_lab")).drop("_ck_lab")
 
 
+def fit_lsh_bounded(df: DataFrame, vec: str, bucket_length: float, num_tables: int, seed: int,
+                    max_bucket: int = 5_000, max_halvings: int = 12):
+    """Euclidean LSH whose largest bucket holds at most ``max_bucket`` rows.
+
+    A similarity join compares the rows that share a bucket, so bucket
+    size bounds the pairs.  The largest bucket is measured (a partial-
+    aggregated count per table and bucket) and the bucket length halved
+    until it fits.  Identical vectors can never be separated, so callers
+    should pass distinct vectors.  Returns ``(model, bucket_length)``.
+    """
+    b = float(bucket_length)
+    for _ in range(max_halvings + 1):
+        m = BucketedRandomProjectionLSH(inputCol=vec, outputCol="_ck_h", bucketLength=b,
+                                        numHashTables=num_tables, seed=seed).fit(df)
+        h = m.transform(df).select(F.posexplode("_ck_h").alias("_ck_t", "_ck_b"))
+        biggest = h.groupBy("_ck_t", vector_to_array("_ck_b")[0].alias("_ck_v")).count().agg(F.max("count")).first()[0]
+        if biggest is None or biggest <= max_bucket:
+            return m, b
+        b /= 2.0
+    raise ValueError(f"LSH buckets still exceed {max_bucket} rows; are many vectors identical?")
+
+
 def smote(df: DataFrame, cols: Sequence[str], label: str = "label", key: Sequence[str] = ("id",), k: int = 5,
           seed: int = 42, bucket_length: float = 2.0, num_tables: int = 3, max_distance: float | None = None) -> DataFrame:
     """Synthetic minority rows x + u·(nn − x) toward one of the k
@@ -128,9 +150,11 @@ def smote(df: DataFrame, cols: Sequence[str], label: str = "label", key: Sequenc
 
     Neighbours come from ``BucketedRandomProjectionLSH.approxSimilarityJoin``
     inside the minority class (approximate: a row whose LSH buckets hold no
-    other minority row yields no synthetic rows).  Each minority row makes
-    ``ceil(deficit / n_min)`` candidates, the first ``deficit`` by hash are
-    kept: the output size is exact.
+    other minority row yields no synthetic rows).  Bucket sizes are bounded
+    (``fit_lsh_bounded``), so the join never compares all pairs of a dense
+    cluster.  With deficit = q·n_min + r, every minority row with a
+    neighbour makes q synthetic rows and r of them (first in seeded-hash
+    order) one more: the output size is exact when every row has one.
     """
     cols, key = list(cols), list(key)
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per label
@@ -140,26 +164,27 @@ def smote(df: DataFrame, cols: Sequence[str], label: str = "label", key: Sequenc
     deficit = max(counts.values()) - counts[minority]
     if deficit == 0:
         return df
-    mino = assemble(df.where(F.col(label) == minority), cols, "_ck_v")
-    lsh = BucketedRandomProjectionLSH(inputCol="_ck_v", outputCol="_ck_h", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=seed).fit(mino)
+    rows = df.where(F.col(label) == minority)
+    # Neighbours are searched among distinct vectors (identical rows can
+    # never be split into smaller buckets); duplicates share them.
+    mino = assemble(rows.select(*cols).dropDuplicates(), cols, "_ck_v")
+    lsh, _ = fit_lsh_bounded(mino, "_ck_v", bucket_length, num_tables, seed)
     thr = max_distance if max_distance is not None else bucket_length * 2
-    a = mino.select(*[F.col(c).alias(f"a_{c}") for c in key + cols], "_ck_v")
-    pairs = lsh.approxSimilarityJoin(mino.select(*key, *cols, "_ck_v"), mino.select(*key, *cols, "_ck_v"), thr, "dist")
-    same = F.lit(True)
-    for c in key:
-        same = same & (F.col(f"datasetA.{c}") == F.col(f"datasetB.{c}"))
-    pairs = pairs.where(~same).select(*[F.col(f"datasetA.{c}").alias(c) for c in key + cols],
-                                      *[F.col(f"datasetB.{c}").alias(f"nn_{c}") for c in cols], "dist")
-    w = Window.partitionBy(*key).orderBy("dist", *[f"nn_{c}" for c in cols])
-    nn = pairs.withColumn("_ck_r", F.row_number().over(w)).where(F.col("_ck_r") <= k)
+    pairs = lsh.approxSimilarityJoin(mino, mino, thr, "dist").where(F.col("dist") > 0)
+    pairs = pairs.select(*[F.col(f"datasetA.{c}").alias(c) for c in cols],
+                         *[F.col(f"datasetB.{c}").alias(f"nn_{c}") for c in cols], "dist")
+    w = Window.partitionBy(*cols).orderBy("dist", *[f"nn_{c}" for c in cols])
+    best = pairs.withColumn("_ck_r", F.row_number().over(w)).where(F.col("_ck_r") <= k)
+    nn = rows.select(*key, *cols).join(best, cols)
     # deficit = q·n_min + r: every minority row makes q synthetic rows, and
     # the r rows first in seeded-hash order make one more.
     q, r = divmod(deficit, counts[minority])
     first = nn.where(F.col("_ck_r") == 1).select(*key).withColumn("_ck_hk", hash_key(key, seed))
     extra = row_index(first, ["_ck_hk", *key], name="_ck_i").select(*key, (F.col("_ck_i") < r).alias("_ck_extra"))
     nn = nn.join(extra, key)
-    reps = F.sequence(F.lit(0), F.when(F.col("_ck_extra"), F.lit(q)).otherwise(F.lit(q - 1)))
+    n_reps = F.lit(q) + F.col("_ck_extra").cast("int")
+    # sequence(0, -1) would count down, so an empty array when n_reps = 0.
+    reps = F.when(n_reps > 0, F.sequence(F.lit(0), n_reps - 1)).otherwise(F.array().cast("array<int>"))
     cand = nn.select("*", F.explode(reps).alias("_ck_rep"))
     cand = cand.withColumn("_ck_pick", F.pmod(F.xxhash64(F.lit(seed), F.col("_ck_rep"), *[F.col(c) for c in key]),
                                                F.lit(k)) + 1)

@@ -79,3 +79,25 @@ def test_explanations(spark, sep):
         spark.createDataFrame([("a", 3.0), ("b", 2.0), ("c", 1.0)], "feature string, importance double"),
         spark.createDataFrame([("a", 30.0), ("b", 20.0), ("c", 10.0)], "feature string, importance double")).first()
     assert cmp_["spearman"] == pytest.approx(1.0)
+
+
+def test_lsh_buckets_are_bounded(spark):
+    from pyspark.ml.functions import vector_to_array
+    rows = [(i, float(i % 97) / 1000.0, float(i % 89) / 1000.0) for i in range(3000)]  # one dense blob
+    df = ml.assemble(spark.createDataFrame(rows, "id long, a double, b double"), ["a", "b"], "v")
+    model, b = ml.fit_lsh_bounded(df, "v", bucket_length=10.0, num_tables=2, seed=1, max_bucket=200)
+    assert b < 10.0
+    h = model.transform(df).select(F.posexplode("_ck_h").alias("t", "x"))
+    biggest = h.groupBy("t", vector_to_array("x")[0].alias("k")).count().agg(F.max("count")).first()[0]
+    assert biggest <= 200
+
+
+@pytest.mark.parametrize("keep_every", [4, 2])
+def test_smote_exact_size_small_and_large_deficit(sep, keep_every):
+    imb = sep.where((F.col("label") == 0) | (F.col("id") % keep_every == 0))
+    dup = imb.unionByName(imb.where(F.col("label") == 1).limit(5).withColumn("id", F.col("id") + 100000))
+    counts_dup = {r[0]: r[1] for r in dup.groupBy("label").count().collect()}
+    bal = ml.smote(dup, ["x1", "x2"], "label", ["id"], k=3, bucket_length=1.0, max_distance=3.0)
+    after = {r[0]: r[1] for r in bal.groupBy("label").count().collect()}
+    assert after[0] == counts_dup[0]
+    assert after[1] == counts_dup[0]  # every minority row has a neighbour here: exact balance
