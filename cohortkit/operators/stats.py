@@ -161,12 +161,15 @@ def _pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def rank_columns(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
-    """Replace each column by its average rank (ties averaged), via a
-    distributed rank table of its distinct values joined back."""
+    """Replace each column by its average rank (ties averaged).  One
+    ranking job for all columns (long form, grouped by column); each
+    column's table of distinct values and ranks is joined back."""
+    ranks = average_rank(melt(df, cols), "value", by=["column"], name="rank")
     out = df
     for c in cols:
-        r = average_rank(df, c, name=f"_ck_r_{c}").select(c, f"_ck_r_{c}")
-        out = out.join(r, c, "left")
+        r = ranks.where(F.col("column") == c).select(F.col("value").alias(f"_ck_v_{c}"),
+                                                     F.col("rank").alias(f"_ck_r_{c}"))
+        out = out.join(r, F.col(c).cast("double") == F.col(f"_ck_v_{c}"), "left").drop(f"_ck_v_{c}")
     return out.select(*[F.col(f"_ck_r_{c}").alias(c + suffix) if c in set(cols) else F.col(c)
                         for c in df.columns])
 

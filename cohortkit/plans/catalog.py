@@ -1022,6 +1022,23 @@ SQL_U02 = (f"(SELECT feature FROM ({_RANK_A}) a ORDER BY importance DESC, featur
            f"(SELECT feature FROM ({_RANK_B}) b ORDER BY importance DESC, feature LIMIT 5)")
 
 
+def q_X09_rankings(spark, d):
+    """X09 on data-derived rankings: Spearman correlation between features'
+    |corr| with two different targets."""
+    a, b = _two_rankings(Tables(spark, d))
+    return r6(xp.compare_explanations(a, b))
+
+
+SQL_X09_rankings = f"""
+SELECT round(corr(ra, rb), 6) AS spearman, count(*) AS n_features FROM (
+  SELECT (rank() OVER (ORDER BY a.importance) + rank() OVER (ORDER BY a.importance)
+          + count(*) OVER (PARTITION BY a.importance) - 1) / 2.0 AS ra,
+         (rank() OVER (ORDER BY b.importance) + rank() OVER (ORDER BY b.importance)
+          + count(*) OVER (PARTITION BY b.importance) - 1) / 2.0 AS rb
+  FROM ({_RANK_A}) a JOIN ({_RANK_B}) b ON a.feature = b.feature) r
+"""
+
+
 def q_U03(spark, d):
     li = Tables(spark, d).lineitem
     extra = li.where(F.col("l_returnflag") == "R").select("l_orderkey", "l_linenumber", "l_quantity")
