@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.functions.ordered import quantile_values, quantiles
+from cohortkit.functions.ordered import melt, quantile_values, quantiles
 from cohortkit.operators.select import (cast_columns, columns_of_kind, drop_duplicates, drop_null_keys,
                                         inf_to_null)
 
@@ -27,6 +27,18 @@ def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return best.select("column", F.col("b.value").alias("mode"), (-F.col("b.neg")).alias("mode_count"))
 
 
+def numeric_modes(df: DataFrame, cols: Sequence[str]) -> dict:
+    """Most frequent value of numeric columns; ties → numerically smallest
+    (``SimpleImputer(strategy='most_frequent')``).  NaN is not a value."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    long = melt(df, cols)
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col("value"))).alias("b"))
+    return {r["column"]: r["b"]["value"] for r in best.collect()}
+
+
 def mode_values(df: DataFrame, cols: Sequence[str]) -> dict:
     return {r["column"]: r["mode"] for r in column_modes(df, cols).collect()} if cols else {}
 
@@ -94,8 +106,7 @@ def handle_missing(df: DataFrame, numeric_strategy: str = "median", fill_value:
         row = df.agg(*[F.avg(c).alias(c) for c in num]).first() if num else None
         fills = {c: row[c] for c in num} if row else {}
     elif numeric_strategy == "most_frequent":
-        m = mode_values(df.select(*[F.col(c).cast("double").alias(c) for c in num]), num)
-        fills = {c: float(v) for c, v in m.items() if v is not None}
+        fills = numeric_modes(df, num)
     elif numeric_strategy == "constant":
         fills = {c: fill_value for c in num}
     else:

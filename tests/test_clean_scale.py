@@ -80,3 +80,10 @@ def test_inf_to_null_and_drop_any_null(dirty):
     out = sel.inf_to_null(dirty)
     assert out.where(F.col("x").isNull()).count() == 4
     assert sel.drop_any_null(dirty).count() == 2
+
+
+def test_most_frequent_ties_are_numeric(spark):
+    df = spark.createDataFrame([(9.0,), (9.0,), (10.0,), (10.0,), (None,)], "x double")
+    assert clean.numeric_modes(df, ["x"]) == {"x": 9.0}
+    out = [r[0] for r in clean.handle_missing(df, "most_frequent").collect()]
+    assert out[-1] == 9.0
