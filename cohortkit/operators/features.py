@@ -56,7 +56,8 @@ def tfidf_features(df: DataFrame, key: str, text: str, max_features: int = 100,
                    stop_words: Sequence[str] | None = None, prefix: str | None = None) -> DataFrame:
     """TF-IDF block ``{text}_tfidf_{i}`` (i = position of the term in
     the sorted vocabulary), raw counts × smoothed idf, L2-normalised per
-    row.  Rows without vocabulary terms get zeros.
+    row.  Rows without vocabulary terms get zeros.  ``key`` identifies a
+    document (its text is assumed to be the same on every row of the key).
 
     Work: a tokenize + partial-aggregated term count feeds a vocabulary
     aggregate (top-k, ≤ ``max_features`` rows to the driver); the weights
@@ -65,8 +66,11 @@ def tfidf_features(df: DataFrame, key: str, text: str, max_features: int = 100,
     ``key``.
     """
     prefix = prefix or f"{text}_tfidf"
-    tf = term_counts(df, key, text, stop_words)
-    n_docs = df.count()
+    # One document per key: a text repeated on many rows of the same key
+    # (e.g. an admission's text on each of its lab rows) counts once.
+    docs = df.select(key, text).dropDuplicates([key])
+    tf = term_counts(docs, key, text, stop_words)
+    n_docs = docs.count()
     vocab = tfidf_vocabulary(tf, n_docs, max_features)
     names = [f"{prefix}_{i}" for i in range(len(vocab))]
     if not vocab:
