@@ -161,6 +161,9 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: dict[str, float],
     by = list(by)
     keys = by + ["column"]
     names = list(probs)
+    if not by and df.limit(max_candidates + 1).count() <= max_candidates:
+        # Whole table small: one pass, every column's exact percentile at once.
+        return _small_table_exact(df, list(cols), probs)
     long = melt(df, cols, by)
     sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ck_n"))
     hot = sizes.where(F.col("_ck_n") > max_candidates).select(*keys)
@@ -172,6 +175,21 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: dict[str, float],
         _selection(heavy, keys, names, probs, by, accuracy, max_candidates, max_rounds))
 
 
+def _small_table_exact(df: DataFrame, cols: list[str], probs: dict[str, float]) -> DataFrame:
+    names = list(probs)
+    pv = [float(probs[n]) for n in names]
+
+    def clean(c):
+        x = F.col(c).cast("double")
+        return F.when(~F.isnan(x), x)
+
+    row = df.agg(*[F.percentile(clean(c), pv).alias(f"_ck_q{i}") for i, c in enumerate(cols)])
+    # One row per column that has a value (as the grouped path returns).
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), *[F.col(f"_ck_q{i}")[j].alias(n) for j, n in enumerate(names)])
+        for i, c in enumerate(cols)])).alias("r")).select("r.*").where(F.col(names[0]).isNotNull())
+
+
 def _small_groups_exact(long: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
     names = list(probs)
     g = long.groupBy(*keys).agg(
