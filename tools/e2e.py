@@ -3,7 +3,13 @@ test data: preprocess -> engineer -> eda -> train -> interpret.
 
     python tools/e2e.py [/root/testdata/sf0.01]
 """
-import sys, time, tempfile; sys.path.insert(0, __import__('os').path.dirname(__import__('os').path.dirname(__import__('os').path.abspath(__file__))))
+import os
+import sys
+import tempfile
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from pyspark.sql import functions as F
 from cohortkit.session import get_session
 from cohortkit.plans import stages
