@@ -138,15 +138,33 @@ WIDE_COLS = ORD_COLS + CUST_COLS + LI_COLS
 def q_flagship(spark, d):
     """J01 → J02 → U01 → A03 + J03 → W01/W02 → F06 in one plan.
 
-    Hot admissions are found from the lab table's key column alone (a
-    partial-aggregated count); ordinary admissions then need a single
-    shuffle for statistics and trend together."""
+    Duplicates are removed below the join (distinct(L ⋈ R) equals
+    distinct(L) ⋈ distinct(R)).  Hot admissions are found from the lab
+    table's key column alone and take the bounded-memory paths; the other
+    lab rows are hash-partitioned by admission once, and that one shuffle
+    serves the dedup, the join and the statistics/trend window."""
     t = Tables(spark, d)
-    w = sel.drop_duplicates(wide(t)).where(F.col("l_orderkey").isNotNull())
-    labs = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
-    hot = lab.find_hot_keys(labs, ["o_orderkey"], lab.HOT_ROWS, TREND_ORDER[0])
-    feats = lab.key_features(w.select("o_orderkey", "o_orderdate", *TREND_ORDER, "l_quantity"), "o_orderkey",
-                             TREND_ORDER, ["l_quantity"], hot=hot)
+    a = sel.drop_duplicates(adm(t)).select("o_orderkey", "o_orderdate")
+    li = t.lineitem.select("l_orderkey", *TREND_ORDER, "l_quantity")
+    keyed = li.select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
+    hot = lab.find_hot_keys(keyed, ["o_orderkey"], lab.HOT_ROWS, TREND_ORDER[0])
+    # U01 on the full lab rows (all columns), before projecting.
+    full = t.lineitem
+    if hot:
+        hot_df = F.broadcast(spark.createDataFrame([(r["o_orderkey"],) for r in hot], "l_orderkey long"))
+        normal_li, hot_li = full.join(hot_df, "l_orderkey", "left_anti"), full.join(hot_df, "l_orderkey", "left_semi")
+    else:
+        normal_li, hot_li = full, None
+
+    def joined(rows):
+        return a.join(rows, a.o_orderkey == rows.l_orderkey).select(
+            "o_orderkey", "o_orderdate", *TREND_ORDER, "l_quantity")
+
+    normal = joined(sel.drop_duplicates(normal_li.repartition("l_orderkey")))
+    feats = lab.key_features(normal, "o_orderkey", TREND_ORDER, ["l_quantity"], hot=[])
+    if hot_li is not None:
+        heavy = joined(sel.drop_duplicates(hot_li))
+        feats = feats.unionByName(lab.key_features(heavy, "o_orderkey", TREND_ORDER, ["l_quantity"], hot=hot))
     out = feats.select(
         "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
         *[f"l_quantity_{s}" for s in lab.STAT_SUFFIXES], "l_quantity_trend", "l_quantity_trend_sign",
