@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Reliable checkpoints are removed once their DataFrame is garbage
+    # collected, so the shared checkpoint folder does not grow run by run.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
