@@ -2,8 +2,9 @@
 
 1. Seeds: of every ``w`` consecutive word k-mers of a text the one with the least hash
    (a minimizer), so any two texts that share ``k + w - 1`` words share a seed.
-2. Every occurrence of a seed is matched with its first one (least id and place), so a seed
-   that m documents share makes m - 1 matches, not m squared.
+2. Every occurrence of a seed is matched with its first one (least id and place), if that is in another
+   document, so a seed with m occurrences makes at most m - 1 matches, not m squared.  What
+   repeats only within one document is not looked for.
 3. The matches of two texts are put together where they continue each other, and chained: the best
    chain that ends in a piece is its length plus the best earlier chain less a cost for the gaps on both
    sides, found by a Fenwick tree of prefix maxima.
@@ -186,7 +187,7 @@ def _texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 8, w: int = 10, min_words: int = 25,
              report_words: int = 50, identity: float = 0.8, gap: int = 32, margin: int = 64) -> DataFrame:
     """``id, first_word, stop_word, match_id, match_first_word, match_stop_word, n_equal, identity`` per
-    passage of ``id`` that ``match_id`` (earlier in id, or the same text at least ``min_words`` earlier)
+    passage of ``id`` that ``match_id`` (another document with a smaller id)
     has as well, if the passage and those it touches span ``report_words`` words or more.  Words are runs of
     characters other than ASCII white space, A-Z lower-cased."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
@@ -209,7 +210,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     places = stored(places.join(shared, "s").distinct(), "passage-places")
     first = stored(places.groupBy("s").agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
                    .select("s", F.col("f.id").alias("match_id"), F.col("f.at").alias("match_at")), "passage-first")
-    matches = places.join(first, "s").filter((F.col("id") != F.col("match_id")) | (F.col("at") - F.col("match_at") >= min_words)).select("id", "match_id", "at", "match_at")
+    matches = places.join(first, "s").filter("id <> match_id").select("id", "match_id", "at", "match_at")
 
     def chain(part: pa.Table) -> pa.Table:
         own = part["id"][0].as_py(), part["match_id"][0].as_py()
