@@ -133,16 +133,17 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     order = next_ids(sizes.select("id"))
     need = stored(order.join(sizes, "id").select(F.col("next_id").alias("id"), F.col("id").alias("to_id"), F.floor(F.col("n") / 3).cast("int").alias("k")), "simhash-need")
     repeated = sizes.filter("rows > 1 AND id IS NOT NULL").select("id")
-    heads = rows.join(need, "id").select("to_id", "id", F.xxhash64("text").alias("next_key"), F.expr("left(text, k)").alias("head"))
+    known = rows.filter("id IS NOT NULL")
+    source = known
     if repeated.limit(1).count():
-        least = rows.join(repeated, "id").groupBy("id").agg(F.min("text").alias("text"))
-        one = rows.join(repeated, "id", "left_anti").unionByName(least)
-        heads = one.join(need, "id").select("to_id", "id", F.xxhash64("text").alias("next_key"), F.expr("left(text, k)").alias("head"))
-    heads = heads.select(F.col("to_id").alias("id"), F.col("id").alias("next_id"), "next_key", "head")
-    joined = rows.join(heads, "id", "left")
-    third = F.floor(F.char_length("text") / 3).cast("int")
-    edited = F.concat(F.expr("left(text, char_length(text) - cast(floor(char_length(text) / 3) AS int))"),
-                      F.coalesce(F.substring("head", F.lit(1), third), F.lit("")))
+        least = known.join(repeated, "id").groupBy("id").agg(F.min("text").alias("text"))
+        source = known.join(repeated, "id", "left_anti").unionByName(least)
+    heads = source.join(need, "id").select(F.col("to_id").alias("id"), F.col("id").alias("next_id"), F.xxhash64("text").alias("next_key"),
+                                           F.expr("left(text, k)").alias("head"))
+    # Every id has a next one: an inner join, which reads the same exchange of (id, text) as the join above.
+    alone = rows.filter("id IS NULL").withColumns({"next_id": F.lit(None).cast("bigint"), "next_key": F.lit(None).cast("bigint"), "head": F.lit("")})
+    joined = known.join(heads, "id").unionByName(alone)
+    edited = F.expr("concat(left(text, char_length(text) - cast(floor(char_length(text) / 3) AS int)), left(head, cast(floor(char_length(text) / 3) AS int)))")
     return joined.select("id", "text", edited.alias("edited"), "next_id", "next_key")
 
 
