@@ -74,6 +74,7 @@ class PrefixMax:
 
 def pieces(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> list[tuple[int, int, int]]:
     """Matches (x, y) on one diagonal within ``reach`` of each other, as (x, y, length)."""
+    x, y = np.unique(np.stack([x, y]), axis=1)
     order = np.lexsort((x, y - x))
     x, y = x[order], y[order]
     new = np.r_[True, (np.diff(y - x) != 0) | (np.diff(x) > reach)]
@@ -184,7 +185,7 @@ def _texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").select("id", "text")
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 8, w: int = 10, min_words: int = 25,
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 8, w: int = 14, min_words: int = 25,
              report_words: int = 50, identity: float = 0.8, gap: int = 32, margin: int = 64) -> DataFrame:
     """``id, first_word, stop_word, match_id, match_first_word, match_stop_word, n_equal, identity`` per
     passage of ``id`` that ``match_id`` (another document with a smaller id)
@@ -207,20 +208,28 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     found = stored(rows.mapInArrow(seeds, "id bigint, s array<bigint>, at array<int>").filter("size(s) > 0"), "passage-seeds")
     shared = stored(found.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("s"), "passage-shared")
     places = found.select("id", F.explode(F.arrays_zip("s", "at")).alias("p")).select("id", "p.s", "p.at")
-    places = stored(places.join(shared, "s").distinct(), "passage-places")
+    places = stored(places.join(shared, "s"), "passage-places")  # repeated rows repeat their places
     first = stored(places.groupBy("s").agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
                    .select("s", F.col("f.id").alias("match_id"), F.col("f.at").alias("match_at")), "passage-first")
     matches = places.join(first, "s").filter("id <> match_id").select("id", "match_id", "at", "match_at")
 
     def chain(part: pa.Table) -> pa.Table:
-        own = part["id"][0].as_py(), part["match_id"][0].as_py()
-        every = chains(pieces(part["at"].to_numpy().astype(np.int64), part["match_at"].to_numpy().astype(np.int64), k, gap), gap)
-        n = len(every)
-        return pa.table({"id": pa.array([own[0]] * n, pa.int64()), "match_id": pa.array([own[1]] * n, pa.int64()),
-                         "from": pa.array([max(0, c[0][1] - margin) for c in every], pa.int32()), "to": pa.array([c[-1][1] + c[-1][2] + margin for c in every], pa.int32()),
-                         "chain": pa.array([[v for p in c for v in p] for c in every], pa.list_(pa.int32()))})
-
-    got = stored(matches.groupBy("id", "match_id").applyInArrow(chain, "id bigint, match_id bigint, `from` int, `to` int, chain array<int>"), "passage-chains")
+        """The matches of many pairs of documents, sorted by pair."""
+        part = part.sort_by([("id", "ascending"), ("match_id", "ascending")])
+        ids, match_ids, x, y = (part[c].to_numpy().astype(np.int64) for c in ("id", "match_id", "at", "match_at"))
+        starts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (match_ids[1:] != match_ids[:-1])])
+        out = []
+        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]):
+            parts = pieces(x[lo:hi], y[lo:hi], k, gap) if hi - lo > 1 else [(int(x[lo]), int(y[lo]), k)]
+            out += [(int(ids[lo]), int(match_ids[lo]), c) for c in chains(parts, gap)]
+        return pa.table({"id": pa.array([o[0] for o in out], pa.int64()), "match_id": pa.array([o[1] for o in out], pa.int64()),
+                         "from": pa.array([max(0, o[2][0][1] - margin) for o in out], pa.int32()),
+                         "to": pa.array([o[2][-1][1] + o[2][-1][2] + margin for o in out], pa.int32()),
+                         "chain": pa.array([[v for p in o[2] for v in p] for o in out], pa.list_(pa.int32()))})
+
+    matches = stored(matches, "passage-matches")
+    deal = F.pmod(F.xxhash64("id", "match_id"), F.lit(max(1, matches.count() // 50_000)))  # many pairs to a call
+    got = stored(matches.withColumn("deal", deal).groupBy("deal").applyInArrow(chain, "id bigint, match_id bigint, `from` int, `to` int, chain array<int>"), "passage-chains")
 
     # Words of the first places: each wanted stretch once, however many documents match it.
     wanted = got.select(F.col("match_id").alias("id"), "from", "to").distinct().groupBy("id").agg(F.collect_list(F.struct("from", "to")).alias("parts"))
