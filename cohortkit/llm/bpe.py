@@ -35,7 +35,7 @@ def _pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", max_words: int = 200_000) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", max_words: int = 150_000) -> DataFrame:
     """``docs`` with ``ids_col``, the packed ids of the whole text."""
     require_word_tokenizer(tokenizer)
     spark = docs.sparkSession
@@ -47,7 +47,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str
     def run(batches):
         known = Words(table.value, tokenizer, _pack)
         for batch in batches:
-            for begin, texts in text_slices(batch.column(at)):
+            for begin, texts in text_slices(batch.column(at), 1 << 20):
                 words = [t.split() for t in texts]
                 known.ready(words)
                 ids = [b"".join(known.of(w)) for w in words]

@@ -21,7 +21,7 @@ from .common import plus, text_slices, without
 from .word_table import Words, require_word_tokenizer, word_table
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", limit: int = 2048, max_words: int = 200_000) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", limit: int = 2048, max_words: int = 150_000) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_tokens`` and ``over_limit`` (more than ``limit`` tokens)."""
     require_word_tokenizer(tokenizer)
     docs = without(docs, "n_bytes", "n_tokens", "over_limit")
@@ -32,7 +32,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", limit:
     def run(batches):
         known = Words(table.value, tokenizer, len)
         for batch in batches:
-            for begin, texts in text_slices(batch.column(at)):
+            for begin, texts in text_slices(batch.column(at), 1 << 20):
                 freqs = [Counter(t.split()) for t in texts]
                 known.ready(freqs)
                 sums = [sum(map(int.__mul__, known.of(f), f.values())) for f in freqs]

@@ -29,7 +29,7 @@ from .common import stored, text_slices, tokenizer_path, worker_cache
 MAX_WORD_BYTES = 48
 #: Words a task counts before it hands its counts on, and rare words it keeps encoded.
 FLUSH_WORDS = 300_000
-TAIL_WORDS = 150_000
+TAIL_WORDS = 100_000
 
 
 def load_tokenizer(name: str):
@@ -84,7 +84,7 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def word_table(docs: DataFrame, text_col: str, tokenizer: str, max_words: int = 200_000) -> DataFrame:
+def word_table(docs: DataFrame, text_col: str, tokenizer: str, max_words: int = 150_000) -> DataFrame:
     """``word, n, ids`` of the most frequent words of ``docs``, each encoded once.
 
     The least count that enters is the smallest for which at most
