@@ -19,7 +19,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from cohortkit.session import checkpoint_dir
 
 _PID = "_ck_pid"
 
@@ -34,45 +35,22 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def order_number(df: DataFrame, col: str, descending: bool = False) -> Column:
-    """A double that never decreases along the order of ``col``.
+def cut_by_range(df: DataFrame, order: Sequence[str], n: int, name: str = _PID, descending: bool = False) -> DataFrame:
+    """``df`` dealt into ``n`` consecutive ranges of ``order`` (all columns, Spark's
+    own order: nulls first and NaN last ascending), each row with its range
+    number in ``name``.
 
-    Numbers cast; timestamps become epoch microseconds; text becomes its
-    first six UTF-8 bytes read as a 48-bit integer (byte order is Spark's
-    string order).  NULLs map to -inf (nulls first).  Only used to cut the
-    order into buckets; exact order inside a bucket comes from the column.
+    The ranges come from Spark's sample of the rows, so each holds about a
+    1/n-th of them however many there are.  The sample may differ from run to
+    run, so rows and numbers are kept in a reliable checkpoint that every
+    consumer reads; rows equal in all order columns share a range.
     """
-    dt = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dt, T.StringType):
-        v = F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
-    elif isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        from cohortkit.functions.temporal import epoch_micros
-        v = epoch_micros(c, dt).cast("double")
-    elif isinstance(dt, T.BooleanType):
-        v = c.cast("int").cast("double")
-    else:
-        v = c.cast("double")
-    v = -v if descending else v
-    return F.coalesce(v, F.lit(float("-inf")))
-
-
-def bucket_splits(df: DataFrame, col: str, n: int, rel_err: float = 1e-3) -> list[float]:
-    """``n`` roughly equal-count buckets of a double column: split points
-    from Spark's mergeable quantile sketch (bounded memory, one pass)."""
-    if n <= 1:
-        return [float("-inf"), 0.0, float("inf")]
-    qs = df.approxQuantile(col, [i / n for i in range(1, n)], rel_err)
-    inner = sorted(set(q for q in qs if q is not None and q == q and abs(q) != float("inf")))
-    return [float("-inf"), *(inner or [0.0]), float("inf")]
-
-
-def bucketize(df: DataFrame, col: str, splits: list[float], out: str) -> DataFrame:
-    """Bucket index of a double column by binary search (``Bucketizer``);
-    a deterministic function of the row, so every consumer agrees."""
-    from pyspark.ml.feature import Bucketizer
-    b = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep")
-    return b.transform(df).withColumn(out, F.col(out).cast("int"))
+    checkpoint_dir(df.sparkSession)
+    return df.repartitionByRange(n, *_ordering(order, descending)).withColumn(name, F.spark_partition_id()).checkpoint(eager=True)
+
+
+def _ordering(order: Sequence[str], descending: bool) -> list[Column]:
+    return [F.col(o).desc_nulls_last() if descending else F.col(o).asc_nulls_first() for o in order]
 
 
 def prefix_sums(df: DataFrame, order: Sequence, weights: dict[str, Column] | None = None,
@@ -81,34 +59,28 @@ def prefix_sums(df: DataFrame, order: Sequence, weights: dict[str, Column] | Non
     """Add one running-sum column per ``weights`` entry (default: row index).
 
     Rows are ordered by the column names in ``order`` (all ascending, or
-    all descending) inside each ``by`` group; the sum is exclusive unless
-    ``inclusive``.  Two levels: rows are cut into ``num_partitions``
-    buckets along the first order column (split points from a quantile
-    sketch, bucket by binary search), summed locally by a window over
-    (group, bucket), and shifted by the totals of earlier buckets.  Only
-    the (groups × buckets) totals table is broadcast.  Ties in the first
-    order column share a bucket, so callers aggregate heavy ties first.
+    all descending) inside each ``by`` group (null is a group); the sum is
+    exclusive unless ``inclusive``.  Two levels: rows are cut into
+    ``num_partitions`` ranges (``cut_by_range``), summed by a window over
+    (group, range), and shifted by the totals of the ranges before.
     """
     weights = dict(weights or {"_ck_idx": F.lit(1)})
     by = list(by)
-    order = [o if isinstance(o, str) else o for o in order]
     n = _num_partitions(df, num_partitions)
-    base = df.select("*", *[w.alias(f"_ck_w_{k}") for k, w in weights.items()],
-                     order_number(df, order[0], descending).alias("_ck_on"))
-    splits = bucket_splits(base, "_ck_on", n)
-    b = bucketize(base, "_ck_on", splits, _PID)
-    ocols = [F.col(o).desc_nulls_last() if descending else F.col(o).asc_nulls_first() for o in order]
-    frame = Window.partitionBy(*by, _PID).orderBy(*ocols).rowsBetween(
+    b = cut_by_range(df.select("*", *[w.alias(f"_ck_w_{k}") for k, w in weights.items()]), order, n, descending=descending)
+    frame = Window.partitionBy(*by, _PID).orderBy(*_ordering(order, descending)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = b.select("*", *[F.sum(f"_ck_w_{k}").over(frame).alias(f"_ck_l_{k}") for k in weights])
     totals = b.groupBy(*by, _PID).agg(*[F.sum(f"_ck_w_{k}").alias(f"_ck_t_{k}") for k in weights])
     before = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, _PID, *[
+    offsets = totals.select(*[F.col(c).alias(f"_ck_by_{i}") for i, c in enumerate(by)], F.col(_PID).alias("_ck_range"), *[
         F.coalesce(F.sum(f"_ck_t_{k}").over(before), F.lit(0)).alias(f"_ck_o_{k}") for k in weights])
-    # offsets: one row per (group, bucket) -- bounded by buckets × groups.
-    # Without groups the offsets table has one row per bucket: broadcast.
-    # With groups its size depends on the group count, so AQE decides.
-    joined = local.join(F.broadcast(offsets) if not by else offsets, [*by, _PID])
+    same = F.col(_PID) == F.col("_ck_range")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_ck_by_{i}"))
+    # Without groups the offsets are one row per range: broadcast.  With
+    # groups their number depends on the data, so the optimizer decides.
+    joined = local.join(F.broadcast(offsets) if not by else offsets, same)
     exprs = []
     for k in weights:
         incl = F.col(f"_ck_o_{k}") + F.col(f"_ck_l_{k}")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.functions.ordered import bucket_splits, bucketize, order_number, quantiles
+from cohortkit.functions.ordered import cut_by_range, quantiles
+from cohortkit.session import checkpoint_dir
 
 # Suffixes of the seven per-group statistics, in output order.
 STAT_SUFFIXES = ["mean", "std", "min", "max", "median", "range", "iqr"]
@@ -17,26 +18,35 @@ STAT_SUFFIXES = ["mean", "std", "min", "max", "median", "range", "iqr"]
 HOT_ROWS = 1_000_000
 
 
-def find_hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS, order: str | None = None) -> list:
-    """Keys holding more than ``hot_rows`` rows, with their row count and,
-    when ``order`` is given, the min/max of its order number.  At most
-    N / hot_rows keys can qualify, so the list is bounded."""
-    aggs = [F.count(F.lit(1)).alias("_ck_n")]
-    if order:
-        on = order_number(df, order)
-        aggs += [F.min(on).alias("_ck_lo"), F.max(on).alias("_ck_hi")]
-    hot = df.groupBy(*key).agg(*aggs).where(F.col("_ck_n") > hot_rows).limit(100_001).collect()
-    if len(hot) > 100_000:
-        raise ValueError("more than 100000 hot keys: raise hot_rows")
-    return hot
+def find_hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The keys (no NULL among them) of more than ``hot_rows`` rows with
+    their row count ``_ck_n``, in a reliable checkpoint; None if there are none.
+    They stay a DataFrame, however many there are."""
+    checkpoint_dir(df.sparkSession)
+    hot = _with_key(df, key).groupBy(*key).agg(F.count(F.lit(1)).alias("_ck_n")).where(F.col("_ck_n") > hot_rows).checkpoint(eager=True)
+    return None if hot.isEmpty() else hot
 
 
-def _hot_frame(df: DataFrame, key: Sequence[str], hot: list) -> DataFrame:
-    return df.sparkSession.createDataFrame([tuple(r[k] for k in key) for r in hot],
-                                           T.StructType([df.schema[k] for k in key]))
+def _has_key(key: Sequence[str]):
+    out = F.lit(True)
+    for k in key:
+        out = out & F.col(k).isNotNull()
+    return out
+
+
+def _with_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows without a key form no group (as pandas drops NULL groups); they
+    never reach a shuffle by key."""
+    return df.where(_has_key(key))
+
+
+def _null_features(df: DataFrame, key: Sequence[str], like: DataFrame) -> DataFrame:
+    """The rows without a key, with NULL in the columns that ``like`` adds."""
+    own = set(df.columns)
+    return df.where(~_has_key(key)).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema if f.name not in own])
 
 
-def group_stats(df: DataFrame, key: Sequence[str] | str, cols: Sequence[str], hot: list | None = None,
+def group_stats(df: DataFrame, key: Sequence[str] | str, cols: Sequence[str], hot: DataFrame | bool | None = None,
                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per key and column mean, sample std, min, max, exact median,
     range and IQR (q75 − q25, linear interpolation).
@@ -48,6 +58,7 @@ def group_stats(df: DataFrame, key: Sequence[str] | str, cols: Sequence[str], ho
     """
     key = [key] if isinstance(key, str) else list(key)
     cols = list(cols)
+    df = _with_key(df, key)
     hot = find_hot_keys(df, key, hot_rows) if hot is None else hot
 
     def stats_of(frame, with_quantiles=True):
@@ -68,9 +79,9 @@ def group_stats(df: DataFrame, key: Sequence[str] | str, cols: Sequence[str], ho
     def from_array(c, i):
         return F.col(f"{c}_q")[i]
 
-    if not hot:
+    if hot is None or hot is False:
         return shape(stats_of(df), from_array)
-    hot_df = F.broadcast(_hot_frame(df, key, hot))
+    hot_df = hot.select(*key)
     normal = shape(stats_of(df.join(hot_df, key, "left_anti")), from_array)
     heavy = df.join(hot_df, key, "left_semi")
     q = quantiles(heavy, cols, {"q25": 0.25, "median": 0.5, "q75": 0.75}, by=key, max_candidates=hot_rows)
@@ -81,65 +92,52 @@ def group_stats(df: DataFrame, key: Sequence[str] | str, cols: Sequence[str], ho
 
 
 def trend(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], cols: Sequence[str],
-          hot_rows: int = HOT_ROWS, num_partitions: int | None = None, hot: list | None = None) -> DataFrame:
+          hot_rows: int = HOT_ROWS, num_partitions: int | None = None, hot: DataFrame | bool | None = None) -> DataFrame:
     """``{col}_trend`` = value minus the previous value of the same
     key along ``order`` (unique within a key), and ``{col}_trend_sign``.
+    Rows without a key get NULL.
 
     Keys with at most ``hot_rows`` rows take the ordinary window (one
     shuffle by key).  Hot keys -- one may hold a third of all rows -- are
-    cut into buckets along the order so that no task holds a whole key:
-    each row's order value is normalised into [h, h+1) for hot key index
-    h, bucket split points come from one quantile sketch over those values
-    (so a bigger key gets more buckets), the lag runs per (key, bucket),
-    and the first row of a bucket takes the last row of the key's previous
-    bucket from a table of one row per bucket.
+    cut into ranges of (key, order), so no task holds a whole key: the lag
+    runs per (key, range), and the first row of a range takes the last row
+    of the key's range before, from a table of one row per key and range.
+    ``hot``: known hot keys (``find_hot_keys``), or False for none.
     """
     key = [key] if isinstance(key, str) else list(key)
     order = list(order)
     cols = list(cols)
-    on = order_number(df, order[0])
-    # A precomputed list must carry the order range (find_hot_keys with order).
-    if hot is None or (hot and "_ck_lo" not in hot[0].asDict()):
-        hot = find_hot_keys(df, key, hot_rows, order[0])
-    if not hot:
-        return _lag_by_window(df, key, order, cols)
+    keyed = _with_key(df, key)
+    if hot is None:
+        hot = find_hot_keys(keyed, key, hot_rows)
+    if hot is None or hot is False:
+        out = _lag_by_window(keyed, key, order, cols)
+        return out.unionByName(_null_features(df, key, out))
     spark = df.sparkSession
-    hot_df = spark.createDataFrame(
-        [(*[r[k] for k in key], i, float(r["_ck_lo"]), float(r["_ck_hi"])) for i, r in enumerate(hot)],
-        T.StructType([*[df.schema[k] for k in key], T.StructField("_ck_h", T.IntegerType()),
-                      T.StructField("_ck_lo", T.DoubleType()), T.StructField("_ck_hi", T.DoubleType())]))
-    normal = df.join(F.broadcast(hot_df.select(*key)), key, "left_anti")
-    heavy = df.join(F.broadcast(hot_df), key, "inner")
-    heavy = heavy.withColumn("_ck_z", F.col("_ck_h") + (on - F.col("_ck_lo")) / (F.col("_ck_hi") - F.col("_ck_lo") + 1.0))
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")),
-                              int(sum(r["_ck_n"] for r in hot) // hot_rows) + 1)
-    heavy = bucketize(heavy, "_ck_z", bucket_splits(heavy, "_ck_z", n), "_ck_b")
+                              int(hot.agg(F.sum("_ck_n")).first()[0]) // hot_rows + 1)
+    out = _lag_by_window(keyed.join(hot.select(*key), key, "left_anti"), key, order, cols)
+    heavy = cut_by_range(keyed.join(hot.select(*key), key, "left_semi"), [*key, *order], n, "_ck_b")
     part = [*key, "_ck_b"]
     payload = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    w = Window.partitionBy(*part).orderBy(*order)
-    local = heavy.withColumn("_ck_prev", F.lag(payload).over(w))
+    local = heavy.withColumn("_ck_prev", F.lag(payload).over(Window.partitionBy(*part).orderBy(*order)))
     last = heavy.groupBy(*part).agg(F.max_by(payload, F.struct(*order)).alias("_ck_last"))
     edge = last.select(*part, F.lag("_ck_last").over(Window.partitionBy(*key).orderBy("_ck_b")).alias("_ck_edge"))
-    # edge: one row per (hot key, bucket) -- bounded by the bucket count.
-    j = local.join(F.broadcast(edge), part, "left")
+    j = local.join(edge, part, "left")
     prev = F.coalesce(F.col("_ck_prev"), F.col("_ck_edge"))
     exprs = []
     for i, c in enumerate(cols):
         d = F.col(c) - prev[f"v{i}"]
         exprs += [d.alias(f"{c}_trend"), F.signum(d).alias(f"{c}_trend_sign")]
-    heavy_out = j.select(*[F.col(c) for c in df.columns], *exprs)
-    return _lag_by_window(normal, key, order, cols).unionByName(heavy_out)
+    out = out.unionByName(j.select(*[F.col(c) for c in df.columns], *exprs))
+    return out.unionByName(_null_features(df, key, out))
 
 
 def _lag_by_window(df, key, order, cols):
     w = Window.partitionBy(*key).orderBy(*order)
-    has_key = F.lit(True)
-    for k in key:
-        has_key = has_key & F.col(k).isNotNull()
     exprs = []
     for c in cols:
-        # Rows without a key form no group (as pandas drops NULL groups).
-        d = F.when(has_key, F.col(c) - F.lag(c).over(w))
+        d = F.col(c) - F.lag(c).over(w)
         exprs += [d.alias(f"{c}_trend"), F.signum(d).alias(f"{c}_trend_sign")]
     return df.select("*", *exprs)
 
@@ -162,47 +160,42 @@ def _window_features(df: DataFrame, key: list, order: list, cols: list) -> DataF
     order); Spark sorts once by (key, order) for both."""
     wk = Window.partitionBy(*key)
     wo = Window.partitionBy(*key).orderBy(*order)
-    has_key = F.lit(True)
-    for k in key:
-        has_key = has_key & F.col(k).isNotNull()
     trends, stats = [], []
     for c in cols:
-        d = F.when(has_key, F.col(c) - F.lag(c).over(wo))
+        d = F.col(c) - F.lag(c).over(wo)
         trends += [d.alias(f"{c}_trend"), F.signum(d).alias(f"{c}_trend_sign")]
         q = F.percentile(F.col(c).cast("double"), [0.25, 0.5, 0.75]).over(wk)
         mn, mx = F.min(c).over(wk), F.max(c).over(wk)
-        stats += [F.when(has_key, F.avg(c).over(wk)).alias(f"{c}_mean"),
-                  F.when(has_key, F.stddev_samp(c).over(wk)).alias(f"{c}_std"),
-                  F.when(has_key, mn).alias(f"{c}_min"), F.when(has_key, mx).alias(f"{c}_max"),
-                  F.when(has_key, q[1]).alias(f"{c}_median"), F.when(has_key, mx - mn).alias(f"{c}_range"),
-                  F.when(has_key, q[2] - q[0]).alias(f"{c}_iqr")]
+        stats += [F.avg(c).over(wk).alias(f"{c}_mean"), F.stddev_samp(c).over(wk).alias(f"{c}_std"),
+                  mn.alias(f"{c}_min"), mx.alias(f"{c}_max"), q[1].alias(f"{c}_median"),
+                  (mx - mn).alias(f"{c}_range"), (q[2] - q[0]).alias(f"{c}_iqr")]
     return df.select("*", *trends, *stats)
 
 
 def key_features(df: DataFrame, key: str | Sequence[str], order: Sequence[str], cols: Sequence[str],
-                 hot: list | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot: DataFrame | bool | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """A03 + J03 + W01 + W02: every row with its key's statistics and its
-    trend.  Ordinary keys take a single window pass (one shuffle, no join
-    back).  Hot keys (``find_hot_keys``, with the order range) take the
-    bounded-memory paths: bucketed trend and selection quantiles, with
-    their one-row-per-key statistics broadcast back."""
+    trend (NULL without a key).  Ordinary keys take a single window pass (one
+    shuffle, no join back).  Hot keys (``find_hot_keys``) take the
+    bounded-memory paths: trend over ranges and selection quantiles, with
+    their one-row-per-key statistics joined back."""
     key = [key] if isinstance(key, str) else list(key)
     order, cols = list(order), list(cols)
+    keyed = _with_key(df, key)
     if hot is None:
-        hot = find_hot_keys(df, key, hot_rows, order[0])
-    if not hot:
-        return _window_features(df, key, order, cols)
-    hot_df = F.broadcast(_hot_frame(df, key, hot))
-    normal = _window_features(df.join(hot_df, key, "left_anti"), key, order, cols)
-    heavy = df.join(hot_df, key, "left_semi")
+        hot = find_hot_keys(keyed, key, hot_rows)
+    if hot is None or hot is False:
+        out = _window_features(keyed, key, order, cols)
+        return out.unionByName(_null_features(df, key, out))
+    normal = _window_features(keyed.join(hot.select(*key), key, "left_anti"), key, order, cols)
+    heavy = keyed.join(hot.select(*key), key, "left_semi")
     stats = group_stats(heavy, key, cols, hot=hot, hot_rows=hot_rows)
-    out = trend(heavy, key, order, cols, hot=hot, hot_rows=hot_rows)
-    # stats: one row per hot key (bounded by the hot-key list).
-    return normal.unionByName(out.join(F.broadcast(stats), key, "left"))
+    out = normal.unionByName(trend(heavy, key, order, cols, hot=hot, hot_rows=hot_rows).join(stats, key, "left"))
+    return out.unionByName(_null_features(df, key, out))
 
 
 def lab_features(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
-                 cols: Sequence[str] | None = None, hot: list | None = None) -> DataFrame:
+                 cols: Sequence[str] | None = None, hot: DataFrame | bool | None = None) -> DataFrame:
     """A03 + J03 + W01 + W02 + F09.  ``cols`` defaults to every column whose
     lower-cased name contains ``lab_`` (P02)."""
     from cohortkit.operators.select import select_by_substring

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from cohortkit.operators import evaluate as ev
 from cohortkit.operators.scale import standard_scale
 from cohortkit.functions.ordered import row_index
+from cohortkit.session import checkpoint_dir
 from cohortkit.operators.select import hash_key, hash_uniform, stratified_folds, stratified_split
 from cohortkit.operators.stats import class_weights, cluster_stats
 
@@ -143,20 +144,48 @@ def fit_lsh_bounded(df: DataFrame, vec: str, bucket_length: float, num_tables: i
     raise ValueError(f"LSH buckets still exceed {max_bucket} rows; are many vectors identical?")
 
 
+def nearest_distinct(points: DataFrame, vec: str, k: int, bucket_length: float, num_tables: int, seed: int,
+                     max_distance: float | None = None) -> DataFrame:
+    """``_ck_a, _ck_b, dist``: pairs of distinct points with ids ``_ck_id``,
+    at least ``k`` of them per point where so many exist.
+
+    Neighbours come from shared LSH buckets of at most 200 points
+    (``fit_lsh_bounded``); the points that found fewer than ``k`` ask again
+    with buckets twice as long, until none is left.
+    """
+    n = points.count()
+    want = min(k, n - 1)
+    found, asking = None, points
+    _, length = fit_lsh_bounded(points, vec, bucket_length, num_tables, seed, max_bucket=200, max_halvings=60)
+    while want > 0 and not asking.isEmpty():
+        lsh = BucketedRandomProjectionLSH(inputCol=vec, outputCol="_ck_h", bucketLength=length, numHashTables=num_tables, seed=seed).fit(points)
+        near = lsh.approxSimilarityJoin(asking, points, float("inf"), "dist").where(F.col("datasetA._ck_id") != F.col("datasetB._ck_id"))
+        near = near.select(F.col("datasetA._ck_id").alias("_ck_a"), F.col("datasetB._ck_id").alias("_ck_b"), "dist").checkpoint(eager=True)
+        answered = near.groupBy("_ck_a").count().where(F.col("count") >= want).select(F.col("_ck_a").alias("_ck_id"))
+        kept = near.join(answered, near["_ck_a"] == answered["_ck_id"], "left_semi")
+        found = kept if found is None else found.unionByName(kept)
+        asking = asking.join(answered, "_ck_id", "left_anti").checkpoint(eager=True)
+        length *= 2.0
+    if found is None:
+        return points.sparkSession.createDataFrame([], "_ck_a long, _ck_b long, dist double")
+    return found if max_distance is None else found.where(F.col("dist") <= max_distance)
+
+
 def smote(df: DataFrame, cols: Sequence[str], label: str = "label", key: Sequence[str] = ("id",), k: int = 5,
           seed: int = 42, bucket_length: float = 2.0, num_tables: int = 3, max_distance: float | None = None) -> DataFrame:
     """Synthetic minority rows x + u·(nn − x) toward one of the k
     nearest minority neighbours, until the classes balance (U03 appends).
 
-    Neighbours come from ``BucketedRandomProjectionLSH.approxSimilarityJoin``
-    inside the minority class (approximate: a row whose LSH buckets hold no
-    other minority row yields no synthetic rows).  Bucket sizes are bounded
-    (``fit_lsh_bounded``), so the join never compares all pairs of a dense
-    cluster.  With deficit = q·n_min + r, every minority row with a
-    neighbour makes q synthetic rows and r of them (first in seeded-hash
-    order) one more: the output size is exact when every row has one.
+    Neighbours are searched among distinct minority vectors, each feature
+    divided by its standard deviation (``bucket_length`` and
+    ``max_distance`` are in these units), with LSH buckets of bounded size
+    that widen for rows without k neighbours (``nearest_distinct``).  With
+    deficit = q·n_min + r, every minority row makes q synthetic rows and r
+    of them (first in seeded-hash order) one more, so the result is balanced exactly; a
+    minority of one distinct vector repeats it.
     """
     cols, key = list(cols), list(key)
+    checkpoint_dir(df.sparkSession)
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per label
     if len(counts) != 2:
         raise ValueError("SMOTE needs two classes")
@@ -165,14 +194,15 @@ def smote(df: DataFrame, cols: Sequence[str], label: str = "label", key: Sequenc
     if deficit == 0:
         return df
     rows = df.where(F.col(label) == minority)
-    # Neighbours are searched among distinct vectors (identical rows can
-    # never be split into smaller buckets); duplicates share them.
-    mino = assemble(rows.select(*cols).dropDuplicates(), cols, "_ck_v")
-    lsh, _ = fit_lsh_bounded(mino, "_ck_v", bucket_length, num_tables, seed)
-    thr = max_distance if max_distance is not None else bucket_length * 2
-    pairs = lsh.approxSimilarityJoin(mino, mino, thr, "dist").where(F.col("dist") > 0)
-    pairs = pairs.select(*[F.col(f"datasetA.{c}").alias(c) for c in cols],
-                         *[F.col(f"datasetB.{c}").alias(f"nn_{c}") for c in cols], "dist")
+    spread = rows.agg(*[F.coalesce(F.nullif(F.stddev_pop(c), F.lit(0.0)), F.lit(1.0)).alias(c) for c in cols]).first()
+    distinct = row_index(rows.select(*cols).dropDuplicates(), cols, name="_ck_id").checkpoint(eager=True)
+    scaled = assemble(distinct.select("_ck_id", *[(F.col(c) / F.lit(float(spread[c]))).alias(c) for c in cols]), cols, "_ck_v").select("_ck_id", "_ck_v")
+    found = nearest_distinct(scaled, "_ck_v", k, bucket_length, num_tables, seed, max_distance)
+    alone = distinct.join(found.select(F.col("_ck_a").alias("_ck_id")), "_ck_id", "left_anti").select(
+        F.col("_ck_id").alias("_ck_a"), F.col("_ck_id").alias("_ck_b"), F.lit(0.0).alias("dist"))
+    pairs = found.unionByName(alone)
+    pairs = (pairs.join(distinct.select(F.col("_ck_id").alias("_ck_a"), *cols), "_ck_a")
+             .join(distinct.select(F.col("_ck_id").alias("_ck_b"), *[F.col(c).alias(f"nn_{c}") for c in cols]), "_ck_b").drop("_ck_a", "_ck_b"))
     w = Window.partitionBy(*cols).orderBy("dist", *[f"nn_{c}" for c in cols])
     best = pairs.withColumn("_ck_r", F.row_number().over(w)).where(F.col("_ck_r") <= k)
     nn = rows.select(*key, *cols).join(best, cols)

@@ -147,11 +147,11 @@ def q_flagship(spark, d):
     a = sel.drop_duplicates(adm(t)).select("o_orderkey", "o_orderdate")
     li = t.lineitem.select("l_orderkey", *TREND_ORDER, "l_quantity")
     keyed = li.select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
-    hot = lab.find_hot_keys(keyed, ["o_orderkey"], lab.HOT_ROWS, TREND_ORDER[0])
+    hot = lab.find_hot_keys(keyed, ["o_orderkey"], lab.HOT_ROWS)
     # U01 on the full lab rows (all columns), before projecting.
     full = t.lineitem
-    if hot:
-        hot_df = F.broadcast(spark.createDataFrame([(r["o_orderkey"],) for r in hot], "l_orderkey long"))
+    if hot is not None:
+        hot_df = hot.select(F.col("o_orderkey").alias("l_orderkey"))
         normal_li, hot_li = full.join(hot_df, "l_orderkey", "left_anti"), full.join(hot_df, "l_orderkey", "left_semi")
     else:
         normal_li, hot_li = full, None
@@ -161,10 +161,15 @@ def q_flagship(spark, d):
             "o_orderkey", "o_orderdate", *TREND_ORDER, "l_quantity")
 
     normal = joined(sel.drop_duplicates(normal_li.repartition("l_orderkey")))
-    feats = lab.key_features(normal, "o_orderkey", TREND_ORDER, ["l_quantity"], hot=[])
+    feats = lab.key_features(normal, "o_orderkey", TREND_ORDER, ["l_quantity"], hot=False)
     if hot_li is not None:
         heavy = joined(sel.drop_duplicates(hot_li))
         feats = feats.unionByName(lab.key_features(heavy, "o_orderkey", TREND_ORDER, ["l_quantity"], hot=hot))
+    # J02 is a left join: admissions without lab rows keep one row of NULLs.
+    own = {"o_orderkey", "o_orderdate"}
+    alone = a.join(t.lineitem.select("l_orderkey"), a.o_orderkey == F.col("l_orderkey"), "left_anti").select(
+        "o_orderkey", "o_orderdate", *[F.lit(None).cast(x.dataType).alias(x.name) for x in feats.schema if x.name not in own])
+    feats = feats.unionByName(alone)
     out = feats.select(
         "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
         *[f"l_quantity_{s}" for s in lab.STAT_SUFFIXES], "l_quantity_trend", "l_quantity_trend_sign",
@@ -173,7 +178,7 @@ def q_flagship(spark, d):
 
 
 SQL_flagship = f"""
-WITH w AS (SELECT DISTINCT * FROM {WIDE_SQL} x WHERE l_orderkey IS NOT NULL),
+WITH w AS (SELECT DISTINCT * FROM {WIDE_SQL} x),
 g AS (SELECT o_orderkey, avg(l_quantity) m, stddev_samp(l_quantity) s, min(l_quantity) mn, max(l_quantity) mx,
              quantile_cont(l_quantity, 0.5) med, quantile_cont(l_quantity, 0.75) - quantile_cont(l_quantity, 0.25) iqr
       FROM w GROUP BY o_orderkey)
@@ -1587,10 +1592,22 @@ def q_M02(spark, d):
 
 def q_M05(spark, d):
     data = admission_table(Tables(spark, d))
-    bal = ml.smote(data, ADM_FEATURES, "label", ["id"], k=5, seed=42, bucket_length=2.0, max_distance=4.0)
+    bal = ml.smote(data, ADM_FEATURES, "label", ["id"], k=5, seed=42)
     return bal.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Balanced: both labels have as many rows as the larger one had among complete admissions.
+SQL_M05 = f"""
+WITH a AS (SELECT o_orderkey, CAST(any_value(o_orderstatus) = 'F' AS INTEGER) AS label, any_value(o_totalprice) AS p, any_value(c_acctbal) AS b,
+    avg(l_quantity) AS q, avg(l_extendedprice) AS x, avg(l_discount) AS d, avg(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS f,
+    avg(epoch_us(l_shipdate) - epoch_us(o_orderdate)) AS los
+  FROM {WIDE_SQL} w GROUP BY o_orderkey),
+n AS (SELECT label, count(*) AS n FROM a WHERE p IS NOT NULL AND b IS NOT NULL AND q IS NOT NULL AND x IS NOT NULL AND d IS NOT NULL
+  AND f IS NOT NULL AND los IS NOT NULL AND label IS NOT NULL GROUP BY label)
+SELECT label, (SELECT max(n) FROM n) AS n FROM n
+"""
+
+
 def q_M06(spark, d):
     data = ml.assemble(admission_table(Tables(spark, d)), ADM_FEATURES)
     best, scores = ml.tune(data, "logistic", "features", "label", ["id"], n_trials=3, folds=3, seed=42)

@@ -13,6 +13,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JIT leaves methods of over 8,000 bytes of code to the interpreter, so
+    # larger generated ones are slower than the operators they replace.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Reliable checkpoints are removed once their DataFrame is garbage
@@ -61,13 +64,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     # Unset: only happens in local tests.
     d = tempfile.mkdtemp(prefix="cohortkit-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
-def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict:
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, max_partitions: int = 1_000_000) -> dict:
     """Settings sized for an input of ``input_bytes`` on a cluster.
 
     Shuffle partitions aim at ``target_partition_bytes`` of (compressed

@@ -74,3 +74,27 @@ def test_key_features_paths_agree(spark, hot_rows):
     assert np.allclose(got["v_median"].values, g.transform("median").values)
     assert np.allclose(got["v_iqr"].values, (g.transform(lambda x: x.quantile(0.75) - x.quantile(0.25))).values)
     assert np.allclose(got["v_std"].values, g.transform("std").values)
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 100])
+def test_null_and_hot_keys(spark, hot_rows):
+    """A third of the keys NULL, one key hot: NULL keys have no group, no trend and no statistics."""
+    rng = np.random.default_rng(2)
+    n = 1500
+    k = [None if i % 3 == 0 else 7 if i % 3 == 1 else int(rng.integers(0, 50)) for i in range(n)]
+    v = rng.normal(size=n).round(3)
+    df = spark.createDataFrame([(k[i], i, float(v[i])) for i in range(n)], "k int, o int, v double")
+    pdf = pd.DataFrame({"k": k, "o": range(n), "v": v})
+    stats = lab.group_stats(df, "k", ["v"], hot_rows=hot_rows).toPandas()
+    assert stats["k"].notna().all() and len(stats) == pdf["k"].nunique()
+    out = lab.key_features(df, "k", ["o"], ["v"], hot_rows=hot_rows).toPandas().sort_values("o")
+    assert len(out) == n and out.loc[out["k"].isna(), ["v_trend", "v_mean", "v_median"]].isna().all().all()
+    g = pdf.sort_values("o").groupby("k")["v"]
+    assert np.allclose(out["v_trend"].fillna(-9).values, g.diff().fillna(-9).values)
+    assert np.allclose(out["v_median"].fillna(-9).values, g.transform("median").fillna(-9).values)
+
+
+def test_no_null_key_reaches_a_window(spark):
+    df = spark.createDataFrame([(None, 1, 1.0), (1, 2, 2.0)], "k int, o int, v double")
+    plan = lab.trend(df, "k", ["o"], ["v"], hot=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(k" in plan[plan.index("Window"):]

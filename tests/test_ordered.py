@@ -57,3 +57,24 @@ def test_average_rank_matches_pandas(spark, xs):
     exp = pd.Series(xs, dtype=float).rank()
     for x, r in zip(xs, exp):
         assert got[float(x)] == pytest.approx(r)
+
+
+def test_null_groups_nan_and_shared_prefixes(spark):
+    nan = float("nan")
+    rows = [(i, None if i % 4 == 0 else "g", [0.1, nan, 0.5, None][i % 4], f"Customer#{i:09d}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, g string, v double, name string")
+    r = row_index(df, ["name"], by=["g"], name="i", num_partitions=8).toPandas()
+    assert len(r) == 400
+    for _, part in r.groupby("g", dropna=False):
+        assert list(part.sort_values("name")["i"]) == list(range(len(part)))
+    order = [x["id"] % 4 for x in row_index(df, ["v", "id"], name="i", num_partitions=8).orderBy("i").collect()]
+    assert order == [3] * 100 + [0] * 100 + [2] * 100 + [1] * 100  # nulls, numbers, NaN
+    down = [x["id"] % 4 for x in prefix_sums(df, ["v", "id"], descending=True, num_partitions=8).orderBy("_ck_idx").collect()]
+    assert down == order[::-1]
+
+
+def test_largest_range_shrinks_with_more_ranges(spark):
+    from cohortkit.functions.ordered import cut_by_range
+    df = spark.range(200_000).selectExpr("concat('Customer#', lpad(cast(id as string), 12, '0')) as name")
+    largest = [cut_by_range(df, ["name"], n).groupBy("_ck_pid").count().agg({"count": "max"}).first()[0] for n in (10, 100, 1000)]
+    assert largest[0] < 40_000 and largest[1] < 5_000 and largest[2] < 1_000
