@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortkit.functions.text import english_stop_words, tokens
+from cohortkit.session import checkpoint_dir
 
 
 def interaction_inputs(df: DataFrame, max_inputs: int = 10, exclude: Sequence[str] = ()) -> list[str]:
@@ -33,55 +34,65 @@ def interactions(df: DataFrame, cols: Sequence[str] | None = None, max_inputs: i
     return df.select("*", *exprs)
 
 
-def term_counts(df: DataFrame, key: str, text: str, stop_words: Sequence[str] | None = None) -> DataFrame:
-    """``(key, term, tf)`` for every document; stop words removed."""
+def text_digest(text: str):
+    """SHA-256 of the text; NULL counts as empty."""
+    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+
+
+def term_counts(df: DataFrame, text: str, stop_words: Sequence[str] | None = None) -> DataFrame:
+    """``(digest, term, n)``: occurrences of each term over all rows of a
+    text, and under the NULL term the number of these rows.  Stop words are
+    removed.  Texts are tokenized where they are read; only digests and
+    partially summed counts are shuffled."""
     stop = list(english_stop_words() if stop_words is None else stop_words)
-    tok = df.select(key, F.explode(tokens(text)).alias("term"))
+    marked = F.concat(F.array(F.lit(None).cast("string")), tokens(text))
+    tok = df.select(text_digest(text).alias("digest"), F.explode(marked).alias("term"))
     if stop:
-        tok = tok.where(~F.col("term").isin(stop))
-    return tok.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+        tok = tok.where(F.col("term").isNull() | ~F.col("term").isin(stop))
+    return tok.groupBy("digest", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def tfidf_vocabulary(tf: DataFrame, n_docs: int, max_features: int = 100) -> list[tuple[str, float]]:
+def tfidf_vocabulary(counts: DataFrame, max_features: int = 100) -> list[tuple[str, float]]:
     """Top ``max_features`` terms by corpus frequency (ties: term ascending),
-    returned in term order with the smoothed idf ln((1+n)/(1+df)) + 1.
-    Bounded metadata: at most ``max_features`` rows reach the driver."""
-    stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-    top = stats.orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features).collect()
-    vocab = sorted((r["term"], r["df"]) for r in top)
-    return [(t, math.log((1.0 + n_docs) / (1.0 + d)) + 1.0) for t, d in vocab]
+    returned in term order with the smoothed idf ln((1+n)/(1+df)) + 1, where
+    n and df count rows.  Bounded metadata: at most ``max_features`` rows
+    reach the driver."""
+    terms = counts.where(F.col("term").isNotNull())
+    top = terms.groupBy("term").agg(F.sum("n").alias("total")).orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features)
+    names = sorted(r["term"] for r in top.collect())
+    rows = counts.where(F.col("term").isNull()).select("digest", F.col("n").alias("rows"))
+    n_rows = rows.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    df = terms.where(F.col("term").isin(names)).join(rows, "digest").groupBy("term").agg(F.sum("rows").alias("df")) if names else None
+    seen = {r["term"]: r["df"] for r in df.collect()} if names else {}
+    return [(t, math.log((1.0 + n_rows) / (1.0 + seen[t])) + 1.0) for t in names]
 
 
-def tfidf_features(df: DataFrame, key: str, text: str, max_features: int = 100,
+def tfidf_features(df: DataFrame, text: str, max_features: int = 100,
                    stop_words: Sequence[str] | None = None, prefix: str | None = None) -> DataFrame:
     """TF-IDF block ``{text}_tfidf_{i}`` (i = position of the term in
     the sorted vocabulary), raw counts × smoothed idf, L2-normalised per
-    row.  Rows without vocabulary terms get zeros.  ``key`` identifies a
-    document (its text is assumed to be the same on every row of the key).
-
-    Work: a tokenize + partial-aggregated term count feeds a vocabulary
-    aggregate (top-k, ≤ ``max_features`` rows to the driver); the weights
-    of each document are then collected into one map of at most
-    ``max_features`` entries and spread into columns, joined back on
-    ``key``.
+    row.  Every row is a document; rows without vocabulary terms get zeros.
+
+    Work: one tokenizing pass feeds partially summed counts per (text
+    digest, term), kept in a reliable checkpoint; the vocabulary (at most
+    ``max_features`` rows to the driver) and the weights read that copy.
+    The weights of each distinct text become one map of at most
+    ``max_features`` entries, joined back on the digest.
     """
     prefix = prefix or f"{text}_tfidf"
-    # One document per key: a text repeated on many rows of the same key
-    # (e.g. an admission's text on each of its lab rows) counts once.
-    docs = df.select(key, text).dropDuplicates([key])
-    tf = term_counts(docs, key, text, stop_words)
-    n_docs = docs.count()
-    vocab = tfidf_vocabulary(tf, n_docs, max_features)
-    names = [f"{prefix}_{i}" for i in range(len(vocab))]
+    checkpoint_dir(df.sparkSession)
+    counts = term_counts(df, text, stop_words).checkpoint(eager=True)
+    vocab = tfidf_vocabulary(counts, max_features)
     if not vocab:
         return df
-    idx = F.create_map(*[x for i, (t, _) in enumerate(vocab) for x in (F.lit(t), F.lit(i))])
-    idf = F.create_map(*[x for t, w in vocab for x in (F.lit(t), F.lit(w))])
-    w = tf.select(key, idx[F.col("term")].alias("i"), (F.col("tf") * idf[F.col("term")]).alias("w")).where(
-        F.col("i").isNotNull())
-    per_doc = w.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("i", "w"))).alias("_ck_m"),
-                                 F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_ck_norm"))
-    wide = per_doc.select(key, *[(F.coalesce(F.col("_ck_m")[i], F.lit(0.0)) / F.col("_ck_norm")).alias(nm)
-                                 for i, nm in enumerate(names)])
-    j = df.join(wide, key, "left")
-    return j.select(*df.columns, *[F.coalesce(F.col(nm), F.lit(0.0)).alias(nm) for nm in names])
+    names = [f"{prefix}_{i}" for i in range(len(vocab))]
+    table = df.sparkSession.createDataFrame([(t, i, w) for i, (t, w) in enumerate(vocab)], "term string, i int, idf double")
+    rows = counts.where(F.col("term").isNull()).select("digest", F.col("n").alias("rows"))
+    # The vocabulary has at most max_features rows.
+    w = counts.join(F.broadcast(table), "term").join(rows, "digest").select("digest", "i", (F.col("n") / F.col("rows") * F.col("idf")).alias("w"))
+    per_text = w.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("i", "w"))).alias("_ck_m"),
+                                       F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_ck_norm"))
+    wide = per_text.select(F.col("digest").alias("_ck_digest"), *[(F.coalesce(F.col("_ck_m")[i], F.lit(0.0)) / F.col("_ck_norm")).alias(nm)
+                                                                 for i, nm in enumerate(names)])
+    j = df.withColumn("_ck_digest", text_digest(text)).join(wide, "_ck_digest", "left")
+    return j.select(*[F.col(c) for c in df.columns], *[F.coalesce(F.col(nm), F.lit(0.0)).alias(nm) for nm in names])

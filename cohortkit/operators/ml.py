@@ -233,7 +233,7 @@ def smote(df: DataFrame, cols: Sequence[str], label: str = "label", key: Sequenc
 SEARCH_SPACE = {
     "random_forest": {"numTrees": (20, 200, "int"), "maxDepth": (3, 12, "int"),
                       "minInstancesPerNode": (1, 20, "int")},
-    "gbt": {"maxIter": (20, 100, "int"), "maxDepth": (2, 8, "int"), "stepSize": (0.01, 0.3, "float")},
+    "gbt": {"maxIter": (20, 100, "int"), "maxDepth": (2, 8, "int"), "stepSize": (0.01, 0.3, "log"), "subsamplingRate": (0.6, 1.0, "float")},
     "logistic": {"regParam": (0.0001, 1.0, "log"), "elasticNetParam": (0.0, 1.0, "float")},
 }
 
@@ -279,18 +279,29 @@ def score(model, df: DataFrame, label: str = "label") -> DataFrame:
         "prediction", F.col("prediction").cast("int")).withColumn(label, F.col(label).cast("int"))
 
 
+def train_test(df: DataFrame, label: str, key: Sequence[str], train_share: float = 0.8, seed: int = 42):
+    """O07 as two frames."""
+    split = stratified_split(df, label, list(key), train_share, seed)
+    return split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+
+
+def balanced(train: DataFrame, cols: Sequence[str], label: str, key: Sequence[str], balance: str | None, seed: int = 42):
+    """Training rows and the name of their weight column: ``weights`` (M04),
+    ``smote`` (M05) or None (as they are); other names are refused."""
+    if balance == "weights":
+        return with_class_weights(train, label), "weight"
+    if balance == "smote":
+        return smote(train, cols, label, key, seed=seed), None
+    if balance is not None:
+        raise ValueError(f"unknown balance {balance!r}")
+    return train, None
+
+
 def train_model(df: DataFrame, cols: Sequence[str], name: str = "random_forest", label: str = "label",
-                key: Sequence[str] = ("id",), seed: int = 42, balance: str | None = "weights", **params):
+                key: Sequence[str] = ("id",), seed: int = 42, balance: str | None = "weights", train_share: float = 0.8, **params):
     """Split (O07), fit, score, metrics, wall time."""
-    split = stratified_split(df, label, list(key), 0.8, seed)
-    train = split.where(F.col("split") == "train")
-    test = split.where(F.col("split") == "test")
-    weight = None
-    if balance == "weights":
-        train = with_class_weights(train, label)
-        weight = "weight"
-    elif balance == "smote":
-        train = smote(train, cols, label, key, seed=seed)
+    train, test = train_test(df, label, key, train_share, seed)
+    train, weight = balanced(train, cols, label, key, balance, seed)
     t0 = time.time()
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep"),
                             make_classifier(name, "features", label, weight, seed, **params)])
@@ -328,20 +339,23 @@ def mlp(input_dim: int, hidden: Sequence[int] = (128, 64, 32), **kw):
 
 def train_and_evaluate(df: DataFrame, cols: Sequence[str], label: str = "label", key: Sequence[str] = ("id",),
                        models: Sequence[str] = ("random_forest", "gbt", "logistic"), n_trials: int = 0,
-                       seed: int = 42, balance: str | None = "weights", save_dir: str | None = None):
-    """Per candidate: tune (optional) → weight → fit → score →
-    evaluate; best by test accuracy.  Returns ``(metrics, best_name,
-    fitted)``; ``metrics`` has one row per model (E08 input)."""
+                       seed: int = 42, balance: str | None = "weights", save_dir: str | None = None,
+                       train_share: float = 0.8, folds: int = 3):
+    """Per candidate: tune (optional, on the training rows alone, with
+    class weights if those balance) → balance → fit → score → evaluate;
+    best by test accuracy.  Returns ``(metrics, best_name, fitted)``;
+    ``metrics`` has one row per model (E08 input)."""
     from cohortkit.sources.sinks import save_model
     rows, fitted = None, {}
     for name in models:
         params = {}
         if n_trials:
-            data = assemble(df, cols)
-            best, _ = tune(data, name, "features", label, key, n_trials, 3, seed)
+            seen, _ = train_test(df, label, key, train_share, seed)
+            seen, weight = balanced(seen, cols, label, key, "weights" if balance == "weights" else None, seed)
+            best, _ = tune(assemble(seen, cols), name, "features", label, key, n_trials, folds, seed, weight)
             params = {p.name: v for p, v in best.extractParamMap().items()
                       if p.name in SEARCH_SPACE.get(name, {})}
-        model, scored, metrics = train_model(df, cols, name, label, key, seed, balance, **params)
+        model, scored, metrics = train_model(df, cols, name, label, key, seed, balance, train_share, **params)
         fitted[name] = model
         m = metrics.withColumn("model", F.lit(name))
         rows = m if rows is None else rows.unionByName(m)
@@ -359,5 +373,5 @@ def array_features(df: DataFrame, array_col: str, n: int, prefix: str = "x") ->
 
 
 __all__ = ["assemble", "pca_analysis", "kmeans_analysis", "make_classifier", "with_class_weights", "smote",
-           "tune", "score", "train_model", "stacking", "mlp", "train_and_evaluate", "array_features",
+           "tune", "score", "train_test", "balanced", "train_model", "stacking", "mlp", "train_and_evaluate", "array_features",
            "array_to_vector", "PipelineModel"]

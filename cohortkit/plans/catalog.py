@@ -194,9 +194,9 @@ FROM w JOIN g ON w.o_orderkey = g.o_orderkey
 
 
 def q_S01(spark, d):
-    t = Tables(spark, d)
-    parts = [getattr(t, n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table"), "n_rows")
-             for n in ("orders", "customer", "lineitem")]
+    from cohortkit.sources import tables
+    named = tables.load_named(spark, {n: f"{d}/{n}.parquet" for n in ("orders", "customer", "lineitem")}, "parquet")
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table"), "n_rows") for n, df in named.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -212,6 +212,35 @@ SQL_S04 = (f"SELECT {_sel(WIDE_COLS)} FROM {WIDE_SQL} x WHERE "
            + " AND ".join(f"{c} IS NOT NULL" for c in WIDE_COLS))
 
 
+def q_S04_load(spark, d):
+    from cohortkit.sources import tables
+    return r6(tables.load_complete(spark, f"{d}/events.parquet"))
+
+
+SQL_S04_load = "SELECT event_id, ts, user_id, event_type, round(value, 6) AS value, props FROM events WHERE " + " AND ".join(
+    f"{c} IS NOT NULL" for c in ["event_id", "ts", "user_id", "event_type", "value", "props"])
+
+
+def q_S05(spark, d):
+    """Listed features that exist, and the target."""
+    from cohortkit.sources import tables
+    return r6(tables.project_features(Tables(spark, d).orders, ["o_totalprice", "absent", "o_orderpriority"], "o_orderstatus"))
+
+
+SQL_S05 = "SELECT round(o_totalprice, 6) AS o_totalprice, o_orderpriority, o_orderstatus FROM orders"
+
+
+def q_S06(spark, d):
+    """The same projection by a feature-list file."""
+    from cohortkit.sources import sinks, tables
+    path = _scratch(spark, "s06")
+    sinks.write_feature_list(spark, ["o_totalprice", "o_orderpriority"], path)
+    return r6(tables.project_features(Tables(spark, d).orders, sinks.read_feature_list(spark, path), "o_orderstatus"))
+
+
+SQL_S06 = SQL_S05
+
+
 def q_J01(spark, d):
     return r6(adm(Tables(spark, d)))
 
@@ -570,6 +599,41 @@ SQL_I02 = ("SELECT " + ", ".join(
     for c in WIDE_COLS) + f" FROM {WIDE_SQL} x")
 
 
+def _sql_fill(num, integer):
+    """I02 with a fill of numeric columns: SQL of the fill by column, and how it becomes an integer."""
+    def one(c):
+        if c in _I01_TXT:
+            return f"coalesce({c}, 'UNKNOWN') AS {c}"
+        if c not in WIDE_NUM:
+            return c
+        if c in DBL:
+            return f"round(coalesce({c}, {num(c)}), 6) AS {c}"
+        return f"coalesce({c}, CAST({integer(num(c))} AS {'INTEGER' if c in ('c_nationkey', 'l_linenumber') else 'BIGINT'})) AS {c}"
+    return "SELECT " + ", ".join(one(c) for c in WIDE_COLS) + f" FROM {WIDE_SQL} x"
+
+
+def q_I02_median(spark, d):
+    return r6(clean.handle_missing(wide(Tables(spark, d)), "median"))
+
+
+SQL_I02_median = _sql_fill(lambda c: f"(SELECT quantile_cont({c}, 0.5) FROM {WIDE_SQL} z)", lambda v: f"floor({v} + 0.5)")
+
+
+def q_I02_most_frequent(spark, d):
+    return r6(clean.handle_missing(wide(Tables(spark, d)), "most_frequent"))
+
+
+SQL_I02_most_frequent = _sql_fill(
+    lambda c: f"(SELECT {c} FROM {WIDE_SQL} z WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)", lambda v: v)
+
+
+def q_I02_constant(spark, d):
+    return r6(clean.handle_missing(wide(Tables(spark, d)), "constant", fill_value=-1.0, cat_fill_value="NONE"))
+
+
+SQL_I02_constant = _sql_fill(lambda c: "-1.0", lambda v: v).replace("'UNKNOWN'", "'NONE'")
+
+
 def q_I03(spark, d):
     li = Tables(spark, d).lineitem
     return r6(scale.standard_scale(li, LAB_COLS))
@@ -842,28 +906,35 @@ SQL_R02 = _sql_corr_long(CORR_COLS, _RANKED)
 
 def q_R03(spark, d):
     w = wide(Tables(spark, d)).withColumn("target", is_final())
-    return r6(stats.welch_tests(w, "target", LAB_COLS + ["c_acctbal"]).drop("p_value"))
+    return r6(stats.welch_tests(w, "target", LAB_COLS + ["c_acctbal"]))
 
 
-SQL_R03 = " UNION ALL ".join(f"""
-SELECT '{c}' AS "column", n1 AS n_pos, n0 AS n_neg, round(m1, 6) AS mean_pos, round(m0, 6) AS mean_neg,
+# The p-value integrates the density of t by Simpson's rule over 2,000 steps.
+_R03_STATS = " UNION ALL ".join(f"""
+SELECT (m1 - m0) / sqrt(v1 / n1 + v0 / n0) AS t, power(v1 / n1 + v0 / n0, 2) / (power(v1 / n1, 2) / (n1 - 1) + power(v0 / n0, 2) / (n0 - 1)) AS v, '{c}' AS "column", n1 AS n_pos, n0 AS n_neg, round(m1, 6) AS mean_pos, round(m0, 6) AS mean_neg,
   round((m1 - m0) / sqrt(v1 / n1 + v0 / n0), 6) AS t_stat,
   round(power(v1 / n1 + v0 / n0, 2) / (power(v1 / n1, 2) / (n1 - 1) + power(v0 / n0, 2) / (n0 - 1)), 6) AS dof,
   round((m1 - m0) / sqrt((v1 + v0) / 2), 6) AS cohens_d
 FROM (SELECT count({c}) FILTER (WHERE t = 1) n1, avg({c}) FILTER (WHERE t = 1) m1, var_samp({c}) FILTER (WHERE t = 1) v1,
              count({c}) FILTER (WHERE t = 0) n0, avg({c}) FILTER (WHERE t = 0) m0, var_samp({c}) FILTER (WHERE t = 0) v0
       FROM (SELECT *, CAST(o_orderstatus = 'F' AS INTEGER) AS t FROM {WIDE_SQL} x) y) s""" for c in LAB_COLS + ["c_acctbal"])
+SQL_R03 = f"""
+SELECT "column", n_pos, n_neg, mean_pos, mean_neg, t_stat, dof, cohens_d,
+  round(greatest(0.0, 1 - 2 * sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * power(1 + power(t * i / 2000.0, 2) / v, -(v + 1) / 2))
+    * abs(t) / 6000.0 * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi())), 6) AS p_value
+FROM ({_R03_STATS}) s, range(2001) r(i) GROUP BY ALL_COLUMNS
+""".replace("ALL_COLUMNS", '"column", n_pos, n_neg, mean_pos, mean_neg, t_stat, dof, cohens_d, t, v')
 
 
 def q_R04(spark, d):
     a = adm(Tables(spark, d)).withColumn("target", is_final())
-    return r6(stats.chi2_tests(a, "target", ["o_orderpriority", "c_mktsegment", "c_nationkey"]).drop("p_value"))
+    return r6(stats.chi2_tests(a, "target", ["o_orderpriority", "c_mktsegment", "c_nationkey"]))
 
 
 def _sql_chi2(c):
     return f"""
 SELECT '{c}' AS "column", round(sum(t0 + t1), 6) AS chi2, CAST(dof AS BIGINT) AS dof,
-  round(sqrt(sum(t0 + t1) / (n * (least(r, nc) - 1))), 6) AS cramers_v
+  round(sqrt(sum(t0 + t1) / (n * (least(r, nc) - 1))), 6) AS cramers_v, sum(t0 + t1) / 2 AS half, dof AS d
 FROM (SELECT *, CASE WHEN e0 > 0 THEN power(abs(o0 - e0) - CASE WHEN dof = 1 THEN least(0.5, abs(o0 - e0)) ELSE 0 END, 2) / e0 ELSE 0 END AS t0,
                 CASE WHEN e1 > 0 THEN power(abs(o1 - e1) - CASE WHEN dof = 1 THEN least(0.5, abs(o1 - e1)) ELSE 0 END, 2) / e1 ELSE 0 END AS t1
       FROM (SELECT *, (o0 + o1) * c0 / n AS e0, (o0 + o1) * c1 / n AS e1, (r - 1) * (nc - 1) AS dof
@@ -875,7 +946,12 @@ FROM (SELECT *, CASE WHEN e0 > 0 THEN power(abs(o0 - e0) - CASE WHEN dof = 1 THE
 GROUP BY dof, n, r, nc"""
 
 
-SQL_R04 = " UNION ALL ".join(_sql_chi2(c) for c in ["o_orderpriority", "c_mktsegment", "c_nationkey"])
+# With an even number of degrees of freedom the tail is a finite Poisson sum.
+SQL_R04 = f"""
+SELECT "column", chi2, dof, cramers_v, round(exp(-half) * sum(CASE WHEN 2 * i < d THEN power(half, i) / gamma(i + 1.0) ELSE 0 END), 6) AS p_value
+FROM ({" UNION ALL ".join(_sql_chi2(c) for c in ["o_orderpriority", "c_mktsegment", "c_nationkey"])}) s, range(50) r(i)
+GROUP BY "column", chi2, dof, cramers_v, half, d
+"""
 
 
 SEL_COLS = ["o_totalprice", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "c_acctbal", "l_linenumber",
@@ -897,12 +973,6 @@ SQL_R05 = " UNION ALL ".join(f"SELECT '{c}' AS feature, round(abs(corr({c}, targ
                              for c in SEL_COLS)
 
 
-def q_O03(spark, d):
-    t = Tables(spark, d)
-    df, _ = stats.select_features(_sel_table(t), "target", SEL_COLS, k=3)
-    return r6(df)
-
-
 def q_R06(spark, d):
     li = fe.interactions(Tables(spark, d).lineitem, ["l_quantity", "l_discount", "l_tax"])
     cols = [c for c in li.columns if c.startswith("interaction_")] + ["l_quantity", "l_extendedprice"]
@@ -928,7 +998,17 @@ def q_O03(spark, d):
     return r6(sel.top_k(sc, "abs_corr", 3, ["feature"]))
 
 
-SQL_O03 = f"SELECT * FROM ({SQL_R05}) s ORDER BY abs_corr DESC, feature LIMIT 3"
+def q_O03(spark, d):
+    """The projection on the three features with the highest |corr|, told by
+    each column's count and range."""
+    df, names = stats.select_features(_sel_table(Tables(spark, d)), "target", SEL_COLS, k=3)
+    return r6(stats.melt(df, names).groupBy(F.col("column").alias("feature")).agg(
+        F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")))
+
+
+_O03_RANGES = " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n, round(min({c}), 6)::DOUBLE AS lo, round(max({c}), 6)::DOUBLE AS hi FROM {_SEL_SQL} s"
+                                 for c in SEL_COLS)
+SQL_O03 = f"SELECT r.* FROM ({_O03_RANGES}) r JOIN (SELECT feature FROM ({SQL_R05}) s ORDER BY abs_corr DESC, feature LIMIT 3) b USING (feature)"
 
 _R06_SRC = ("(SELECT l_quantity * l_quantity AS \"interaction_l_quantity^2\", l_quantity * l_discount AS \"interaction_l_quantity l_discount\", "
             "l_quantity * l_tax AS \"interaction_l_quantity l_tax\", l_discount * l_discount AS \"interaction_l_discount^2\", "
@@ -1262,7 +1342,7 @@ SQL_F10 = (f"SELECT {', '.join(LI_COLS)}, " + ", ".join(
 
 def q_T01(spark, d):
     doc = Tables(spark, d).documents.select("doc_id", "text")
-    out = fe.tfidf_features(doc, "doc_id", "text", max_features=100)
+    out = fe.tfidf_features(doc, "text", max_features=100)
     return r6(out.drop("text"))
 
 
@@ -1386,6 +1466,29 @@ SQL_W03 = ("SELECT \"column\", bin, round(sum(count) OVER (PARTITION BY \"column
            "AS cumulative FROM (" + SQL_A14.split(" UNION ALL ")[0] + ") h")
 
 
+def q_W03_pca(spark, d):
+    """Explained and cumulative variance, and the components needed."""
+    var, needed, _ = ml.pca_analysis(Tables(spark, d).lineitem, ["l_quantity", "l_extendedprice"])
+    return r6(var.withColumn("n_components_95", F.lit(needed)))
+
+
+# Two standardized columns of correlation r have the variances 1 + |r| and 1 - |r|.
+SQL_W03_pca = """
+SELECT CAST(1 AS INTEGER) AS component, round((1 + r) / 2, 6) AS explained_variance_ratio, round((1 + r) / 2, 6) AS cumulative,
+  CAST(CASE WHEN (1 + r) / 2 >= 0.95 THEN 1 ELSE 2 END AS INTEGER) AS n_components_95
+FROM (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem) a
+UNION ALL
+SELECT CAST(2 AS INTEGER), round((1 - r) / 2, 6), 1.0::DOUBLE, CAST(CASE WHEN (1 + r) / 2 >= 0.95 THEN 1 ELSE 2 END AS INTEGER)
+FROM (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem) a
+"""
+
+
+def q_M03(spark, d):
+    """Boosted trees."""
+    _, _, metrics = ml.train_model(admission_table(Tables(spark, d)), ADM_FEATURES, "gbt", "label", ["id"], seed=42)
+    return r6(metrics.drop("train_seconds"))
+
+
 def q_M04(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus")
     return r6(ml.with_class_weights(o, "o_orderstatus"))
@@ -1570,7 +1673,7 @@ _MODEL_CACHE: dict = {}
 
 
 def _trained(spark, d, name="random_forest"):
-    k = (id(spark), d, name)
+    k = (spark.sparkContext.applicationId, d, name)
     if k not in _MODEL_CACHE:
         data = admission_table(Tables(spark, d))
         model, scored_, metrics = ml.train_model(data, ADM_FEATURES, name, "label", ["id"], seed=42,
@@ -1606,6 +1709,7 @@ n AS (SELECT label, count(*) AS n FROM a WHERE p IS NOT NULL AND b IS NOT NULL A
   AND f IS NOT NULL AND los IS NOT NULL AND label IS NOT NULL GROUP BY label)
 SELECT label, (SELECT max(n) FROM n) AS n FROM n
 """
+SQL_S11 = SQL_M05.replace("SELECT label, (SELECT max(n) FROM n) AS n FROM n", "SELECT CAST(sum(n) AS BIGINT) AS n, CAST(0 AS DOUBLE) AS max_diff FROM n")
 
 
 def q_M06(spark, d):
@@ -1616,7 +1720,7 @@ def q_M06(spark, d):
 
 def q_M08(spark, d):
     data = admission_table(Tables(spark, d))
-    bases, meta, oof = ml.stacking(data, ADM_FEATURES, ("logistic", "random_forest"), "label", ["id"], folds=3)
+    bases, meta, oof = ml.stacking(data, ADM_FEATURES, label="label", key=["id"])
     return r6(oof)
 
 
@@ -1624,16 +1728,15 @@ def q_M09(spark, d):
     data = admission_table(Tables(spark, d))
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml import Pipeline
-    z = scale.standard_scale(data, ADM_FEATURES)
+    train, test = ml.train_test(scale.standard_scale(data, ADM_FEATURES), "label", ["id"])
     pipe = Pipeline(stages=[VectorAssembler(inputCols=ADM_FEATURES, outputCol="features"),
-                            ml.mlp(len(ADM_FEATURES), hidden=(16, 8), maxIter=50)])
-    m = pipe.fit(z)
-    return r6(ev.evaluate(ml.score(m, z)))
+                            ml.mlp(len(ADM_FEATURES), maxIter=50)])
+    return r6(ev.evaluate(ml.score(pipe.fit(train), test)))
 
 
 def q_M10(spark, d):
     data = admission_table(Tables(spark, d))
-    metrics, best, fitted = ml.train_and_evaluate(data, ADM_FEATURES, "label", ["id"], ("logistic", "random_forest"))
+    metrics, best, fitted = ml.train_and_evaluate(data, ADM_FEATURES, "label", ["id"])
     return r6(metrics.drop("train_seconds").withColumn("best", F.col("model") == F.lit(best)))
 
 
@@ -1649,7 +1752,7 @@ def q_X01(spark, d):
 
 def q_X02(spark, d):
     model, data = _trained(spark, d)
-    return r6(xp.permutation_importance(model, data, ADM_FEATURES, "label", ["id"], repeats=3, seed=42))
+    return r6(xp.permutation_importance(model, data, ADM_FEATURES, "label", ["id"], seed=42))
 
 
 def q_X03(spark, d):
@@ -1689,6 +1792,6 @@ def q_X08(spark, d):
 def q_X09(spark, d):
     model, data = _trained(spark, d)
     a = xp.builtin_importances(model, ADM_FEATURES, spark)
-    b = xp.permutation_importance(model, data, ADM_FEATURES, "label", ["id"], repeats=2, seed=42).select(
+    b = xp.permutation_importance(model, data, ADM_FEATURES, "label", ["id"], seed=42).select(
         "feature", F.col("importance_mean").alias("importance"))
     return r6(xp.compare_explanations(a, b))

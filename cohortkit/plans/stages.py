@@ -86,7 +86,7 @@ def engineer(df: DataFrame, config: dict | None = None, admission: str = "hadm_i
     if text_key:
         for tc in [has(x) for x in text_cols if has(x)]:
             before = set(df.columns)
-            df = fe.tfidf_features(df, text_key, tc, c["text_max_features"])
+            df = fe.tfidf_features(df, tc, c["text_max_features"])
             reg["text"] += [x for x in df.columns if x not in before]
     before = set(df.columns)
     target = has(c["target_col"]) if c.get("target_col") else None
@@ -134,10 +134,14 @@ def train(df: DataFrame, label: str, key: Sequence[str], features: Sequence[str]
     feats = list(features) if features else [x for x in sel.feature_columns(data, target=label)
                                              if x in set(sel.columns_of_kind(data, "numeric"))
                                              and x not in set(key)]
-    balance = {"class_weight": "weights", "smote": "smote"}.get(c["balance_strategy"])
+    strategies = {"class_weight": "weights", "sampling": "smote", "smote": "smote", None: None}
+    if c["balance_strategy"] not in strategies:
+        raise ValueError(f"unknown balance_strategy {c['balance_strategy']!r}")
+    balance = strategies[c["balance_strategy"]]
     metrics, best, fitted = ml.train_and_evaluate(data, feats, label, key, models=tuple(c["models"]),
                                                   n_trials=c["n_trials"],
-                                                  seed=c["random_state"], balance=balance, save_dir=save_dir)
+                                                  seed=c["random_state"], balance=balance, save_dir=save_dir,
+                                                  train_share=1.0 - c["test_size"], folds=c["cv_folds"])
     return metrics, best, fitted, feats
 
 
