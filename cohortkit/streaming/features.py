@@ -35,7 +35,8 @@ def stream_features(stream: DataFrame, time_cols: Sequence[str], admit: str | No
 def windowed_series(stream: DataFrame, ts: str, window: str = "1 day", watermark: str = "1 day",
                     labels: Sequence[str] = (), value: str | None = None) -> DataFrame:
     """D05 on a stream: counts and means per event-time window and label;
-    rows later than the watermark are dropped, state is bounded by it."""
+    rows later than the watermark are dropped.  It bounds the state in
+    ``append`` and ``update`` mode; ``complete`` mode keeps every window."""
     aggs = [F.count(F.lit(1)).alias("n")]
     if value:
         aggs += [F.avg(value).alias(f"{value}_mean"),

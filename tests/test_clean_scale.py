@@ -87,3 +87,24 @@ def test_most_frequent_ties_are_numeric(spark):
     assert clean.numeric_modes(df, ["x"]) == {"x": 9.0}
     out = [r[0] for r in clean.handle_missing(df, "most_frequent").collect()]
     assert out[-1] == 9.0
+
+
+def test_one_hot_of_many_categories_is_a_sparse_vector(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "c string, v int")
+    out = {r["v"]: list(r["c_ohe"].toArray()) for r in scale.one_hot(df, ["c"], max_categories=2).collect()}
+    assert out == {1: [1, 0, 0], 2: [0, 1, 0], 3: [0, 0, 1], 4: [0, 0, 0]}
+
+
+def test_tfidf_counts_every_row(spark):
+    from cohortkit.operators import features as fe
+    df = spark.createDataFrame([(1, "red red blue"), (1, "blue green"), (2, "blue green"), (3, None), (None, "red")], "k int, t string")
+    out = fe.tfidf_features(df, "t", stop_words=[]).collect()
+    assert len(out) == 5
+    by = {(r["k"], r["t"]): [round(r[f"t_tfidf_{i}"], 6) for i in range(3)] for r in out}
+    # Terms in order: blue and green in 3 and 2 of 5 rows, red in 2.
+    import math
+    idf = [math.log(6 / (1 + d)) + 1 for d in (3, 2, 2)]
+    norm = math.hypot(idf[0], 2 * idf[2])
+    assert by[(1, "red red blue")] == [round(idf[0] / norm, 6), 0.0, round(2 * idf[2] / norm, 6)]
+    assert by[(1, "blue green")] == by[(2, "blue green")]
+    assert by[(3, None)] == [0.0, 0.0, 0.0] and by[(None, "red")] == [0.0, 0.0, 1.0]

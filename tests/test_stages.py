@@ -48,3 +48,11 @@ def test_pipeline(spark, hospital):
     x = stages.interpret(fitted["random_forest"], stages.sel.remap_binary_label(
         stages.sel.drop_any_null(feats), "hospital_expire_flag"), names, "hospital_expire_flag", ["hadm_id"], repeats=2)
     assert x["report"].count() >= 1
+
+
+def test_unknown_balance_is_refused(spark):
+    import pytest
+    from cohortkit.plans import stages
+    df = spark.createDataFrame([(i, float(i), i % 2) for i in range(8)], "id int, x double, label int")
+    with pytest.raises(ValueError, match="balance"):
+        stages.train(df, "label", ["id"], ["x"], {"balance_strategy": "other"})
