@@ -4,7 +4,7 @@
 row.  Words are counted and encoded once in Spark (see ``word_table``); their
 ids are joined back by position in one pass over the texts, which are never
 shuffled.  Decoding joins ids to the vocabulary's pieces, a table as large as
-the vocabulary.
+the vocabulary.  ``round_trip`` does both in one pass.
 
 Ids are kept packed: little-endian unsigned 32-bit integers in a binary
 column.  Defined cases: a null or empty text has no ids and decodes to the
@@ -19,8 +19,9 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import plus, text_slices, without
 from .word_table import Words, load_tokenizer, require_word_tokenizer, word_table
@@ -35,14 +36,12 @@ def _pack(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", max_words: int = 150_000) -> DataFrame:
-    """``docs`` with ``ids_col``, the packed ids of the whole text."""
+def _encoder(docs: DataFrame, tokenizer: str, text_col: str, ids_col: str, max_words: int):
+    """The function from batches of ``docs`` to batches with their ids."""
     require_word_tokenizer(tokenizer)
-    spark = docs.sparkSession
-    docs = without(docs, ids_col)
     at = docs.columns.index(text_col)
     rows = word_table(docs, text_col, tokenizer, max_words).select("word", "ids").toArrow()
-    table = spark.sparkContext.broadcast(dict(zip(rows["word"].to_pylist(), map(_pack, rows["ids"].to_pylist()))))
+    table = docs.sparkSession.sparkContext.broadcast(dict(zip(rows["word"].to_pylist(), map(_pack, rows["ids"].to_pylist()))))
 
     def run(batches):
         known = Words(table.value, tokenizer, _pack)
@@ -53,7 +52,13 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str
                 ids = [b"".join(known.of(w)) for w in words]
                 yield _with(batch, begin, len(texts), ids_col, pa.array(ids, pa.binary()))
 
-    return docs.mapInArrow(run, plus(docs.schema, f"`{ids_col}` binary"))
+    return run
+
+
+def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", max_words: int = 150_000) -> DataFrame:
+    """``docs`` with ``ids_col``, the packed ids of the whole text."""
+    docs = without(docs, ids_col)
+    return docs.mapInArrow(_encoder(docs, tokenizer, text_col, ids_col, max_words), plus(docs.schema, f"`{ids_col}` binary"))
 
 
 def pieces(tokenizer: str) -> list[bytes | None]:
@@ -65,20 +70,17 @@ def pieces(tokenizer: str) -> list[bytes | None]:
     return out
 
 
-def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``encoded`` with ``text_col``: the pieces of its ids, special ones included,
-    joined by spaces as the tokenizer does without a decoder."""
-    encoded = without(encoded, text_col)
-    at = encoded.columns.index(ids_col)
+def _decoder(spark: SparkSession, tokenizer: str, ids_col: str, text_col: str):
+    """The function from batches with ids to batches with the text of those ids."""
     if getattr(load_tokenizer(tokenizer), "decoder", None) is not None:
         raise ValueError(f"{tokenizer} has a decoder of its own")
-    vocab = encoded.sparkSession.sparkContext.broadcast(pieces(tokenizer))  # as large as the vocabulary
+    vocab = spark.sparkContext.broadcast(pieces(tokenizer))  # as large as the vocabulary
 
     def run(batches):
         of = vocab.value
         known = all(p is not None for p in of)
         for batch in batches:
-            for begin, packed in text_slices(batch.column(at), 2 << 20):
+            for begin, packed in text_slices(batch.column(ids_col), 2 << 20):
                 texts = []
                 for row in packed:
                     ids = np.frombuffer(row, "<u4")
@@ -88,7 +90,30 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: s
                         texts.append(b" ".join(of[i] for i in ids.tolist() if i < len(of) and of[i] is not None))
                 yield _with(batch, begin, len(packed), text_col, pa.array(texts, pa.binary()).cast(pa.string()))
 
-    return encoded.mapInArrow(run, plus(encoded.schema, f"`{text_col}` string"))
+    return run
+
+
+def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """``encoded`` with ``text_col``: the pieces of its ids, special ones included,
+    joined by spaces as the tokenizer does without a decoder."""
+    encoded = without(encoded, text_col)
+    return encoded.mapInArrow(_decoder(encoded.sparkSession, tokenizer, ids_col, text_col), plus(encoded.schema, f"`{text_col}` string"))
+
+
+def round_trip(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded",
+               max_words: int = 150_000) -> DataFrame:
+    """``encode`` and then ``decode`` in one pass, without the original text: one
+    Python worker a task instead of two, and neither the text nor the ids cross
+    between workers."""
+    docs = without(docs, ids_col, decoded_col)
+    rest = StructType([f for f in docs.schema.fields if f.name != text_col])
+    encode_batches = _encoder(docs, tokenizer, text_col, ids_col, max_words)
+    decode_batches = _decoder(docs.sparkSession, tokenizer, ids_col, decoded_col)
+
+    def run(batches):
+        yield from decode_batches(b.drop_columns([text_col]) for b in encode_batches(batches))
+
+    return docs.mapInArrow(run, plus(rest, f"`{ids_col}` binary, `{decoded_col}` string"))
 
 
 def n_tokens(ids_col: str = "ids"):

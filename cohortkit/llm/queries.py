@@ -70,8 +70,7 @@ FROM t LEFT JOIN g ON t.doc_id = g.doc_id
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, WORD_BPE).select("doc_id", "ids")
-    return bpe.decode(ids, WORD_BPE).select(
+    return bpe.round_trip(docs, WORD_BPE).select(
         "doc_id", bpe.n_tokens().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

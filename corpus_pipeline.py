@@ -51,8 +51,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(docs.select("doc_id", "text"), WORD_BPE).select("doc_id", "ids")
-    return bpe.decode(ids, WORD_BPE).select(
+    return bpe.round_trip(docs.select("doc_id", "text"), WORD_BPE).select(
         "doc_id", bpe.n_tokens().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

@@ -65,6 +65,11 @@ def test_bpe_and_counts_equal_the_tokenizer(docs, none):
     assert rows_of(counted, "doc_id", "n_bytes", "n_tokens", "over_limit") == Counter(
         (i, len((t or "").encode()), len(token_ids(t)), len(token_ids(t)) > 10) for i, t in TEXTS)
     assert counted.columns.count("n_tokens") == 1
+    once = bpe.round_trip(docs, WORD_BPE, max_words=5)
+    assert "text" not in once.columns
+    both = sorted((str(r["doc_id"]), bytes(r["ids"]), r["decoded"]) for r in once.collect())
+    assert both == sorted((str(r["doc_id"]), bytes(r["ids"]), r["decoded"]) for r in out.collect())
+    assert bpe.round_trip(none, WORD_BPE).count() == 0
     assert bpe.decode(bpe.encode(none, WORD_BPE), WORD_BPE).count() == token_count.count_tokens(none, WORD_BPE).count() == 0
 
 
