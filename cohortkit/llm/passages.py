@@ -3,8 +3,9 @@
 1. Seeds: of every ``w`` consecutive word k-mers of a text the one with the least hash
    (a minimizer), so any two texts that share ``k + w - 1`` words share a seed.
 2. Every occurrence of a seed is matched with its first one (least id and place), if that is in another
-   document, so a seed with m occurrences makes at most m - 1 matches, not m squared.  What
-   repeats only within one document is not looked for.
+   document, and with the first one of its own document, if that is ``min_words`` earlier or more; in a run
+   that repeats itself more often than that, with the last one so far before it.  So a seed with m
+   occurrences makes less than 2 m matches, not m squared.
 3. The matches of two texts are put together where they continue each other, and chained: the best
    chain that ends in a piece is its length plus the best earlier chain less a cost for the gaps on both
    sides, found by a Fenwick tree of prefix maxima.
@@ -50,6 +51,22 @@ def minimizers(hashes: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarr
     return kmers[at], at
 
 
+def own_places(s: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
+    """For each seed of a text the place in the same text it is matched with, or -1: the seed's first one if that is ``least`` words
+    earlier; where the seed comes again within ``least`` words (a short period), the last one that is, so that the run stays on one diagonal."""
+    order = np.lexsort((at, s))
+    s, p = s[order], at[order].astype(np.int64)
+    new = np.r_[True, s[1:] != s[:-1]][:len(s)]
+    start = np.flatnonzero(new)[np.cumsum(new) - 1]
+    key = np.cumsum(new) * (1 << 32) + p
+    far = np.searchsorted(key, key - least, "right") - 1
+    dense = ~new & (np.r_[0, np.diff(p)][:len(p)] < least)
+    found = np.where(far >= start, np.where(dense, p[far], p[start]), -1)
+    out = np.empty(len(s), np.int64)
+    out[order] = found
+    return out
+
+
 class PrefixMax:
     """Fenwick tree: the largest (value, tag) put at a place up to p."""
 
@@ -188,7 +205,7 @@ def _texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 8, w: int = 14, min_words: int = 25,
              report_words: int = 50, identity: float = 0.8, gap: int = 32, margin: int = 64) -> DataFrame:
     """``id, first_word, stop_word, match_id, match_first_word, match_stop_word, n_equal, identity`` per
-    passage of ``id`` that ``match_id`` (another document with a smaller id)
+    passage of ``id`` that ``match_id`` (another document with a smaller id, or the same one at least ``min_words`` earlier)
     has as well, if the passage and those it touches span ``report_words`` words or more.  Words are runs of
     characters other than ASCII white space, A-Z lower-cased."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
@@ -197,21 +214,24 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
         hashes = WordHashes()
         for batch in batches:
             for begin, texts in text_slices(batch.column(1)):
-                s, at = [], []
+                s, at, own = [], [], []
                 for t in texts:
                     words = t.lower().split()
                     found = minimizers(hashes.of(words), k, w) if len(words) >= min_words else ((), ())
                     s.append(signed(found[0]) if len(found[0]) else [])
                     at.append(found[1])
-                yield pa.record_batch({"id": batch.column(0).slice(begin, len(texts)), "s": pa.array(s, pa.list_(pa.int64())), "at": pa.array(at, pa.list_(pa.int32()))})
+                    own.append(own_places(*found, min_words) if len(found[0]) else [])
+                yield pa.record_batch({"id": batch.column(0).slice(begin, len(texts)), "s": pa.array(s, pa.list_(pa.int64())), "at": pa.array(at, pa.list_(pa.int32())),
+                                       "own": pa.array(own, pa.list_(pa.int32()))})
 
-    found = stored(rows.mapInArrow(seeds, "id bigint, s array<bigint>, at array<int>").filter("size(s) > 0"), "passage-seeds")
+    found = stored(rows.mapInArrow(seeds, "id bigint, s array<bigint>, at array<int>, own array<int>").filter("size(s) > 0"), "passage-seeds")
     shared = stored(found.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("s"), "passage-shared")
-    places = found.select("id", F.explode(F.arrays_zip("s", "at")).alias("p")).select("id", "p.s", "p.at")
+    places = found.select("id", F.explode(F.arrays_zip("s", "at", "own")).alias("p")).select("id", "p.s", "p.at", "p.own")
     places = stored(places.join(shared, "s"), "passage-places")  # repeated rows repeat their places
     first = stored(places.groupBy("s").agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
                    .select("s", F.col("f.id").alias("match_id"), F.col("f.at").alias("match_at")), "passage-first")
     matches = places.join(first, "s").filter("id <> match_id").select("id", "match_id", "at", "match_at")
+    matches = matches.unionByName(places.filter("own >= 0").select("id", F.col("id").alias("match_id"), "at", F.col("own").alias("match_at")))
 
     def chain(part: pa.Table) -> pa.Table:
         """The matches of many pairs of documents, sorted by pair."""

@@ -145,6 +145,20 @@ def test_passages(docs, none):
     assert passages.repeated(none).count() == 0
 
 
+def test_passages_within_one_document(spark):
+    def fresh(tag, n):
+        return [f"{tag}{i}" for i in range(n)]
+
+    once, part = fresh("a", 70), fresh("s", 60)
+    texts = [(1, once + fresh("b", 40) + once + fresh("c", 30) + once), (2, part), (3, fresh("d", 9) + part + fresh("e", 50) + part), (4, fresh("f", 200)),
+             (5, fresh("g", 10) * 40)]
+    got = passages.repeated(spark.createDataFrame([(i, " ".join(t)) for i, t in texts], "doc_id bigint, text string")).collect()
+    found = {(r["id"], r["first_word"], r["stop_word"], r["match_id"], r["match_first_word"], r["match_stop_word"]) for r in got}
+    assert found >= {(1, 110, 180, 1, 0, 70), (1, 210, 280, 1, 0, 70), (3, 9, 69, 2, 0, 60), (3, 119, 179, 2, 0, 60), (3, 119, 179, 3, 9, 69), (5, 30, 400, 5, 0, 370)}
+    words = dict(texts)
+    assert all(words[i][a:b] == words[m][x:y] for i, a, b, m, x, y in found)
+
+
 def test_chains_take_the_best_ascending_pieces():
     parts = [(0, 0, 8), (10, 11, 8), (12, 300, 8), (20, 22, 8)]
     assert passages.chains(parts, 32)[0] == [(0, 0, 8), (10, 11, 8), (20, 22, 8)]
