@@ -8,7 +8,7 @@
    occurrences makes less than 2 m matches, not m squared.
 3. The matches of two texts are put together where they continue each other, and chained: the best
    chain that ends in a piece is its length plus the best earlier chain less a cost for the gaps on both
-   sides, found by a Fenwick tree of prefix maxima.
+   sides, found by a tree of maxima over the pieces that are near enough.
 4. Chains are aligned on the words of both texts, extended at both ends while matches outweigh
    differences, and kept as passages of ``min_words`` words or more with ``identity`` or more of them equal; a chain
    with fewer equal words is parted at its widest gaps.
@@ -29,6 +29,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,25 +69,32 @@ def own_places(s: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
     return out
 
 
-class PrefixMax:
-    """Fenwick tree: the largest (value, tag) put at a place up to p."""
+class RangeMax:
+    """Tree of maxima over n places: the best (value, tag) among places from p on; a place can be set again, or emptied."""
+
+    NONE = (float("-inf"), -1)
 
     def __init__(self, n: int):
-        self.best = [(float("-inf"), -1)] * (n + 1)
+        self.n = n
+        self.best = [self.NONE] * (2 * n)
 
-    def put(self, p: int, value: float, tag: int) -> None:
-        p += 1
-        while p < len(self.best):
-            if self.best[p][0] < value:
-                self.best[p] = (value, tag)
-            p += p & -p
+    def put(self, p: int, item: tuple[float, int] = NONE) -> None:
+        p += self.n
+        self.best[p] = item
+        while p > 1:
+            p >>= 1
+            self.best[p] = max(self.best[2 * p], self.best[2 * p + 1])
 
     def get(self, p: int) -> tuple[float, int]:
-        out = (float("-inf"), -1)
-        while p > 0:
-            if self.best[p][0] > out[0]:
-                out = self.best[p]
-            p -= p & -p
+        lo, hi, out = p + self.n, 2 * self.n, self.NONE
+        while lo < hi:
+            if lo & 1:
+                out = max(out, self.best[lo])
+                lo += 1
+            if hi & 1:
+                hi -= 1
+                out = max(out, self.best[hi])
+            lo, hi = lo >> 1, hi >> 1
         return out
 
 
@@ -104,27 +113,43 @@ def chains(parts: list[tuple[int, int, int]], gap: int) -> list[list[tuple[int,
     """Pieces in chains that ascend in both texts, best chains first, each piece in one.
 
     A chain's worth is the words of its pieces less 1/(2 gap) of the words between their starts, on both
-    sides, which parts into a term of each end, so prefix maxima do; two pieces further than ``gap`` apart are not chained.
+    sides, which parts into a term of each end, so maxima over the earlier pieces do.  Two pieces further than ``gap``
+    apart are not chained: pieces that end too early in the first text leave the tree, and of the others those that
+    end late enough in the second text are asked for.
     """
     if len(parts) == 1:
         return [parts]
     cost = 1 / (2 * gap)
-    places = {y: i for i, y in enumerate(sorted({y for _, y, _ in parts}))}
-    tree, worth, before = PrefixMax(len(places)), [0.0] * len(parts), [-1] * len(parts)
+    ends = sorted((y + n, t) for t, (_, y, n) in enumerate(parts))
+    slot = [0] * len(parts)
+    for p, (_, t) in enumerate(ends):
+        slot[t] = p
+    leaving = sorted(range(len(parts)), key=lambda t: parts[t][0] + parts[t][2])
+    tree, worth, before, left = RangeMax(len(parts)), [0.0] * len(parts), [-1] * len(parts), 0
     i = 0
     while i < len(parts):
+        x = parts[i][0]
+        while parts[leaving[left]][0] + parts[leaving[left]][2] < x - gap:
+            tree.put(slot[leaving[left]])
+            left += 1
         j = i
-        while j < len(parts) and parts[j][0] == parts[i][0]:  # pieces with one x cannot follow each other
-            x, y, n = parts[j]
-            value, tag = tree.get(places[y])
+        while j < len(parts) and parts[j][0] == x:  # pieces with one x cannot follow each other
+            _, y, n = parts[j]
+            aside = []  # pieces that end late enough but begin too late
+            value, tag = tree.get(since := bisect_left(ends, (y - gap, -1)))
+            while tag >= 0 and parts[tag][1] >= y:
+                aside.append((slot[tag], (value, tag)))
+                tree.put(slot[tag])
+                value, tag = tree.get(since)
+            for p, item in aside:
+                tree.put(p, item)
             gained = value - cost * (x + y)
-            if tag >= 0 and gained > 0 and max(x - parts[tag][0] - parts[tag][2], y - parts[tag][1] - parts[tag][2]) <= gap:
+            worth[j] = n
+            if tag >= 0 and gained > 0:
                 worth[j], before[j] = n + gained, tag
-            else:
-                worth[j] = n
             j += 1
         for t in range(i, j):
-            tree.put(places[parts[t][1]], worth[t] + cost * (parts[t][0] + parts[t][1]), t)
+            tree.put(slot[t], (worth[t] + cost * (parts[t][0] + parts[t][1]), t))
         i = j
     out, used = [], [False] * len(parts)
     for t in sorted(range(len(parts)), key=lambda t: -worth[t]):

@@ -164,6 +164,31 @@ def test_chains_take_the_best_ascending_pieces():
     assert passages.chains(parts, 32)[0] == [(0, 0, 8), (10, 11, 8), (20, 22, 8)]
 
 
+def best_worths(parts, gap):
+    """The worth of the best chain that ends in each piece, over all pairs of pieces."""
+    out = []
+    for x, y, n in parts:
+        gained = [w - (x - a + y - b) / (2 * gap) for w, (a, b, m) in zip(out, parts) if a < x and b < y and max(x - a - m, y - b - m) <= gap]
+        out.append(n + max([0.0, *gained]))
+    return out
+
+
+def test_chains_equal_the_quadratic_recurrence():
+    import random
+    near = [(300, 300, 16), (318, 320, 16), (336, 340, 16), (354, 360, 16)]
+    assert near in passages.chains([(0, 0, 200), *near], 32)
+    rng = random.Random(3)
+    for _ in range(300):
+        parts = sorted({(rng.randrange(160), rng.randrange(160), rng.choice([8, 8, 9, 16, 60])) for _ in range(rng.randrange(2, 40))})
+        parts = [p for i, p in enumerate(parts) if not i or p[:2] != parts[i - 1][:2]]
+        got = passages.chains(parts, 32)
+        assert sorted(p for c in got for p in c) == parts
+        worth = max(sum(p[2] for p in c) - sum(b[0] - a[0] + b[1] - a[1] for a, b in zip(c, c[1:])) / 64 for c in got)
+        assert abs(worth - max(best_worths(parts, 32))) < 1e-9
+        for c in got:
+            assert all(a[0] < b[0] and a[1] < b[1] and max(b[0] - a[0] - a[2], b[1] - a[1] - a[2]) <= 32 for a, b in zip(c, c[1:]))
+
+
 BASE_RULES = [("assign", re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), 2, 12),
               ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16)]
 
