@@ -159,6 +159,27 @@ def test_passages_within_one_document(spark):
     assert all(words[i][a:b] == words[m][x:y] for i, a, b, m, x, y in found)
 
 
+def test_windows_of_seeds_keep_fuzzy_passages():
+    import inspect
+
+    import numpy as np
+    size = inspect.signature(passages.repeated).parameters
+    k, w = size["k"].default, size["w"].default
+    rng = np.random.default_rng(5)
+    new = lambda n: rng.integers(1, 1 << 62, n).astype(np.uint64)
+    found = 0
+    for _ in range(300):
+        part = new(50)
+        copy = part.copy()
+        copy[5::10] = new(5)  # every 10th word changed
+        a, b = np.r_[new(60), copy, new(60)], np.r_[new(40), part, new(40)]
+        (sa, x), (sb, y) = passages.minimizers(a, k, w), passages.minimizers(b, k, w)
+        _, i, j = np.intersect1d(sa, sb, return_indices=True)
+        got = passages.chains(passages.pieces(x[i], y[j], k, 32), 32) if len(i) else []
+        found += any(p[1] - p[0] >= 40 for c in got for p in passages.accepted(a, b, 0, c, 64, 25, 0.8))
+    assert found >= 0.6 * 300  # 14 k-mers to a seed found about 0.53
+
+
 def test_chains_take_the_best_ascending_pieces():
     parts = [(0, 0, 8), (10, 11, 8), (12, 300, 8), (20, 22, 8)]
     assert passages.chains(parts, 32)[0] == [(0, 0, 8), (10, 11, 8), (20, 22, 8)]
