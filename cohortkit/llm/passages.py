@@ -13,10 +13,14 @@
    differences, and kept as passages of ``min_words`` words or more with ``identity`` or more of them equal; a chain
    with fewer equal words is parted at its widest gaps.
 
+5. Seeds that are in no accepted passage with another document are matched again: one of at most ``FEW`` places with
+   every earlier document that has it; a more frequent one with the first place of it and its next shared
+   seed together, and with that of as many shared seeds as span ``min_words``.  The latter
+   are equal over ``min_words``, so their match is accepted; their number does not grow with the square of a seed's places.
+
 A later occurrence of a passage is reported with the document that has it first; where an even earlier text
-has only some of it, with that text for this part.  With the default sizes, a passage of over 50
-words shared by two texts is still found if some earlier text has any one part of it
-too short to be reported.
+has only some of it, with that text for this part.  Not looked for: fuzzy passages all of whose seeds have more than
+``FEW`` places, where neither the seeds, nor two neighbours, nor those of ``min_words`` have their first place in a text that has the passage.
 
 Shuffles: seed hashes with a count; seeds that more than one place has; short match rows; texts only of documents in
 chains (a fixed-size slot table keeps the others out).  A match group holds two documents' matches
@@ -38,9 +42,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import stored, text_slices
-from .shingles import WordHashes, shingle_hashes, signed
+from .shingles import MIX, WordHashes, shingle_hashes, signed
 
 SLOTS = 1 << 20
+#: Places of a seed that are all compared where the first one leads to no passage.
+FEW = 16
+PLACE = ["id", "first_word", "stop_word", "match_id", "match_first_word", "match_stop_word"]
 
 
 def minimizers(hashes: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
@@ -227,36 +234,8 @@ def _texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").select("id", "text")
 
 
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 8, w: int = 10, min_words: int = 25,
-             report_words: int = 50, identity: float = 0.8, gap: int = 32, margin: int = 64) -> DataFrame:
-    """``id, first_word, stop_word, match_id, match_first_word, match_stop_word, n_equal, identity`` per
-    passage of ``id`` that ``match_id`` (another document with a smaller id, or the same one at least ``min_words`` earlier)
-    has as well, if the passage and those it touches span ``report_words`` words or more.  Words are runs of
-    characters other than ASCII white space, A-Z lower-cased."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
-
-    def seeds(batches):
-        hashes = WordHashes()
-        for batch in batches:
-            for begin, texts in text_slices(batch.column(1)):
-                s, at, own = [], [], []
-                for t in texts:
-                    words = t.lower().split()
-                    found = minimizers(hashes.of(words), k, w) if len(words) >= min_words else ((), ())
-                    s.append(signed(found[0]) if len(found[0]) else [])
-                    at.append(found[1])
-                    own.append(own_places(*found, min_words) if len(found[0]) else [])
-                yield pa.record_batch({"id": batch.column(0).slice(begin, len(texts)), "s": pa.array(s, pa.list_(pa.int64())), "at": pa.array(at, pa.list_(pa.int32())),
-                                       "own": pa.array(own, pa.list_(pa.int32()))})
-
-    found = stored(rows.mapInArrow(seeds, "id bigint, s array<bigint>, at array<int>, own array<int>").filter("size(s) > 0"), "passage-seeds")
-    shared = stored(found.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("s"), "passage-shared")
-    places = found.select("id", F.explode(F.arrays_zip("s", "at", "own")).alias("p")).select("id", "p.s", "p.at", "p.own")
-    places = stored(places.join(shared, "s"), "passage-places")  # repeated rows repeat their places
-    first = stored(places.groupBy("s").agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-                   .select("s", F.col("f.id").alias("match_id"), F.col("f.at").alias("match_at")), "passage-first")
-    matches = places.join(first, "s").filter("id <> match_id").select("id", "match_id", "at", "match_at")
-    matches = matches.unionByName(places.filter("own >= 0").select("id", F.col("id").alias("match_id"), "at", F.col("own").alias("match_at")))
+def _passages(rows: DataFrame, matches: DataFrame, k: int, min_words: int, identity: float, gap: int, margin: int) -> DataFrame:
+    """The accepted passages of ``matches`` (id, match_id, at, match_at): chained by pair of documents, then aligned."""
 
     def chain(part: pa.Table) -> pa.Table:
         """The matches of many pairs of documents, sorted by pair."""
@@ -318,8 +297,88 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
                 yield pa.record_batch({n: pa.array([o[c] for o in out], kind) for c, (n, kind) in enumerate(zip(names, kinds))})
 
     schema = "id bigint, first_word int, stop_word int, match_id bigint, match_first_word int, match_stop_word int, n_equal int, identity double"
-    passages = (_texts_of(rows, per_doc).join(per_doc.hint("shuffle_hash"), "id").select("id", "text", "chains")
-                .mapInArrow(aligned, schema).dropDuplicates(["id", "first_word", "stop_word", "match_id", "match_first_word", "match_stop_word"]))
+    out = _texts_of(rows, per_doc).join(per_doc.hint("shuffle_hash"), "id").select("id", "text", "chains").mapInArrow(aligned, schema)
+    return stored(out.dropDuplicates(PLACE), "passage-found")
+
+
+def _again(places: DataFrame, first: DataFrame, found: DataFrame, k: int, min_words: int, gap: int) -> DataFrame:
+    """Matches for the seeds whose first place has led to no passage with another document: of a seed with at most ``FEW`` places
+    with all of them; of others with the first places of it and its next shared seed, and of as many seeds as span ``min_words``."""
+    covered = found.filter("id <> match_id").groupBy("id").agg(F.collect_set(F.struct("first_word", "stop_word")).alias("covered"))
+    seeds = places.join(first.select("s", (F.col("n") > FEW).alias("hot")), "s").groupBy("id").agg(F.collect_set(F.struct("at", "s", "hot")).alias("seeds"))
+
+    def keys(batches):
+        for batch in batches:
+            out = []
+            for i, seeds, covered in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                seeds = sorted((p["at"], p["s"], p["hot"]) for p in seeds)
+                at, s, hot = (np.array(c) for c in zip(*seeds))
+                inside = np.zeros(int(at[-1]) + k + 2, np.int64)
+                for p in covered or ():
+                    if p["stop_word"] - p["first_word"] >= k and p["first_word"] <= at[-1]:
+                        inside[p["first_word"]] += 1
+                        inside[min(p["stop_word"] - k + 1, len(inside) - 1)] -= 1
+                asks = np.cumsum(inside)[at] == 0
+                out += [(i, a, a, 0, h, q) for a, h, q in zip(at[~hot].tolist(), s[~hot].tolist(), asks[~hot].tolist())]
+                breaks = np.r_[0, np.cumsum(np.diff(at) > gap + k)]
+                with np.errstate(over="ignore"):
+                    power, back = (np.cumprod(np.full(len(s), b, np.uint64)) for b in (MIX, np.uint64(pow(int(MIX), -1, 1 << 64))))
+                    mixed = s.astype(np.int64).view(np.uint64)
+                    sums = np.r_[np.uint64(0), np.cumsum((mixed ^ (mixed >> np.uint64(31))) * power)]
+                    for kind, span in ((1, k + 1), (2, min_words)):
+                        last = np.maximum(np.searchsorted(at, at + span - k), np.arange(len(at)) + 1)
+                        begin = np.flatnonzero(hot & (last < len(at)))
+                        begin = begin[breaks[last[begin]] == breaks[begin]]
+                        key = (sums[last[begin] + 1] - sums[begin]) * back[begin]  # the same wherever in the text
+                        out += [(i, a, z, kind, h, q) for a, z, h, q in zip(at[begin].tolist(), at[last[begin]].tolist(), signed(key).tolist(), asks[begin].tolist())]
+            yield pa.record_batch({n: pa.array([o[c] for o in out], kind) for c, (n, kind) in enumerate(
+                zip(("id", "a", "z", "kind", "key", "asks"), (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_())))})
+
+    got = stored(seeds.join(covered, "id", "left").select("id", "seeds", "covered")
+                 .mapInArrow(keys, "id bigint, a int, z int, kind int, key bigint, asks boolean"), "passage-keys")
+    asks = got.filter("asks").drop("asks")
+    few = got.filter("kind = 0").select("key", F.col("id").alias("match_id"), F.col("a").alias("match_at"))
+    out = asks.filter("kind = 0").join(few, "key").filter("match_id < id").select("id", "match_id", F.col("a").alias("at"), "match_at")
+    least = got.filter("kind > 0").groupBy("kind", "key").agg(F.min(F.struct("id", "a", "z")).alias("f"))
+    both = asks.join(least, ["kind", "key"]).filter("f.id < id")
+    ends = F.explode(F.array(F.struct(F.col("a").alias("at"), F.col("f.a").alias("match_at")), F.struct(F.col("z").alias("at"), F.col("f.z").alias("match_at"))))
+    return out.unionByName(both.select("id", F.col("f.id").alias("match_id"), ends.alias("e")).select("id", "match_id", "e.at", "e.match_at"))
+
+
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 8, w: int = 10, min_words: int = 25,
+             report_words: int = 50, identity: float = 0.8, gap: int = 32, margin: int = 64) -> DataFrame:
+    """``id, first_word, stop_word, match_id, match_first_word, match_stop_word, n_equal, identity`` per
+    passage of ``id`` that ``match_id`` (another document with a smaller id, or the same one at least ``min_words`` earlier)
+    has as well, if the passage and those it touches span ``report_words`` words or more.  Words are runs of
+    characters other than ASCII white space, A-Z lower-cased."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
+
+    def seeds(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            for begin, texts in text_slices(batch.column(1)):
+                s, at, own = [], [], []
+                for t in texts:
+                    words = t.lower().split()
+                    found = minimizers(hashes.of(words), k, w) if len(words) >= min_words else ((), ())
+                    s.append(signed(found[0]) if len(found[0]) else [])
+                    at.append(found[1])
+                    own.append(own_places(*found, min_words) if len(found[0]) else [])
+                yield pa.record_batch({"id": batch.column(0).slice(begin, len(texts)), "s": pa.array(s, pa.list_(pa.int64())), "at": pa.array(at, pa.list_(pa.int32())),
+                                       "own": pa.array(own, pa.list_(pa.int32()))})
+
+    found = stored(rows.mapInArrow(seeds, "id bigint, s array<bigint>, at array<int>, own array<int>").filter("size(s) > 0"), "passage-seeds")
+    shared = stored(found.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("s"), "passage-shared")
+    places = found.select("id", F.explode(F.arrays_zip("s", "at", "own")).alias("p")).select("id", "p.s", "p.at", "p.own")
+    places = stored(places.join(shared, "s"), "passage-places")  # repeated rows repeat their places
+    first = stored(places.groupBy("s").agg(F.min(F.struct("id", "at")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+                   .select("s", F.col("f.id").alias("match_id"), F.col("f.at").alias("match_at"), "n"), "passage-first")
+    matches = places.join(first, "s").filter("id <> match_id").select("id", "match_id", "at", "match_at")
+    matches = matches.unionByName(places.filter("own >= 0").select("id", F.col("id").alias("match_id"), "at", F.col("own").alias("match_at")))
+
+    found = _passages(rows, matches, k, min_words, identity, gap, margin)
+    again = _again(places, first, found, k, min_words, gap)
+    passages = found.unionByName(_passages(rows, again, k, min_words, identity, gap, margin)).dropDuplicates(PLACE)
     # Passages that touch make a stretch; short parts count where their stretch is long enough.
     by = Window.partitionBy("id").orderBy("first_word", "stop_word")
     reach = F.max("stop_word").over(by.rowsBetween(Window.unboundedPreceding, -1))

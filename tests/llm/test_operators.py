@@ -159,6 +159,29 @@ def test_passages_within_one_document(spark):
     assert all(words[i][a:b] == words[m][x:y] for i, a, b, m, x, y in found)
 
 
+@pytest.mark.parametrize("n_lines", [1, 20])
+def test_passages_whose_lines_come_first_elsewhere(spark, n_lines):
+    texts = {}
+    for g in range(4):
+        lines = [[f"g{g}l{n}w{x}" for x in range(20)] for n in range(3)]
+        for c in range(n_lines):
+            for n, line in enumerate(lines):
+                texts[g * 1000 + 3 * c + n] = [f"a{g}.{c}.{n}.{x}" for x in range(15)] + line + [f"z{g}.{c}.{n}.{x}" for x in range(15)]
+        for c in range(2):
+            passage = sum(lines, [])
+            if c:
+                passage[19], passage[40] = "other", "words"  # no seed across two lines is equal
+            texts[g * 1000 + 900 + c] = [f"b{g}.{c}.{x}" for x in range(20 + c)] + passage + [f"y{g}.{c}.{x}" for x in range(20)]
+    want = set()
+    for a, b in combinations(sorted(texts), 2):  # all pairs: words equal on one diagonal
+        at = {word: x for x, word in enumerate(texts[a])}
+        same = Counter(y - at[word] for y, word in enumerate(texts[b]) if word in at)
+        want |= {(b, a, n) for n in same.values() if n >= 25}
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id bigint, text string")
+    got = passages.repeated(rows).collect()
+    assert want == {(r["id"], r["match_id"], r["n_equal"]) for r in got} and len(want) == 4
+
+
 def test_windows_of_seeds_keep_fuzzy_passages():
     import inspect
 
