@@ -5,6 +5,7 @@
 2. Matching: every term is a Levenshtein automaton (one edit from ``EDIT1`` letters, two from
    ``EDIT2``); walking the trie under all of them at once is the intersection.  Its
    states are sets of (trie node, edits), made when first met, so a word costs one look-up a letter.  A stem also takes any ending.
+   Words with figures or marks inside ("mor0n", "st*pid", "m_o_r_o_n") are matched whole, and without these, as misspelled ones.
 3. Context: a hit counts by the words and marks around it: less within quotation marks or
    near a word of reporting, more near a word of address.
 4. A logistic model of the summed, weighted hits gives the score.
@@ -32,11 +33,14 @@ from .common import Shipped, plus, stored, text_slices, without
 
 MAX_TERMS = 2000
 CANDIDATES = 20_000
-STEM, EDIT1, EDIT2 = 5, 5, 9
+STEM, EDIT1, EDIT2 = 5, 4, 9
 FLUSH = 200_000
 CACHE_WORDS = 300_000
 CACHE_STATES = 100_000
 TOKEN = re.compile(r"[^\W\d_]+|[\"“”«»„]")
+#: Letters with figures or marks between or before them: a word that may be disguised.
+ODD = re.compile(r"(?<![^\W_])[@$]?[^\W\d_]*(?:[\d_*@$#!+|.'’\-]+[^\W\d_]+)+\$*")
+SIGNS, FIGURES, DISGUISES = re.compile(r"[_*@$#!+|.'’\-]+"), re.compile(r"\d+"), re.compile(r"[\d_*@$#!+|]")
 MARKS = frozenset("\"“”«»„")
 WINDOW = 8
 #: Words of reporting and of address, in the languages of the texts we know.
@@ -138,11 +142,39 @@ class Matcher:
     def __init__(self, lexicon: Lexicon):
         self.lexicon, self.seen, self.hits = lexicon, set(), {}
 
+    def _odd(self, word: str):
+        """(edits, term) nearest to a word with figures or marks inside: as it is, without its marks, or with letters alone.
+        None if one of its runs of letters has a hit of its own, or if whole words are joined by stops or hyphens."""
+        parts = TOKEN.findall(word)
+        if len(word) > 80 or not (DISGUISES.search(word) or min(map(len, parts)) <= 2) or any(self.lexicon.match(w) for w in parts):
+            return None
+        plain = SIGNS.sub("", word)
+        found = [m for m in map(self.lexicon.match, {word, plain, FIGURES.sub("", plain)}) if m is not None]
+        return min(((max(1, edits), t) for edits, t in found), default=None)
+
+    def _words(self, text: bytes) -> list[str]:
+        """The words of a text, a disguised one with a hit in one piece."""
+        low = text.decode("utf-8", "replace").lower()
+        odd = set(ODD.findall(low))
+        for w in odd - self.seen:
+            m = self._odd(w)
+            if m is not None:
+                self.hits[w] = m
+        self.seen |= odd
+        if self.hits.keys().isdisjoint(odd):
+            return TOKEN.findall(low)
+        out, at = [], 0
+        for m in ODD.finditer(low):
+            if m.group() in self.hits:
+                out += [*TOKEN.findall(low, at, m.start()), m.group()]
+                at = m.end()
+        return out + TOKEN.findall(low, at)
+
     def features(self, text: bytes) -> list[float]:
-        words = words_of(text)
-        distinct = set(words)
         if len(self.seen) > CACHE_WORDS:
             self.seen, self.hits = set(), {}
+        words = self._words(text)
+        distinct = set(words)
         for w in distinct - self.seen:
             m = self.lexicon.match(w)
             if m is not None:

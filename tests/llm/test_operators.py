@@ -353,6 +353,22 @@ def test_lexicon_automaton_equals_edit_distance():
         assert (found and found[0]) == min(best, default=(None,))[0], word
 
 
+def test_disguised_words_are_matched(spark):
+    matcher = toxicity.Matcher(toxicity.Lexicon([("moron", False, 1.0), ("stupid", False, 1.0)]))
+    for text in ["he is a mor0n", "st*pid thing", "what a m_o_r_o_n!", "m.o.r.o.n", "mor0on", "$tupid"]:
+        assert matcher.features(text.encode())[1] > 0, text
+    for text in ["more. one", "mor.onward", "in 2024 no", "a-b c_d e.g. 1st", "mo ron"]:
+        assert matcher.features(text.encode())[:2] == [0, 0], text
+    assert matcher.features(b"a moron.he said")[0] > 0
+    odd = ["mor0n", "m*ron", "mo_ron", "m0ron", "moro1n", "m.o.r.o.n"]
+    texts = [(i, f"he is a {odd[i // 16 % 6] if i % 16 == 0 else 'moron'} today {i}" if i % 4 == 0 else f"what a pleasant day it is today {i}") for i in range(200)]
+    train = spark.createDataFrame(texts, "doc_id bigint, text string")
+    model = toxicity.train(train, train.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic")))
+    test = spark.createDataFrame([(1, "she is a mor0on"), (2, "she is a m_o_r_o_n"), (3, "she is a person")], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(test, model).collect()}
+    assert got[1] > 0.5 > got[3] and got[2] > 0.5
+
+
 def test_toxicity(spark, docs, none):
     texts = [(i, "you are a horrible moron today" if i % 4 == 0 else "what a pleasant day it is today") for i in range(200)]
     train = spark.createDataFrame(texts, "doc_id bigint, text string").withColumn("text", F.concat("text", F.lit(" "), "doc_id"))
