@@ -245,33 +245,29 @@ def anchors(model, df: DataFrame, instance: dict, features: Sequence[str], bins:
 
 
 def counterfactuals(model, df: DataFrame, instances: DataFrame, features: Sequence[str],
-                    key: Sequence[str] = ("id",), bucket_length: float = 1.0, num_tables: int = 4,
-                    max_distance: float = 3.0, seed: int = 42) -> DataFrame:
+                    key: Sequence[str] = ("id",), max_distance: float | None = None) -> DataFrame:
     """X08 (re-aimed): for each instance, the nearest existing row that the
-    model predicts differently (standardized Euclidean distance), found by
-    an LSH similarity join -- approximate: an instance whose buckets hold no
-    such row within ``max_distance`` gets none.  Output
+    model predicts differently (standardized Euclidean distance; of equally
+    near ones the least key).  Exact: the instances, a small set, are
+    broadcast and every row is compared with each of them in one aggregate.
+    An instance gets none only if all rows are predicted alike, or none is
+    within ``max_distance`` where that is given.  Output
     ``(key…, cf_key…, distance)``."""
-    from pyspark.ml.feature import VectorAssembler
     key = list(key)
     feats = list(features)
-    st = df.agg(*[e for f in feats for e in (F.avg(f).alias(f"m_{f}"), F.stddev_pop(f).alias(f"s_{f}"))]).first()
-
-    def z(frame):
-        return frame.select(*key, *[((F.col(f) - st[f"m_{f}"]) / (st[f"s_{f}"] or 1.0)).alias(f) for f in feats],
-                            "prediction")
-
-    va = VectorAssembler(inputCols=feats, outputCol="_ck_v")
-    a = va.transform(z(_pred(model, instances)))
-    b = va.transform(z(_pred(model, df)))
-    from cohortkit.operators.ml import fit_lsh_bounded
-    lsh, _ = fit_lsh_bounded(b, "_ck_v", bucket_length, num_tables, seed)
-    j = lsh.approxSimilarityJoin(a, b, max_distance, "distance")
-    j = j.where(F.col("datasetA.prediction") != F.col("datasetB.prediction"))
-    best = j.groupBy(*[F.col(f"datasetA.{k}").alias(k) for k in key]).agg(
-        F.min_by(F.struct(*[F.col(f"datasetB.{k}").alias(f"cf_{k}") for k in key]), F.col("distance")).alias("cf"),
-        F.min("distance").alias("distance"))
-    return best.select(*key, "cf.*", "distance")
+    st = df.agg(*[F.stddev_pop(f).alias(f"s_{f}") for f in feats]).first()
+
+    def z(frame, prefix):
+        scaled = [(F.col(f) / F.lit(float(st[f"s_{f}"] or 1.0))).alias(f"{prefix}f{i}") for i, f in enumerate(feats)]
+        return _pred(model, frame).select(*[F.col(k).alias(f"{prefix}k{i}") for i, k in enumerate(key)], *scaled,
+                                          F.col("prediction").alias(f"{prefix}p"))
+
+    pairs = z(df, "_ck_b").join(F.broadcast(z(instances, "_ck_a")), F.col("_ck_ap") != F.col("_ck_bp"))
+    distance = F.sqrt(sum((F.pow(F.col(f"_ck_af{i}") - F.col(f"_ck_bf{i}"), F.lit(2.0)) for i in range(len(feats))), F.lit(0.0)))
+    cf = F.struct(distance.alias("distance"), *[F.col(f"_ck_bk{i}").alias(f"cf_{k}") for i, k in enumerate(key)])
+    best = pairs.groupBy(*[F.col(f"_ck_ak{i}").alias(k) for i, k in enumerate(key)]).agg(F.min(cf).alias("cf"))
+    best = best.select(*key, *[f"cf.cf_{k}" for k in key], "cf.distance")
+    return best if max_distance is None else best.where(F.col("distance") <= max_distance)
 
 
 def _pred(model, df):

@@ -1786,7 +1786,7 @@ def q_X07(spark, d):
 def q_X08(spark, d):
     model, data = _trained(spark, d)
     inst = sel.sample_n(data, 20, ["id"], seed=1)
-    return r6(xp.counterfactuals(model, data, inst, ADM_FEATURES, ["id"], bucket_length=1.0, max_distance=3.0))
+    return r6(xp.counterfactuals(model, data, inst, ADM_FEATURES, ["id"]))
 
 
 def q_X09(spark, d):

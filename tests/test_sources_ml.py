@@ -101,3 +101,27 @@ def test_smote_exact_size_small_and_large_deficit(sep, keep_every):
     after = {r[0]: r[1] for r in bal.groupBy("label").count().collect()}
     assert after[0] == counts_dup[0]
     assert after[1] == counts_dup[0]  # every minority row has a neighbour here: exact balance
+
+
+def test_counterfactuals_are_the_nearest_rows_of_the_other_class(spark):
+    import math
+    import random
+
+    from cohortkit.operators.interpret import counterfactuals
+
+    class Model:
+        def transform(self, df):
+            return df.withColumn("prediction", (F.col("x") > 0).cast("double"))
+
+    rng = random.Random(4)
+    rows = [(i, rng.uniform(-1, -0.5), rng.gauss(0, 5)) for i in range(400)] + [(400, 60.0, 40.0), (401, -70.0, 2.0), (402, 0.4, -60.0), (403, 0.4, -60.0)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    sd = [math.sqrt(sum((r[c] - sum(q[c] for q in rows) / len(rows)) ** 2 for r in rows) / len(rows)) for c in (1, 2)]
+    dist = lambda a, b: math.sqrt(sum(((a[c + 1] - b[c + 1]) / sd[c]) ** 2 for c in (0, 1)))
+    asked = [0, 7, 400, 401, 402]
+    got = {r["id"]: (r["cf_id"], r["distance"]) for r in counterfactuals(Model(), df, df.where(F.col("id").isin(asked)), ["x", "y"]).collect()}
+    assert sorted(got) == asked
+    for i in asked:
+        want = min((dist(rows[i], r), r[0]) for r in rows if (r[1] > 0) != (rows[i][1] > 0))
+        assert abs(got[i][1] - want[0]) < 1e-9 and got[i][0] == want[1]
+    assert max(d for _, d in got.values()) > 3
