@@ -143,7 +143,7 @@ def _bucket_counts(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """``id, n, digest, node, early, vector`` of every document; node is half of the digest."""
+    """``id, text_key, n, digest, node, early, vector`` of every document; node is half of the digest."""
     order = docs.sparkSession.sparkContext.broadcast(_bucket_counts(docs, k).astype(np.uint64))
 
     def sign(batches):
@@ -164,10 +164,10 @@ def _signatures(docs: DataFrame, k: int, threshold: int) -> DataFrame:
                     p = len(s) - -(-threshold * len(s) // 100) + 1
                     early.append(signed(s[rank <= np.partition(rank, p - 1)[p - 1]]))  # ties all in: a superset
                     vector.append(packed_vector(s))
-                yield pa.record_batch({"id": batch.column(0).slice(begin, len(texts)), "n": pa.array(n, pa.int64()), "digest": pa.array(digest, pa.string()),
+                yield pa.record_batch({"id": batch.column(0).slice(begin, len(texts)), "text_key": batch.column(2).slice(begin, len(texts)), "n": pa.array(n, pa.int64()), "digest": pa.array(digest, pa.string()),
                                        "node": pa.array(node, pa.int64()), "early": pa.array(early, pa.list_(pa.int64())), "vector": pa.array(vector, pa.binary())})
 
-    return stored(docs.select("id", "text").mapInArrow(sign, "id bigint, n bigint, digest string, node bigint, early array<bigint>, vector binary"), "jaccard-signatures")
+    return stored(docs.select("id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(sign, "id bigint, text_key bigint, n bigint, digest string, node bigint, early array<bigint>, vector binary"), "jaccard-signatures")
 
 
 def _stars(signs: DataFrame, threshold: int) -> DataFrame:
@@ -259,6 +259,11 @@ def _verified(docs: DataFrame, signs: DataFrame, blocks: DataFrame, k: int, thre
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: int = 80) -> DataFrame:
     """``id, n_shingles, component_id`` per row."""
+    return _similar(docs, id_col, text_col, k, threshold).drop("text_key")
+
+
+def _similar(docs: DataFrame, id_col: str, text_col: str, k: int, threshold: int) -> DataFrame:
+    """``similar`` with a hash of each row's text."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     all_signs = _signatures(rows, k, threshold)
     signs = all_signs.filter("n > 0 AND id IS NOT NULL")
@@ -269,13 +274,13 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     parts = classes.groupBy("label").agg(F.min("least").alias("component_id"))
     classes = stored(least.join(linked.withColumnRenamed("node", "digest"), "digest", "left").join(parts, "label", "left")
                      .select("digest", F.coalesce("component_id", "least").alias("component_id")), "jaccard-classes")
-    return all_signs.select("id", "n", "digest").join(classes, "digest", "left").select(
-        "id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    return all_signs.select("id", "text_key", "n", "digest").join(classes, "digest", "left").select(
+        "id", "text_key", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: int = 80) -> DataFrame:
     """``docs`` with one document of each component, that with the smallest id.
-    Repeated rows of it all stay, as do rows without an id."""
-    found = similar(docs, id_col, text_col, k, threshold)
-    gone = found.filter("component_id <> id").select(F.col("id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    Repeated rows of it all stay, as do rows without an id.  Of different texts with one id each is judged on its own."""
+    found = _similar(docs, id_col, text_col, k, threshold)
+    gone = found.filter("component_id <> id").select(F.col("id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct()
+    return docs.join(gone, (F.col(id_col).cast("bigint") == F.col("_gone_id")) & (F.xxhash64(text_col) == F.col("_gone_key")), "left_anti")

@@ -136,6 +136,12 @@ def test_jaccard_equals_brute_force(docs, none, monkeypatch, small):
         assert jaccard.similar(none).count() == jaccard.keep_one(none).count() == 0
 
 
+def test_texts_that_share_an_id_are_judged_apart(spark):
+    rows = [(1, COPY), (2, NEAR), (2, "a text of its own that nothing else is like"), (3, COPY)]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
 def test_passages(docs, none):
     got = passages.repeated(docs)
     pairs = {(r["id"], r["match_id"]) for r in got.collect()}
