@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, language, passages, secret_scan, simhash, token_count, toxicity, warc
+from . import bpe, decontaminate, jaccard, language, passages, secret_scan, simhash, survival, token_count, toxicity, voronoi, warc
 from .common import new_dir, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -122,6 +122,56 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", F.coalesce(toxicity_fold() == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+SQL11 = """
+WITH v AS (
+  SELECT row_number() OVER () AS no, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.no, q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.x, d.x) AS BIGINT) AS score
+  FROM v AS q JOIN v AS d ON q.vec_id % 20 = 0 AND d.no <> q.no),
+r AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, vec_id NULLS LAST) AS place FROM s)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20
+"""
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survival.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_STEPS = " UNION ALL ".join(
+    f"SELECT *, {k} AS step, a{k} AS f, " + ("false" if k == 1 else " OR ".join(f"list_contains(failed, a{i})" for i in range(1, k))) + " AS gone FROM marked, orders"
+    for k in range(1, 6))
+SQL13 = f"""
+WITH t AS (SELECT row_number() OVER () AS no, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(x, '[\\x20\\x09-\\x0D]+'), lambda s: s <> '') AS words, min(doc_id) OVER (PARTITION BY x) AS first_id FROM t),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+marked AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, list_filter([
+    CASE WHEN len(words) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 2 * length(x) THEN 'C' END,
+    CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 'D' END, CASE WHEN first_id < w.doc_id THEN 'E' END], lambda s: s IS NOT NULL) AS failed
+  FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, a.c AS a1, b.c AS a2, c.c AS a3, d.c AS a4, e.c AS a5
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+steps AS ({_STEPS}),
+g AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, f, count(*) FILTER (NOT gone AND NOT list_contains(failed, f)) AS kept,
+         count(*) FILTER (NOT gone AND list_contains(failed, f)) AS removed, count(*) FILTER (gone AND list_contains(failed, f)) AS redundant,
+         count(*) FILTER (failed = [f]) AS unique_fails,
+         count(*) FILTER (good = 1 AND NOT gone AND list_contains(failed, f)) AS good_lost,
+         count(*) FILTER (toxic = 1 AND NOT gone AND list_contains(failed, f)) AS toxic_lost
+  FROM steps GROUP BY ALL)
+SELECT * EXCLUDE (f), CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM g
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_secrets, op3_bpe, op4_decontamination, op5_passages, op6_token_counts, op7_language,
-                                   op8_simhash, op9_jaccard, op10_toxicity)}
-ORACLE_SQL = {"op1_warc": SQL1, "op2_secrets": SQL2}
+                                   op8_simhash, op9_jaccard, op10_toxicity, op11_topk, op13_filter_audit)}
+ORACLE_SQL = {"op1_warc": SQL1, "op2_secrets": SQL2, "op11_topk": SQL11, "op13_filter_audit": SQL13}
