@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard, language, passages, secret_scan, simhash, survival, token_count, toxicity, voronoi, warc
+from . import bpe, decontaminate, jaccard, language, passages, secret_scan, simhash, survival, token_count, toxicity, turns, voronoi, warc
 from .common import new_dir, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -138,6 +138,58 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE plac
 """
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damage(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
+SQL12 = """
+WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+       coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (SELECT *, xor(list_reduce(list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substring(k, i, 1)) AS BIGINT)),
+       lambda crc, b: list_reduce(range(8), lambda x, j: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(crc, b)),
+       4294967295::BIGINT), 4294967295::BIGINT) % 20 AS kind FROM c),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+       CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+       unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM d),
+f AS (SELECT conv_id, turn, role, text, i, role[1] AS initial,
+       CASE WHEN regexp_full_match(text, '[\\x20\\x09-\\x0D]*') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+            WHEN regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN '' ELSE 'truncated' END AS fault FROM o),
+moves(state, initial, after) AS (VALUES ('-', 's', 's'), ('-', 'u', 'u'), ('s', 'u', 'u'), ('a', 'u', 'u'), ('u', 'a', 'a')),
+made(state, lines, letters, cost, after) AS (
+  SELECT state, CAST([] AS VARCHAR[]), '', 0, state FROM (SELECT DISTINCT state FROM moves)
+  UNION ALL SELECT m.state, list_append(lines, CASE n.after WHEN 'u' THEN 'user:' ELSE 'assistant:' END), letters || 'I', cost + 3, n.after
+  FROM made AS m JOIN moves AS n ON n.state = m.after AND n.initial <> 's' AND cost < 6),
+dp(conv_id, i, state, cost, audit, lines) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '-', 0, '', CAST([] AS VARCHAR[]) FROM conversations
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, lines FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, i, state ORDER BY cost, audit) AS best FROM (
+      SELECT f.conv_id, f.i, e.after AS state, dp.cost + m.cost + e.cost AS cost, dp.audit || m.letters || e.letter AS audit,
+             list_concat(dp.lines, m.lines, e.lines) AS lines
+      FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i + 1 JOIN made AS m ON m.state = dp.state,
+      LATERAL (
+        SELECT 'D' AS letter, 4 AS cost, m.after AS after, CAST([] AS VARCHAR[]) AS lines
+        UNION ALL SELECT 'K', CASE f.fault WHEN 'truncated' THEN 3 ELSE 0 END, k.after, [f.role || ':' || f.text]
+        FROM moves AS k WHERE k.state = m.after AND k.initial = f.initial AND f.fault NOT IN ('blank', 'duplicate')
+        UNION ALL SELECT 'R', CASE f.fault WHEN 'truncated' THEN 6 ELSE 3 END, k.after, [CASE k.after WHEN 'u' THEN 'user:' ELSE 'assistant:' END || f.text]
+        FROM moves AS k WHERE k.state = m.after AND k.initial <> 's' AND f.fault NOT IN ('blank', 'duplicate')) AS e))
+  WHERE best = 1),
+n AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+       count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated FROM f GROUP BY conv_id),
+g AS (SELECT conv_id, count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM (SELECT conv_id, i, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM f) GROUP BY conv_id),
+ends AS (SELECT dp.conv_id, dp.cost + m.cost AS cost, dp.audit || m.letters AS audit, list_concat(dp.lines, m.lines) AS lines,
+       row_number() OVER (PARTITION BY dp.conv_id ORDER BY dp.cost + m.cost, dp.audit || m.letters) AS best
+  FROM dp LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM dp.conv_id JOIN made AS m ON m.state = dp.state AND m.after IN ('-', 'a')
+  WHERE dp.i = coalesce(n.n, 0))
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(cost AS BIGINT) AS cost, audit, sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM ends AS e LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM e.conv_id
+WHERE best = 1
+"""
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survival.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -173,5 +225,5 @@ SELECT * EXCLUDE (f), CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) A
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_secrets, op3_bpe, op4_decontamination, op5_passages, op6_token_counts, op7_language,
-                                   op8_simhash, op9_jaccard, op10_toxicity, op11_topk, op13_filter_audit)}
-ORACLE_SQL = {"op1_warc": SQL1, "op2_secrets": SQL2, "op11_topk": SQL11, "op13_filter_audit": SQL13}
+                                   op8_simhash, op9_jaccard, op10_toxicity, op11_topk, op12_turn_repair, op13_filter_audit)}
+ORACLE_SQL = {"op1_warc": SQL1, "op2_secrets": SQL2, "op11_topk": SQL11, "op12_turn_repair": SQL12, "op13_filter_audit": SQL13}
