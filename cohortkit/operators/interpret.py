@@ -248,25 +248,19 @@ def counterfactuals(model, df: DataFrame, instances: DataFrame, features: Sequen
                     key: Sequence[str] = ("id",), max_distance: float | None = None) -> DataFrame:
     """X08 (re-aimed): for each instance, the nearest existing row that the
     model predicts differently (standardized Euclidean distance; of equally
-    near ones the least key).  Exact: the instances, a small set, are
-    broadcast and every row is compared with each of them in one aggregate.
+    near ones the least key).  Exact: rows are indexed by cell and prediction, and an instance
+    visits cells of another prediction in order of their lower bounds
+    (``neighbors``), however many instances there are.
     An instance gets none only if all rows are predicted alike, or none is
-    within ``max_distance`` where that is given.  Output
-    ``(key…, cf_key…, distance)``."""
-    key = list(key)
-    feats = list(features)
-    st = df.agg(*[F.stddev_pop(f).alias(f"s_{f}") for f in feats]).first()
-
-    def z(frame, prefix):
-        scaled = [(F.col(f) / F.lit(float(st[f"s_{f}"] or 1.0))).alias(f"{prefix}f{i}") for i, f in enumerate(feats)]
-        return _pred(model, frame).select(*[F.col(k).alias(f"{prefix}k{i}") for i, k in enumerate(key)], *scaled,
-                                          F.col("prediction").alias(f"{prefix}p"))
-
-    pairs = z(df, "_ck_b").join(F.broadcast(z(instances, "_ck_a")), F.col("_ck_ap") != F.col("_ck_bp"))
-    distance = F.sqrt(sum((F.pow(F.col(f"_ck_af{i}") - F.col(f"_ck_bf{i}"), F.lit(2.0)) for i in range(len(feats))), F.lit(0.0)))
-    cf = F.struct(distance.alias("distance"), *[F.col(f"_ck_bk{i}").alias(f"cf_{k}") for i, k in enumerate(key)])
-    best = pairs.groupBy(*[F.col(f"_ck_ak{i}").alias(k) for i, k in enumerate(key)]).agg(F.min(cf).alias("cf"))
-    best = best.select(*key, *[f"cf.cf_{k}" for k in key], "cf.distance")
+    within ``max_distance`` where that is given; rows with a missing feature
+    take no part.  Output ``(key…, cf_key…, distance)``."""
+    from cohortkit.operators import neighbors
+    key, feats = list(key), list(features)
+    st = df.agg(*[F.stddev_pop(f).alias(f) for f in feats]).first()
+    vec = neighbors.vector_of(feats, [st[f] or 1.0 for f in feats])
+    index = neighbors.build_index(_pred(model, df), vec, key, tag=F.col("prediction"))
+    best = neighbors.knn(index, _pred(model, instances), vec, 1, tag=F.col("prediction")).select(
+        *key, *[F.col(f"nn_{k}").alias(f"cf_{k}") for k in key], "distance")
     return best if max_distance is None else best.where(F.col("distance") <= max_distance)
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.operators import evaluate as ev
+from cohortkit.operators import neighbors
 from cohortkit.operators.scale import standard_scale
 from cohortkit.functions.ordered import row_index
 from cohortkit.session import checkpoint_dir
@@ -144,42 +145,16 @@ def fit_lsh_bounded(df: DataFrame, vec: str, bucket_length: float, num_tables: i
     raise ValueError(f"LSH buckets still exceed {max_bucket} rows; are many vectors identical?")
 
 
-def nearest_distinct(points: DataFrame, vec: str, k: int, bucket_length: float, num_tables: int, seed: int,
-                     max_distance: float | None = None) -> DataFrame:
-    """``_ck_a, _ck_b, dist``: pairs of distinct points with ids ``_ck_id``,
-    at least ``k`` of them per point where so many exist.
-
-    Neighbours come from shared LSH buckets of at most 200 points
-    (``fit_lsh_bounded``); the points that found fewer than ``k`` ask again
-    with buckets twice as long, until none is left.
-    """
-    n = points.count()
-    want = min(k, n - 1)
-    found, asking = None, points
-    _, length = fit_lsh_bounded(points, vec, bucket_length, num_tables, seed, max_bucket=200, max_halvings=60)
-    while want > 0 and not asking.isEmpty():
-        lsh = BucketedRandomProjectionLSH(inputCol=vec, outputCol="_ck_h", bucketLength=length, numHashTables=num_tables, seed=seed).fit(points)
-        near = lsh.approxSimilarityJoin(asking, points, float("inf"), "dist").where(F.col("datasetA._ck_id") != F.col("datasetB._ck_id"))
-        near = near.select(F.col("datasetA._ck_id").alias("_ck_a"), F.col("datasetB._ck_id").alias("_ck_b"), "dist").checkpoint(eager=True)
-        answered = near.groupBy("_ck_a").count().where(F.col("count") >= want).select(F.col("_ck_a").alias("_ck_id"))
-        kept = near.join(answered, near["_ck_a"] == answered["_ck_id"], "left_semi")
-        found = kept if found is None else found.unionByName(kept)
-        asking = asking.join(answered, "_ck_id", "left_anti").checkpoint(eager=True)
-        length *= 2.0
-    if found is None:
-        return points.sparkSession.createDataFrame([], "_ck_a long, _ck_b long, dist double")
-    return found if max_distance is None else found.where(F.col("dist") <= max_distance)
-
-
 def smote(df: DataFrame, cols: Sequence[str], label: str = "label", key: Sequence[str] = ("id",), k: int = 5,
           seed: int = 42, bucket_length: float = 2.0, num_tables: int = 3, max_distance: float | None = None) -> DataFrame:
     """Synthetic minority rows x + u·(nn − x) toward one of the k
     nearest minority neighbours, until the classes balance (U03 appends).
 
     Neighbours are searched among distinct minority vectors, each feature
-    divided by its standard deviation (``bucket_length`` and
-    ``max_distance`` are in these units), with LSH buckets of bounded size
-    that widen for rows without k neighbours (``nearest_distinct``).  With
+    divided by its standard deviation (``max_distance`` is in these units).
+    The search is exact: a metric index whose cells a row visits only while they
+    may hold a nearer one (``neighbors``); ``bucket_length`` and ``num_tables``, of the hashed search it replaced, are
+    accepted and unused.  With
     deficit = q·n_min + r, every minority row makes q synthetic rows and r
     of them (first in seeded-hash order) one more, so the result is balanced exactly; a
     minority of one distinct vector repeats it.
@@ -196,8 +171,11 @@ def smote(df: DataFrame, cols: Sequence[str], label: str = "label", key: Sequenc
     rows = df.where(F.col(label) == minority)
     spread = rows.agg(*[F.coalesce(F.nullif(F.stddev_pop(c), F.lit(0.0)), F.lit(1.0)).alias(c) for c in cols]).first()
     distinct = row_index(rows.select(*cols).dropDuplicates(), cols, name="_ck_id").checkpoint(eager=True)
-    scaled = assemble(distinct.select("_ck_id", *[(F.col(c) / F.lit(float(spread[c]))).alias(c) for c in cols]), cols, "_ck_v").select("_ck_id", "_ck_v")
-    found = nearest_distinct(scaled, "_ck_v", k, bucket_length, num_tables, seed, max_distance)
+    vec = neighbors.vector_of(cols, [spread[c] for c in cols])
+    found = neighbors.knn(neighbors.build_index(distinct, vec, ["_ck_id"]), distinct, vec, k).select(
+        F.col("_ck_id").alias("_ck_a"), F.col("nn__ck_id").alias("_ck_b"), F.col("distance").alias("dist"))
+    if max_distance is not None:
+        found = found.where(F.col("dist") <= max_distance)
     alone = distinct.join(found.select(F.col("_ck_a").alias("_ck_id")), "_ck_id", "left_anti").select(
         F.col("_ck_id").alias("_ck_a"), F.col("_ck_id").alias("_ck_b"), F.lit(0.0).alias("dist"))
     pairs = found.unionByName(alone)
@@ -227,6 +205,27 @@ def smote(df: DataFrame, cols: Sequence[str], label: str = "label", key: Sequenc
     return df.unionByName(synth, allowMissingColumns=True)
 
 
+class LinearScorer:
+    """A logistic model known by its coefficients (fitted elsewhere, or set by hand), scored as a
+    column expression.  ``transform`` adds ``probability`` and ``prediction`` as a fitted Spark
+    model does, so every explanation of ``interpret`` takes it."""
+
+    def __init__(self, weights: dict[str, float], intercept: float = 0.0):
+        self.weights, self.intercept = dict(weights), float(intercept)
+
+    @property
+    def coefficients(self):
+        from pyspark.ml.linalg import Vectors
+        return Vectors.dense(list(self.weights.values()))
+
+    def margin(self):
+        return sum((F.lit(w) * F.col(f) for f, w in self.weights.items()), F.lit(self.intercept))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin()))
+        return df.withColumns({"probability": array_to_vector(F.array(F.lit(1.0) - p, p)), "prediction": (self.margin() > 0).cast("double")})
+
+
 # --- M06: random search with cross-validation ----------------------------------------------
 
 # Search ranges per model family (low, high, kind).

@@ -1375,6 +1375,8 @@ def _registry():
             key = name[2:]
             reg[key] = (fn, g.get(f"SQL_{key}"))
     reg["T01"] = (q_T01, _sql_tfidf())
+    from cohortkit.plans import explained
+    reg |= {name[2:]: (fn, getattr(explained, f"SQL_{name[2:]}", None)) for name, fn in vars(explained).items() if name.startswith("q_")}
     return reg
 
 
