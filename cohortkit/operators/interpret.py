@@ -60,30 +60,25 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
     """Mean and std (population) over ``repeats`` of the drop in
     accuracy when one feature's values are permuted.
 
-    A permutation is a join of two row numberings of the same rows: by key
-    order and by seeded-hash order (both from the distributed two-level
-    rank).  All repeats of one feature are scored in one exploded frame.
+    Rows are numbered once along the key, and each repeat is a keyed bijection of these numbers
+    (``functions.keyed``): a row's donor is found by arithmetic, without a sort per permutation.  One join by number brings a row all
+    features of its donor, one repeat's permutation serving every feature; each feature is then replaced in turn and scored
+    without another shuffle.
     """
+    from cohortkit.functions import keyed
     from cohortkit.functions.ordered import row_index
-    key = list(key)
-    base_acc = _accuracy(model.transform(df), label).first()["accuracy"]
-    spark = df.sparkSession
-    reps = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_ck_rep")
-    by_key = row_index(df.select("*", reps), key, by=["_ck_rep"], name="_ck_i")
-    out = []
-    for fi, f in enumerate(features):
-        src = df.select(*key, f).select("*", reps)
-        src = src.withColumn("_ck_h", F.xxhash64(F.lit(seed), F.lit(fi), F.col("_ck_rep"), *[F.col(k) for k in key]))
-        by_hash = row_index(src, ["_ck_h", *key], by=["_ck_rep"], name="_ck_i").select(
-            "_ck_rep", "_ck_i", F.col(f).alias("_ck_perm"))
-        permuted = by_key.join(by_hash, ["_ck_rep", "_ck_i"]).drop(f).withColumnRenamed("_ck_perm", f)
-        acc = _accuracy(model.transform(permuted), label, ["_ck_rep"])
-        out.append(acc.select(F.lit(f).alias("feature"), (F.lit(base_acc) - F.col("accuracy")).alias("drop")))
-    allp = out[0]
-    for o in out[1:]:
-        allp = allp.unionByName(o)
-    return allp.groupBy("feature").agg(F.avg("drop").alias("importance_mean"),
-                                       F.stddev_pop("drop").alias("importance_std")).orderBy(
+    key, feats = list(key), list(features)
+    rows = row_index(df.select(*key, *feats, F.col(label).alias("_ck_label")), key, name="_ck_i").drop(*key).checkpoint(eager=True)
+    n = rows.count()
+    base_acc = _accuracy(model.transform(rows), "_ck_label").first()["accuracy"]
+    asked = rows.withColumn("_ck_rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    asked = asked.withColumn("_ck_from", keyed.permuted_index(F.col("_ck_i"), n, F.col("_ck_rep"), keyed.lines_of(seed, repeats)))
+    donors = rows.select(F.col("_ck_i").alias("_ck_from"), *[F.col(f).alias(f"_ck_p{i}") for i, f in enumerate(feats)])
+    both = asked.join(donors, "_ck_from")
+    variants = F.array(*[F.struct(F.lit(f).alias("_ck_f"), *[F.col(f"_ck_p{j}" if f == g else g).alias(g) for j, g in enumerate(feats)]) for f in feats])
+    scored = model.transform(both.select("_ck_rep", "_ck_label", F.explode(variants).alias("_ck_v")).select("_ck_rep", "_ck_label", "_ck_v.*"))
+    drops = _accuracy(scored, "_ck_label", ["_ck_f", "_ck_rep"]).select(F.col("_ck_f").alias("feature"), (F.lit(base_acc) - F.col("accuracy")).alias("drop"))
+    return drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std")).orderBy(
         F.col("importance_mean").desc(), "feature")
 
 
@@ -109,16 +104,46 @@ def attribution_summary(attr: DataFrame, top: int | None = None) -> DataFrame:
 
 def explanation_stability(attr: DataFrame, key: Sequence[str] = ("id",), replicates: int = 100,
                           seed: int = 42) -> DataFrame:
-    """Bootstrap (Poisson weights, O06) of the mean |attribution| per
-    feature: std and 2.5/97.5 % percentiles across replicates."""
-    from cohortkit.functions.ordered import quantiles
-    from cohortkit.operators.select import bootstrap
-    b = bootstrap(attr, replicates, list(key) + ["feature"], seed)
-    per = b.groupBy("replicate", "feature").agg(
-        (F.sum(F.col("weight") * F.abs("attribution")) / F.sum("weight")).alias("m"))
-    sd = per.groupBy("feature").agg(F.stddev_pop("m").alias("std"), F.avg("m").alias("mean"))
-    q = quantiles(per, ["m"], {"p2_5": 0.025, "p97_5": 0.975}, by=["feature"]).drop("column")
-    return sd.join(q, "feature")
+    """Bootstrap of the mean |attribution| per feature: mean, std and 2.5/97.5 % percentiles across replicates.
+
+    A row's weights are one array of Poisson(1) numbers, one a replicate, made from its key; all features of a row share them.  Tasks
+    add weight arrays and weighted sums elementwise and hand on two arrays per feature, so rows are neither
+    exploded nor shuffled.  Rows without an attribution are left out."""
+    import numpy as np
+    import pyarrow as pa
+
+    from cohortkit.functions import keyed
+    from cohortkit.operators.select import poisson1_cdf
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])
+    number = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") % keyed.PRIME
+    factor, addend = (np.array(v, np.uint64) for v in zip(*[keyed.line(seed, r) for r in range(replicates)]))
+    cdf, prime = np.array(poisson1_cdf(16)), np.uint64(keyed.PRIME)
+
+    def add(batches):
+        sums: dict[str, np.ndarray] = {}
+        for b in batches:
+            names = b["feature"].dictionary_encode()
+            which, size = np.asarray(names.indices), np.abs(np.asarray(b["attribution"]))
+            x = np.asarray(b["number"]).astype(np.uint64)
+            for begin in range(0, len(x), 4096):
+                part = slice(begin, begin + 4096)
+                y = (x[part, None] * factor + addend) % prime
+                weights = np.searchsorted(cdf, (y * y % prime) / keyed_prime, side="right").astype(np.float64)
+                for i in np.unique(which[part]):
+                    own = which[part] == i
+                    at = sums.setdefault(names.dictionary[int(i)].as_py(), np.zeros((2, replicates)))
+                    at += [size[part][own] @ weights[own], weights[own].sum(0)]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v[0].tolist() for v in sums.values()], pa.list_(pa.float64())),
+                                          pa.array([v[1].tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["feature", "weighted", "weight"])
+
+    keyed_prime = float(keyed.PRIME)
+    rows = attr.where(F.col("attribution").isNotNull()).select(F.col("feature").cast("string").alias("feature"), number.alias("number"), F.col("attribution").cast("double").alias("attribution"))
+    sums = rows.mapInArrow(add, "feature string, weighted array<double>, weight array<double>")
+    sums = sums.select("feature", F.posexplode(F.arrays_zip("weighted", "weight")).alias("replicate", "s")).groupBy("feature", "replicate").agg(
+        F.sum("s.weighted").alias("weighted"), F.sum("s.weight").alias("weight"))
+    # Two sums per replicate and feature are left.
+    m = F.try_divide(F.col("weighted"), F.col("weight"))
+    return sums.groupBy("feature").agg(F.stddev_pop(m).alias("std"), F.avg(m).alias("mean"), F.percentile(m, 0.025).alias("p2_5"), F.percentile(m, 0.975).alias("p97_5"))
 
 
 def pdp_grid(df: DataFrame, feature: str, resolution: int = 100, lo: float = 0.05, hi: float = 0.95) -> list[float]:
@@ -244,6 +269,67 @@ def anchors(model, df: DataFrame, instance: dict, features: Sequence[str], bins:
     return spark.createDataFrame(steps, "step int, rule string, precision double, coverage double")
 
 
+def anchor_rules(model, df: DataFrame, instances: DataFrame, features: Sequence[str], key: Sequence[str] = ("id",), bins: int = 4,
+                 threshold: float = 0.95, max_rules: int = 5) -> DataFrame:
+    """X07 for many instances in one job: greedy anchors as in ``anchors``, ``(key..., step, features, rule, covered, same, precision, coverage)``.
+
+    A row becomes the vector of its quantile bins, and rows are counted by vector and prediction (at most bins^features
+    groups, combined before the shuffle).  Each group then adds its counts to every rule of up to ``max_rules`` predicates that it meets: the cube.
+    An instance looks up its own rules by key and walks them greedily (highest precision, then coverage,
+    then name) until ``threshold`` is reached.  A missing value is a bin of its own.  An edge counts as reached within a
+    relative 1e-9, so the rounding of interpolated edges moves no row.
+    """
+    from itertools import combinations
+
+    import pandas as pd
+
+    from cohortkit.functions.ordered import quantile_values
+    key, feats = list(key), list(features)
+    probs = {f"q{i}": i / bins for i in range(1, bins)}
+    found = quantile_values(df, feats, probs)
+    edges = {f: [found[f][p] + 1e-9 * max(1.0, abs(found[f][p])) for p in probs if found[f][p] is not None] for f in feats}
+    masks = [c for size in range(1, min(max_rules, len(feats)) + 1) for c in combinations(range(len(feats)), size)]
+
+    def digit(f):
+        x = F.col(f).cast("double")
+        return F.when(x.isNull() | F.isnan(x), bins).otherwise(sum((F.when(x > e, 1).otherwise(0) for e in edges[f]), F.lit(0)))
+
+    digits = F.array(*[digit(f) for f in feats])
+    rules = F.array(*[F.struct(F.lit(i).alias("mask"), F.lit([(bins + 1) ** f if f in c else 0 for f in range(len(feats))]).cast("array<bigint>").alias("powers")) for i, c in enumerate(masks)])
+    met = F.transform(rules, lambda m: F.struct(m["mask"].alias("mask"), F.aggregate(F.zip_with("_ck_d", m["powers"], lambda d, p: d * p), F.lit(0).cast("bigint"), lambda a, x: a + x).alias("rule")))
+    counts = _pred(model, df.select(*feats)).groupBy(digits.alias("_ck_d"), F.col("prediction").alias("_ck_p")).agg(F.count(F.lit(1)).alias("n"))
+    cube = counts.select("_ck_p", "n", F.explode(met).alias("m")).groupBy("m.mask", "m.rule", "_ck_p").agg(F.sum("n").alias("n"))
+    asked = _pred(model, instances.select(*key, *feats)).select(*key, F.col("prediction").alias("_ck_own"), digits.alias("_ck_d"))
+    wanted = asked.select(*key, "_ck_own", "_ck_d", F.explode(met).alias("m")).select(*key, "_ck_own", "_ck_d", "m.*")
+    # Keep of the cube what an instance asks for; an instance and rule meet one row per prediction.
+    stats = wanted.join(cube, ["mask", "rule"]).groupBy(*key, "mask").agg(
+        F.first("_ck_d").alias("_ck_d"), F.sum("n").alias("covered"), F.sum(F.when(F.col("_ck_p") == F.col("_ck_own"), F.col("n")).otherwise(0)).alias("same"))
+    total = df.count()
+
+    def described(f, d):
+        if d == bins:
+            return f"{feats[f]} is missing"
+        lows, highs = ["-inf", *edges[feats[f]]], [*edges[feats[f]], "inf"]
+        return f"{lows[d]} < {feats[f]} <= {highs[d]}"
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        known = {frozenset(masks[m]): (int(c), int(s)) for m, c, s in zip(pdf["mask"], pdf["covered"], pdf["same"])}
+        d, chosen, out = pdf["_ck_d"].iloc[0], [], []
+        while len(chosen) < min(max_rules, len(feats)):
+            options = [(known[frozenset([*chosen, f])], f) for f in range(len(feats)) if f not in chosen]
+            (covered, same), f = max(options, key=lambda o: (o[0][1] / o[0][0] if o[0][0] else 0.0, o[0][0], feats[o[1]]))
+            chosen.append(f)
+            precision = same / covered if covered else 0.0
+            out.append({**{k: pdf[k].iloc[0] for k in key}, "step": len(chosen), "features": ",".join(feats[i] for i in chosen),
+                        "rule": " AND ".join(described(i, int(d[i])) for i in chosen), "covered": covered, "same": same, "precision": precision, "coverage": covered / total})
+            if precision >= threshold:
+                break
+        return pd.DataFrame(out)
+
+    schema = ", ".join([f"{k} {dict(instances.dtypes)[k]}" for k in key] + ["step int, features string, rule string, covered bigint, same bigint, precision double, coverage double"])
+    return stats.groupBy(*key).applyInPandas(walk, schema)
+
+
 def counterfactuals(model, df: DataFrame, instances: DataFrame, features: Sequence[str],
                     key: Sequence[str] = ("id",), max_distance: float | None = None) -> DataFrame:
     """X08 (re-aimed): for each instance, the nearest existing row that the
