@@ -1760,7 +1760,7 @@ def q_X02(spark, d):
 def q_X03(spark, d):
     lr, data = _trained(spark, d, "logistic")
     attr = xp.linear_attributions(lr, data, ADM_FEATURES, ["id"])
-    return r6(xp.explanation_stability(attr, ["id"], replicates=20, seed=42))
+    return r6(xp.explanation_stability(attr, ["id"], replicates=100, seed=42))
 
 
 def q_X04(spark, d):
@@ -1770,25 +1770,22 @@ def q_X04(spark, d):
 
 def q_X05(spark, d):
     model, data = _trained(spark, d)
-    return r6(xp.partial_dependence(model, data, ["share_f", "qty_mean"], resolution=10))
+    return r6(xp.partial_dependence(model, data, ADM_FEATURES, resolution=20))
 
 
 def q_X06(spark, d):
     model, data = _trained(spark, d)
-    inst = sel.sample_n(data, 5, ["id"], seed=1)
-    return r6(xp.lime_weights(model, data, inst, ADM_FEATURES, ["id"], samples=100, seed=42))
+    return r6(xp.lime_weights(model, data, data.where(F.col("id") % 50 == 0), ADM_FEATURES, ["id"], samples=200, seed=42))
 
 
 def q_X07(spark, d):
     model, data = _trained(spark, d)
-    inst = sel.sample_n(data, 1, ["id"], seed=1).first().asDict()
-    return r6(xp.anchors(model, data, inst, ADM_FEATURES, bins=4))
+    return r6(xp.anchor_rules(model, data, data.where(F.col("id") % 50 == 0), ADM_FEATURES, ["id"], bins=4))
 
 
 def q_X08(spark, d):
     model, data = _trained(spark, d)
-    inst = sel.sample_n(data, 20, ["id"], seed=1)
-    return r6(xp.counterfactuals(model, data, inst, ADM_FEATURES, ["id"]))
+    return r6(xp.counterfactuals(model, data, data.where(F.col("id") % 50 == 0), ADM_FEATURES, ["id"]))
 
 
 def q_X09(spark, d):
