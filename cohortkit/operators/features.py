@@ -35,18 +35,19 @@ def interactions(df: DataFrame, cols: Sequence[str] | None = None, max_inputs: i
 
 
 def text_digest(text: str):
-    """SHA-256 of the text; NULL counts as empty."""
-    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    """SHA-256 of the text, 32 bytes; NULL counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
 
 
 def term_counts(df: DataFrame, text: str, stop_words: Sequence[str] | None = None) -> DataFrame:
     """``(digest, term, n)``: occurrences of each term over all rows of a
     text, and under the NULL term the number of these rows.  Stop words are
     removed.  Texts are tokenized where they are read; only digests and
-    partially summed counts are shuffled."""
+    partially summed counts are shuffled.  The digest is made once a text, in a
+    projection below the one that takes the tokens apart."""
     stop = list(english_stop_words() if stop_words is None else stop_words)
     marked = F.concat(F.array(F.lit(None).cast("string")), tokens(text))
-    tok = df.select(text_digest(text).alias("digest"), F.explode(marked).alias("term"))
+    tok = df.select(text_digest(text).alias("digest"), marked.alias("terms")).select("digest", F.explode("terms").alias("term"))
     if stop:
         tok = tok.where(F.col("term").isNull() | ~F.col("term").isin(stop))
     return tok.groupBy("digest", "term").agg(F.count(F.lit(1)).alias("n"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.distributions import chi2_pvalue_udf, t_pvalue_udf
-from cohortkit.functions.ordered import average_rank, melt, quantiles
+from cohortkit.functions.ordered import average_rank, melt, prefix_sums, quantiles
 
 MAX_AGG_EXPRS = 500
 
@@ -174,13 +174,51 @@ def rank_columns(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFr
                         for c in df.columns])
 
 
+def pairwise_ranks(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Average ranks of every column over the rows that it shares with each partner.
+
+    Returns one row per row of ``df`` with a map ``ranks``, column to array, and the slot of each partner in these arrays: slot 0 is the rank over all
+    rows that have the column, which also serves partners without missing values; every other partner has its own slot.
+    A value's rank among the rows that also have b is the number of these rows below it plus half of those
+    at it, so one order of a column's distinct values with a running count per partner gives them all.
+    """
+    cols = list(cols)
+    clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in cols])
+    missing = clean.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    partners = [c for c in cols if missing[c]]
+    slots = {c: partners.index(c) + 1 if missing[c] else 0 for c in cols}
+    have = F.array(F.lit(1), *[F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in partners])
+    rows = clean.select("*", have.alias("_ck_have"), F.monotonically_increasing_id().alias("_ck_row")).checkpoint(eager=True)
+    long = melt(rows, cols, by=["_ck_row", "_ck_have"])
+    counts = long.groupBy("column", "value").agg(*[F.sum(F.col("_ck_have")[i]).alias(f"_ck_c{i}") for i in range(len(partners) + 1)])
+    below = prefix_sums(counts, ["column", "value"], {f"_ck_b{i}": F.col(f"_ck_c{i}") for i in range(len(partners) + 1)}, by=["column"])
+    ranks = below.select("column", "value", F.array(*[F.col(f"_ck_b{i}") + (F.col(f"_ck_c{i}") + 1) / 2.0 for i in range(len(partners) + 1)]).alias("ranks"))
+    each = long.select("_ck_row", "column", "value").join(ranks, ["column", "value"]).groupBy("_ck_row").agg(
+        F.map_from_entries(F.collect_list(F.struct("column", "ranks"))).alias("ranks"))  # at most one entry per column
+    return each, slots
+
+
+def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pairwise-complete Spearman correlation, Pearson of the ranks that both columns have over their common rows."""
+    cols = list(cols)
+    each, slots = pairwise_ranks(df, cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    out = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, r double")
+    for at in range(0, len(pairs), 200):
+        part = pairs[at:at + 200]
+        ranked = each.select(*[F.col("ranks")[x][slots[y]].alias(f"_ck_{s}{i}") for i, (a, b) in enumerate(part) for s, x, y in (("a", a, b), ("b", b, a))])
+        one = ranked.agg(*[safe_corr(f"_ck_a{i}", f"_ck_b{i}").alias(f"r{i}") for i in range(len(part))])
+        out = out.unionByName(one.select(F.explode(F.array(*[F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col(f"r{i}").alias("r"))
+                                                             for i, (a, b) in enumerate(part) for x, y in ((a, b), (b, a))])).alias("p")).select("p.*"))
+    return out
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> DataFrame:
     """Long-form matrix ``(col_a, col_b, r)`` incl. both orders and
-    the diagonal.  Pearson is pairwise-complete; Spearman ranks each column
-    over its own non-null values, then takes Pearson of the ranks."""
+    the diagonal, over the rows that both columns of a pair have."""
     if method == "spearman":
-        df = rank_columns(df.select(*cols), cols)
-    elif method != "pearson":
+        return spearman_matrix(df, cols)
+    if method != "pearson":
         raise ValueError(method)
     return _pairwise_corr(df, cols)
 

@@ -125,3 +125,26 @@ def test_box_outliers_and_dedup_report(spark):
     assert b["n_outliers"] == 1 and b["whisker_hi"] == 4.0
     rep = sel.dedup_report(df.unionByName(df.limit(3))).first()
     assert (rep["rows_before"], rep["rows_after"], rep["removed"]) == (13, 10, 3)
+
+
+def test_spearman_ranks_over_common_rows(spark):
+    import random
+
+    import pandas as pd
+    rng = random.Random(5)
+    hole = lambda v, p: None if rng.random() < p else v
+    rows = [(hole(float(rng.randrange(6)), 0.3), hole(rng.gauss(0, 1), 0.2), rng.gauss(0, 1), hole(float(i % 3), 0.9)) for i in range(200)]
+    df = spark.createDataFrame(rows + [(float("nan"), 1.0, 0.5, 1.0)], "a double, b double, c double, d double").repartition(5)
+    want = pd.DataFrame(rows + [(None, 1.0, 0.5, 1.0)], columns=list("abcd"), dtype=float)
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in stats.corr_matrix(df, list("abcd"), "spearman").collect()}
+    for a in "abcd":
+        for b in "abcd":
+            both = want[[a, b]].dropna() if a != b else want[[a]].dropna()
+            assert got[a, b] == pytest.approx(both[a].rank().corr(both[b].rank()))
+
+
+def test_digest_is_made_below_the_explode(spark):
+    from cohortkit.operators import features as fe
+    df = spark.createDataFrame([("a bb ccc bb",)], "text string")
+    plan = fe.term_counts(df, "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("sha2(")  # the plan prints from the top down
