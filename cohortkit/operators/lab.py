@@ -18,15 +18,47 @@ STAT_SUFFIXES = ["mean", "std", "min", "max", "median", "range", "iqr"]
 HOT_ROWS = 1_000_000
 
 
+def key_sketch(df: DataFrame, key: Sequence[str], tracked: int) -> DataFrame:
+    """One row: the number of rows with a key, and the most frequent key hashes by a mergeable heavy-hitter
+    sketch of ``tracked`` items.  Tasks hand on their sketch alone."""
+    return _with_key(df, key).select(F.xxhash64(*key).alias("_ck_h")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_ck_h, {tracked}, {tracked})").alias("top"))
+
+
 def find_hot_keys(df: DataFrame, key: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """The keys (no NULL among them) of more than ``hot_rows`` rows with
     their row count ``_ck_n``, in a reliable checkpoint; None if there are none.
-    They stay a DataFrame, however many there are."""
+
+    A sketch (``key_sketch``) names the candidates.  Its counts are at most 3.5 n / slots too high and it leaves out no
+    key above twice that error, so it is made large enough for ``hot_rows``; only the candidates' rows are then counted, so keys are not
+    shuffled unless some are hot.  There are at most n / hot_rows candidates and as many more within the error.  Where even the largest
+    sketch is too coarse (n over about 190,000 x hot_rows), all keys are counted."""
     checkpoint_dir(df.sparkSession)
-    hot = _with_key(df, key).groupBy(*key).agg(F.count(F.lit(1)).alias("_ck_n")).where(F.col("_ck_n") > hot_rows).checkpoint(eager=True)
+    key, tracked = list(key), 10_000
+    while True:
+        n, top = key_sketch(df, key, tracked).select("n", F.filter("top", lambda t: t["count"] > hot_rows)).first()
+        if n <= hot_rows or not top and 7 * n <= hot_rows * _slots(tracked):
+            return None
+        if 7 * n <= hot_rows * _slots(tracked) or tracked == MOST_TRACKED:
+            break
+        tracked = min(MOST_TRACKED, max(tracked + 1, -(-21 * n // (4 * hot_rows))))
+    rows = _with_key(df, key)
+    if 7 * n <= hot_rows * _slots(tracked):
+        candidates = df.sparkSession.createDataFrame([(t["item"],) for t in top], "_ck_h bigint")
+        rows = rows.join(F.broadcast(candidates), F.xxhash64(*key) == F.col("_ck_h"), "left_semi")
+    hot = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_ck_n")).where(F.col("_ck_n") > hot_rows).checkpoint(eager=True)
     return None if hot.isEmpty() else hot
 
 
+#: Spark's limit on the items of a sketch.
+MOST_TRACKED = 1_000_000
+
+
+def _slots(tracked: int) -> int:
+    """The hash slots of a sketch of ``tracked`` items: the power of two that is three quarters full with them."""
+    return 1 << (-(-4 * tracked // 3) - 1).bit_length()
+
+
 def _has_key(key: Sequence[str]):
     out = F.lit(True)
     for k in key:

@@ -8,6 +8,7 @@ small metric tables.
 
 from __future__ import annotations
 
+import math
 import random
 import time
 from collections.abc import Sequence
@@ -247,7 +248,6 @@ def random_grid(est, name: str, n_trials: int, seed: int = 42):
             if kind == "int":
                 v = rng.randint(lo, hi)
             elif kind == "log":
-                import math
                 v = math.exp(rng.uniform(math.log(lo), math.log(hi)))
             else:
                 v = rng.uniform(lo, hi)
@@ -256,17 +256,78 @@ def random_grid(est, name: str, n_trials: int, seed: int = 42):
     return grid or ParamGridBuilder().build()
 
 
+class TrialSampler:
+    """Sequential draws of parameters by a density ratio.
+
+    After ``startup`` uniform draws the trials so far are split at the best ``good`` share.  Per parameter, candidates are drawn
+    from a mixture of normals around the good trials' values (and one over the whole range), and the one with the largest
+    ratio of the good trials' density to the others' is taken.  Everything is a function of the seed and the history.
+    """
+
+    def __init__(self, space: dict[str, tuple], seed: int = 42, startup: int = 5, good: float = 0.25, candidates: int = 24):
+        self.space, self.seed, self.startup, self.good, self.candidates = dict(space), seed, startup, good, candidates
+        self.history: list[tuple[dict[str, float], float]] = []
+
+    def _value(self, name: str, at: float):
+        low, high, kind = self.space[name]
+        if kind == "log":
+            return math.exp(math.log(low) + at * (math.log(high) - math.log(low)))
+        return min(high, low + int(at * (high - low + 1))) if kind == "int" else low + at * (high - low)
+
+    @staticmethod
+    def _density(at: float, centers: list[float], width: float) -> float:
+        return (1.0 + sum(math.exp(-0.5 * ((at - c) / width) ** 2) / (width * math.sqrt(2 * math.pi)) for c in centers)) / (len(centers) + 1)
+
+    def _draw(self, rng: random.Random, good: list[float], rest: list[float]) -> float:
+        width = max(0.05, 0.5 / (len(good) + 1))
+
+        def one():
+            i = rng.randrange(len(good) + 1)
+            x = rng.random() if i == len(good) else rng.gauss(good[i], width)
+            return min(1.0 - 1e-9, max(0.0, x))
+        options = [one() for _ in range(self.candidates)]
+        return max(options, key=lambda x: self._density(x, good, width) / self._density(x, rest, width))
+
+    def ask(self) -> tuple[dict[str, float], dict]:
+        """The next trial: its place in the unit cube, and the parameter values there."""
+        rng = random.Random(f"{self.seed}|{len(self.history)}")
+        if len(self.history) < self.startup:
+            places = {name: rng.random() for name in self.space}
+        else:
+            ranked = sorted(self.history, key=lambda t: -t[1])
+            n = max(1, round(self.good * len(ranked)))
+            places = {name: self._draw(rng, [t[0][name] for t in ranked[:n]], [t[0][name] for t in ranked[n:]]) for name in self.space}
+        return places, {name: self._value(name, at) for name, at in places.items()}
+
+    def tell(self, places: dict[str, float], score: float):
+        self.history.append((places, score))
+
+
 def tune(df: DataFrame, name: str, features: str = "features", label: str = "label", key: Sequence[str] = ("id",),
-         n_trials: int = 5, folds: int = 3, seed: int = 42, weight: str | None = None, parallelism: int = 2):
-    """Seeded random search, ROC-AUC over stratified folds."""
+         n_trials: int = 5, folds: int = 3, seed: int = 42, weight: str | None = None, parallelism: int = 2, sampler: str = "random"):
+    """ROC-AUC over stratified folds (O08).  ``sampler``: ``random`` (all draws at once, trials in parallel) or
+    ``sequential`` (``TrialSampler``, each draw learns from the trials before; the folds of a trial run in parallel)."""
     est = make_classifier(name, features, label, weight, seed)
-    data = stratified_folds(df, label, list(key), folds, seed, name="_ck_fold")
+    checkpoint_dir(df.sparkSession)
+    data = stratified_folds(df, label, list(key), folds, seed, name="_ck_fold").checkpoint(eager=True)
     ev_ = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=random_grid(est, name, n_trials, seed), evaluator=ev_,
-                        foldCol="_ck_fold", parallelism=parallelism, seed=seed)
-    m = cv.fit(data)
-    best = m.bestModel
-    return best, [float(x) for x in m.avgMetrics]
+
+    def search(grid):
+        return CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev_, numFolds=folds, foldCol="_ck_fold", parallelism=parallelism, seed=seed).fit(data)
+
+    if sampler == "random":
+        m = search(random_grid(est, name, n_trials, seed))
+        return m.bestModel, [float(x) for x in m.avgMetrics]
+    if sampler != "sequential":
+        raise ValueError(sampler)
+    trials, best, scores = TrialSampler(SEARCH_SPACE.get(name, {}), seed), None, []
+    for _ in range(n_trials):
+        places, values = trials.ask()
+        m = search([{est.getParam(p): v for p, v in values.items()}])
+        trials.tell(places, float(m.avgMetrics[0]))
+        scores.append(float(m.avgMetrics[0]))
+        best = m.bestModel if scores[-1] == max(scores) and scores.count(scores[-1]) == 1 else best
+    return best, scores
 
 
 # --- M07 / M10 / M11: training, scoring, evaluation -----------------------------------------
@@ -314,16 +375,19 @@ def train_model(df: DataFrame, cols: Sequence[str], name: str = "random_forest",
 def stacking(df: DataFrame, cols: Sequence[str], bases: Sequence[str] = ("random_forest", "gbt", "logistic"),
              label: str = "label", key: Sequence[str] = ("id",), folds: int = 5, seed: int = 42):
     """Out-of-fold base scores (each fold scored by models fit on the
-    other folds), then a logistic meta-model on those scores."""
-    data = assemble(stratified_folds(df, label, list(key), folds, seed, name="_ck_fold"), cols)
+    other folds), then a logistic meta-model on those scores.  A fold's rows pass through its models one
+    after the other, each adding its score: no join by key."""
+    checkpoint_dir(df.sparkSession)
+    data = assemble(stratified_folds(df, label, list(key), folds, seed, name="_ck_fold"), cols).checkpoint(eager=True)
     oof = None
     for f in range(folds):
-        tr, te = data.where(F.col("_ck_fold") != f), data.where(F.col("_ck_fold") == f)
-        part = te.select(*key, label)
+        tr, part = data.where(F.col("_ck_fold") != f), data.where(F.col("_ck_fold") == f)
         for b in bases:
             m = make_classifier(b, "features", label, None, seed).fit(tr)
-            s = m.transform(te).select(*key, vector_to_array("probability")[1].alias(f"s_{b}"))
-            part = part.join(s, list(key))
+            for column in ("prediction", "probability", "rawPrediction"):
+                m.set(m.getParam(f"{column}Col"), f"_ck_{column}_{b}")
+            part = m.transform(part).withColumn(f"s_{b}", vector_to_array(f"_ck_probability_{b}")[1]).drop(*[f"_ck_{c}_{b}" for c in ("prediction", "probability", "rawPrediction")])
+        part = part.select(*key, label, *[f"s_{b}" for b in bases])
         oof = part if oof is None else oof.unionByName(part)
     meta_in = assemble(oof, [f"s_{b}" for b in bases], "meta")
     meta = LogisticRegression(featuresCol="meta", labelCol=label).fit(meta_in)

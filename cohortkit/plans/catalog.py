@@ -1716,7 +1716,7 @@ SQL_S11 = SQL_M05.replace("SELECT label, (SELECT max(n) FROM n) AS n FROM n", "S
 
 def q_M06(spark, d):
     data = ml.assemble(admission_table(Tables(spark, d)), ADM_FEATURES)
-    best, scores = ml.tune(data, "logistic", "features", "label", ["id"], n_trials=3, folds=3, seed=42)
+    best, scores = ml.tune(data, "logistic", "features", "label", ["id"], n_trials=10, folds=3, seed=42, parallelism=3, sampler="sequential")
     return r6(spark.createDataFrame([(i, float(s)) for i, s in enumerate(scores)], "trial int, cv_roc_auc double"))
 
 
