@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_slices
+from .common import free_name, stored, text_slices
 from .graph import components
 from .shingles import WordHashes, shingle_hashes, signed
 
@@ -282,5 +282,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     """``docs`` with one document of each component, that with the smallest id.
     Repeated rows of it all stay, as do rows without an id.  Of different texts with one id each is judged on its own."""
     found = _similar(docs, id_col, text_col, k, threshold)
-    gone = found.filter("component_id <> id").select(F.col("id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct()
-    return docs.join(gone, (F.col(id_col).cast("bigint") == F.col("_gone_id")) & (F.xxhash64(text_col) == F.col("_gone_key")), "left_anti")
+    gone_id, gone_key = free_name(docs, "_gone_id"), free_name(docs, "_gone_key")
+    gone = found.filter("component_id <> id").select(F.col("id").alias(gone_id), F.col("text_key").alias(gone_key)).distinct()
+    return docs.join(gone, (F.col(id_col).cast("bigint") == F.col(gone_id)) & (F.xxhash64(text_col) == F.col(gone_key)), "left_anti")

@@ -20,8 +20,6 @@ columns with the names of the added ones are replaced.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,11 +31,15 @@ from .common import Shipped, plus, text_slices, without
 DIM = 4096
 PIECE = 1 << 20
 UND = "und"
-LETTER = re.compile(r"[^\W\d_]")
 #: ASCII other than letters, as spaces: figures and marks say little of a language.
 PLAIN = bytes(c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter (Unicode category L; figures like ½ or ² are none)."""
+    return any(map(str.isalpha, text))
+
+
 def features(text: bytes) -> np.ndarray:
     """Square roots of the shares of the hashed n-grams: a vector of length 1."""
     data = b" " + text.decode("utf-8", "replace").lower().encode().translate(PLAIN) + b" "
@@ -148,7 +150,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", ambiguous_mar
         for batch in batches:
             for begin, texts in text_slices(batch.column(at)):
                 lang, score, unclear = [UND] * len(texts), [0.0] * len(texts), [False] * len(texts)
-                lettered = [i for i, t in enumerate(texts) if LETTER.search(t.decode("utf-8", "replace"))] if own.langs else []
+                lettered = [i for i, t in enumerate(texts) if has_letter(t.decode("utf-8", "replace"))] if own.langs else []
                 if lettered and len(own.langs) == 1:
                     for i in lettered:
                         lang[i], score[i] = own.langs[0], 1.0

@@ -34,8 +34,10 @@ def _recounted(docs: DataFrame, like: DataFrame) -> DataFrame:
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.train(docs.filter(F.coalesce(language_fold(), F.lit(0)) != 2))
-    told = language.predict(docs, model, ambiguous_margin=0.01)
-    return told.filter((F.col("lang_pred") != language.UND) & ~F.col("ambiguous")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Columns are numbered meanwhile, so that none gives way to those the prediction adds.
+    text = next(i for i, c in enumerate(docs.columns) if c.lower() == "text")
+    told = language.predict(docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), model, text_col=f"c{text}", ambiguous_margin=0.01)
+    return told.filter((F.col("lang_pred") != language.UND) & ~F.col("ambiguous")).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

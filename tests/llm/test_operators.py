@@ -337,6 +337,8 @@ def test_language(spark, docs, none):
     assert odd == {(i, "und") for i in (5, 6, 7, 14)}
     assert language.predict(docs, language.train(train.limit(0))).filter("lang_pred <> 'und'").count() == 0
     assert language.predict(none, model).count() == 0
+    figures = spark.createDataFrame([(1, "½ ² ③ 12"), (2, "ª"), (3, "² der hund")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["lang_pred"] == "und" for r in language.predict(figures, model).collect()} == {1: True, 2: False, 3: False}
     code = language.code_matrix(12)
     assert min((a != b).sum() for a, b in combinations(code, 2)) >= 15
 
@@ -408,3 +410,14 @@ def test_pipeline(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF0001)
     assert empty.count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline
+    texts = [("the cat and the dog", "en"), ("der hund und die katze", "de"), ("le chien et la souris", "fr")] * 20
+    rows = [(i, f"{t} number {i}", lang, i % 3, "x", True, 1) for i, (t, lang) in enumerate(texts)] + [(90, "½ ²", "en", 5, "y", False, 2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score int, lang_pred string, ambiguous boolean, _gone_id int")
+    told = corpus_pipeline.language_stage(spark, df, "")
+    assert told.schema == df.schema and rows_of(told, *df.columns) == Counter(r for r in rows if r[0] != 90)
+    kept = jaccard.keep_one(df.unionByName(df.where("doc_id = 0").withColumn("doc_id", F.lit(95).cast("bigint"))))
+    assert kept.schema == df.schema and rows_of(kept, "doc_id") == Counter((r[0],) for r in rows)
