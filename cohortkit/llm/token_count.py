@@ -1,7 +1,7 @@
 """Token counts without ids.
 
 Every distinct word is counted once (the frequent ones in a broadcast table
-of bounded size, the others once per slice of texts, see ``word_table``),
+of bounded size, ``packed_words`` more in a packed one of 17 bytes a word, the others once per slice of texts, see ``word_table``),
 joined to the word frequencies of each document, and summed.  Texts are not
 shuffled and no ids of a text are made.
 
@@ -16,21 +16,26 @@ from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import plus, text_slices, without
-from .word_table import Words, require_word_tokenizer, word_table
+from .common import Shipped, plus, text_slices, without
+from .word_table import Words, encoded, least_bins, packed_counts, repeated_words, require_word_tokenizer
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", limit: int = 2048, max_words: int = 150_000) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", limit: int = 2048, max_words: int = 150_000,
+                 packed_words: int = 2_000_000) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_tokens`` and ``over_limit`` (more than ``limit`` tokens)."""
     require_word_tokenizer(tokenizer)
     docs = without(docs, "n_bytes", "n_tokens", "over_limit")
     at = docs.columns.index(text_col)
-    rows = word_table(docs, text_col, tokenizer, max_words).selectExpr("word", "size(ids) AS n").toArrow()
+    counts = repeated_words(docs, text_col)
+    frequent, rest = least_bins(counts, max_words, max_words + packed_words)
+    rows = encoded(counts.filter(F.col("bin") >= frequent), tokenizer).selectExpr("word", "size(ids) AS n").toArrow()
+    packed = Shipped(docs.sparkSession, packed_counts(counts.filter((F.col("bin") >= rest) & (F.col("bin") < frequent)), tokenizer))
     table = docs.sparkSession.sparkContext.broadcast(dict(zip(rows["word"].to_pylist(), rows["n"].to_pylist())))
 
     def run(batches):
-        known = Words(table.value, tokenizer, len)
+        known = Words(table.value, tokenizer, len, packed.get())
         for batch in batches:
             for begin, texts in text_slices(batch.column(at), 1 << 20):
                 freqs = [Counter(t.split()) for t in texts]

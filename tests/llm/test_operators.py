@@ -65,6 +65,9 @@ def test_bpe_and_counts_equal_the_tokenizer(docs, none):
     assert rows_of(counted, "doc_id", "n_bytes", "n_tokens", "over_limit") == Counter(
         (i, len((t or "").encode()), len(token_ids(t)), len(token_ids(t)) > 10) for i, t in TEXTS)
     assert counted.columns.count("n_tokens") == 1
+    for frequent, packed in ((1, 3), (0, 1000), (0, 0)):
+        again = token_count.count_tokens(docs, WORD_BPE, max_words=frequent, limit=10, packed_words=packed)
+        assert rows_of(again, "doc_id", "n_tokens") == rows_of(counted, "doc_id", "n_tokens")
     once = bpe.round_trip(docs, WORD_BPE, max_words=5)
     assert "text" not in once.columns
     both = sorted((str(r["doc_id"]), bytes(r["ids"]), r["decoded"]) for r in once.collect())
