@@ -38,18 +38,24 @@ from pyspark.sql import functions as F
 
 from .common import free_name, stored, text_slices
 from .graph import components
-from .shingles import WordHashes, shingle_hashes, signed
+from .shingles import hashed_words, shingle_hashes, signed
 
 ORDER_BITS = 18
 GROUPS = 256
 GROUP_ROWS = 4096
 BLOCK_BYTES = 48 << 20
 SLOTS = 1 << 20
+SLICE_BYTES = 1 << 20
 LEAF = 32
 
 
-def shingle_set(text: bytes, hashes: WordHashes, k: int) -> np.ndarray:
-    return np.unique(shingle_hashes(hashes.of(text.lower().split()), k))
+def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
+    return [np.unique(shingle_hashes(words, k)) for words in hashed_words(texts)]
+
+
+def released() -> None:
+    """Gives the memory that Arrow holds free back, so that a worker's next task starts without it."""
+    pa.default_memory_pool().release_unused()
 
 
 def count_vector(shingles: np.ndarray) -> np.ndarray:
@@ -128,11 +134,12 @@ def _bucket_counts(docs: DataFrame, k: int) -> np.ndarray:
     """Documents per hashed bucket of shingles: at most 2 ** ORDER_BITS numbers."""
 
     def count(batches):
-        hashes, total = WordHashes(), np.zeros(1 << ORDER_BITS, np.int64)
+        total = np.zeros(1 << ORDER_BITS, np.int64)
         for batch in batches:
-            for _, texts in text_slices(batch.column(0)):
-                found = [shingle_set(t, hashes, k) >> np.uint64(64 - ORDER_BITS) for t in texts]
+            for _, texts in text_slices(batch.column(0), SLICE_BYTES):
+                found = [s >> np.uint64(64 - ORDER_BITS) for s in shingle_sets(texts, k)]
                 total += np.bincount(np.concatenate(found).astype(np.int64), minlength=1 << ORDER_BITS)
+        released()
         at = np.flatnonzero(total)
         yield pa.record_batch({"bucket": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
 
@@ -147,12 +154,11 @@ def _signatures(docs: DataFrame, k: int, threshold: int) -> DataFrame:
     order = docs.sparkSession.sparkContext.broadcast(_bucket_counts(docs, k).astype(np.uint64))
 
     def sign(batches):
-        hashes, counts = WordHashes(), np.minimum(order.value, np.uint64((1 << 24) - 1)) << np.uint64(40)
+        counts = np.minimum(order.value, np.uint64((1 << 24) - 1)) << np.uint64(40)
         for batch in batches:
-            for begin, texts in text_slices(batch.column(1)):
+            for begin, texts in text_slices(batch.column(1), SLICE_BYTES):
                 n, digest, node, early, vector = [], [], [], [], []
-                for t in texts:
-                    s = shingle_set(t, hashes, k)
+                for s in shingle_sets(texts, k):
                     n.append(len(s))
                     if not len(s):
                         digest.append(None), node.append(None), early.append(None), vector.append(None)
@@ -166,6 +172,7 @@ def _signatures(docs: DataFrame, k: int, threshold: int) -> DataFrame:
                     vector.append(packed_vector(s))
                 yield pa.record_batch({"id": batch.column(0).slice(begin, len(texts)), "text_key": batch.column(2).slice(begin, len(texts)), "n": pa.array(n, pa.int64()), "digest": pa.array(digest, pa.string()),
                                        "node": pa.array(node, pa.int64()), "early": pa.array(early, pa.list_(pa.int64())), "vector": pa.array(vector, pa.binary())})
+        released()
 
     return stored(docs.select("id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(sign, "id bigint, text_key bigint, n bigint, digest string, node bigint, early array<bigint>, vector binary"), "jaccard-signatures")
 
@@ -217,14 +224,14 @@ def _verified(docs: DataFrame, signs: DataFrame, blocks: DataFrame, k: int, thre
     read = texts.join(first.hint("shuffle_hash"), "id").select("text", "digest", "label", "chunks")
 
     def sets(batches):
-        hashes = WordHashes()
         for batch in batches:
-            for begin, part in text_slices(batch.column(0)):
-                got = [shingle_set(t, hashes, k) for t in part]
+            for begin, part in text_slices(batch.column(0), SLICE_BYTES):
+                got = shingle_sets(part, k)
                 keep = [xxhash.xxh3_128_hexdigest(s.tobytes()) == d for s, d in zip(got, batch.column(1).slice(begin, len(part)).to_pylist())]
                 out = pa.record_batch({"digest": batch.column(1).slice(begin, len(part)), "label": batch.column(2).slice(begin, len(part)),
                                        "chunks": batch.column(3).slice(begin, len(part)), "shingles": pa.array([s.tobytes() for s in got], pa.binary())})
                 yield out.filter(pa.array(keep, pa.bool_()))
+        released()
 
     have = read.mapInArrow(sets, "digest string, label bigint, chunks int, shingles binary")
     chunk = F.pmod(F.xxhash64("digest"), F.col("chunks")).cast("int")

@@ -1,4 +1,7 @@
-"""Hashed words and word shingles of whole texts, shared by the passage and near-duplicate searches."""
+"""Hashed words and word shingles of whole texts, shared by the passage and near-duplicate searches.
+
+``hashed_words`` hashes all words of a slice of texts in numpy, eight bytes of every word at a
+time, and keeps nothing from slice to slice; ``WordHashes`` keeps a dictionary of words."""
 
 from __future__ import annotations
 
@@ -8,6 +11,12 @@ import xxhash
 #: Words a task keeps hashed.
 CACHE_WORDS = 400_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a word that are hashed eight at a time; a longer word is hashed by itself.
+LONG_WORD = 64
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+#: The first 0 to 8 bytes of a little-endian number.
+FIRST_BYTES = np.array([256 ** n - 1 for n in range(9)], np.uint64)
 
 
 class WordHashes(dict):
@@ -23,6 +32,39 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(32))) * MIX
+        x = (x ^ (x >> np.uint64(29))) * MIX
+    return x ^ (x >> np.uint64(32))
+
+
+def hashed_words(texts: list[bytes]) -> list[np.ndarray]:
+    """For each text the 64-bit hashes of its words (runs of bytes other than ASCII white space, A-Z lowered).
+    Takes about 30 bytes a byte of the slice while it runs."""
+    if not texts:
+        return []
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    raw = LOWER[np.frombuffer(b" ".join([b"", *texts, b" " * 8]), np.uint8)]
+    space = SPACE[raw]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, stops = edges[::2], edges[1::2]
+    eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))  # the eight bytes from each place on
+    out = _mixed((stops - starts).astype(np.uint64))
+    open_ = np.arange(len(starts))
+    for done in range(0, LONG_WORD, 8):
+        left = np.minimum(stops[open_] - starts[open_] - done, 8)
+        out[open_] = _mixed(out[open_] ^ (eight[starts[open_] + done] & FIRST_BYTES[left]))
+        open_ = open_[stops[open_] - starts[open_] > done + 8]
+        if not len(open_):
+            break
+    for w in open_:
+        out[w] = xxhash.xxh3_64_intdigest(raw[starts[w]:stops[w]])
+    firsts = np.cumsum(sizes + 1) - sizes
+    return np.split(out, np.searchsorted(starts, firsts[1:]))
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """A 64-bit hash of every ``k`` consecutive hashed words; of fewer words, one of all of them."""
     n = len(words)
