@@ -1649,6 +1649,61 @@ SQL_stream_series = ("SELECT date_trunc('day', ts) AS bucket, event_type, count(
                      "FROM events GROUP BY 1, 2")
 
 
+def _event_stream(spark, d):
+    import os
+    from cohortkit.streaming import features as sf
+    schema = spark.read.parquet(os.path.join(d, "events.parquet")).schema
+    stream = sf.read_stream(spark, os.path.join(d, "event[s].parquet"), schema, max_files_per_trigger=1)
+    return stream.withColumn("ts", tm.instant_of("ts"))
+
+
+def _appended(spark, stream, name):
+    """The rows a stateful stream appends to a Parquet sink until all input is read; what the watermark
+    (one day behind the newest event) has not passed stays in the state, as it does while a stream runs."""
+    from cohortkit.streaming.stateful import rocksdb_state
+    out = _scratch(spark, name)
+    with rocksdb_state(spark):
+        q = (stream.writeStream.format("parquet").outputMode("append").option("path", f"{out}/data")
+             .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{out}/data")
+
+
+def q_stream_distinct(spark, d):
+    """U01 on a stream with bounded state: users seen per day and event type."""
+    from cohortkit.streaming import stateful as st
+    days = _event_stream(spark, d).select(F.date_trunc("day", "ts").alias("bucket"), "event_type", "user_id")
+    res = _appended(spark, st.distinct_within(days, "bucket", ["bucket", "event_type", "user_id"]), "distinct")
+    return res.select(tm.wall_time_of("bucket").alias("bucket"), "event_type", "user_id")
+
+
+SQL_stream_distinct = "SELECT DISTINCT date_trunc('day', ts) AS bucket, event_type, user_id FROM events WHERE ts IS NOT NULL"
+
+
+def q_stream_trend(spark, d):
+    """W01/W02 on a stream with one kept row per user: each event the watermark has passed, in event order."""
+    from cohortkit.streaming import stateful as st
+    res = _appended(spark, st.trend_stream(_event_stream(spark, d), "user_id", "ts", ["value"], ["event_id"]), "trend")
+    return r6(res.withColumn("ts", tm.wall_time_of("ts")))
+
+
+_PASSED = "(SELECT max(date_trunc('milliseconds', ts)) - INTERVAL 1 DAY AS wm FROM events) AS w"
+SQL_stream_trend = (
+    "SELECT user_id, ts, event_id, round(value, 6) AS value, round(diff, 6) + 0.0 AS value_trend, CAST(sign(diff) AS DOUBLE) AS value_trend_sign "
+    "FROM (SELECT *, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS diff FROM events "
+    f"WHERE user_id IS NOT NULL AND ts IS NOT NULL) AS e, {_PASSED} WHERE ts <= wm")
+
+
+def q_stream_series_closed(spark, d):
+    """D05 on a stream in append mode: every day and event type once, when the watermark has closed the day."""
+    from cohortkit.streaming import stateful as st
+    res = _appended(spark, st.closed_series(_event_stream(spark, d), "ts", "1 day", "1 day", ["event_type"], "value"), "closed")
+    return r6(res.select(tm.wall_time_of("bucket").alias("bucket"), "event_type", "n", "value_mean"))
+
+
+SQL_stream_series_closed = (f"SELECT s.* FROM ({SQL_stream_series}) AS s, {_PASSED} WHERE s.bucket + INTERVAL 1 DAY <= wm")
+
+
 # --- M / X: models and explanations (rows-only: seeded, no SQL oracle) -------------------
 
 ADM_FEATURES = ["o_totalprice", "c_acctbal", "n_lines", "qty_mean", "price_mean", "disc_mean", "share_f", "los_mean"]
