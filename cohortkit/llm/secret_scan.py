@@ -12,6 +12,9 @@ the lengths of the pieces between matches (``split``) and of the matches
 (``regexp_extract_all``), summed in a window per blob and rule; only blobs that a
 cheap test of the rule passes get there.
 
+Later scans test no text whose digest is known: a table of at most ``SLOTS`` numbers, taken from the
+unseen digests, is joined first, and the test of a text asks for its match.  A rule with nothing unseen is passed over.
+
 Shuffles: digests with one id each; the text of first versions once; the few
 findings.  Copies never leave their scan, and a digest that a third of all
 paths share skews only the small (path, digest) side of the last join, which
@@ -55,6 +58,17 @@ RULES = (
     Rule("hex", 1, "[0-9a-f]{16,}", 0, 16, "[0-9a-f]{16}"),
 )
 
+#: Numbers that unseen digests are hashed to.  With many more unseen digests most texts are tested, with the same findings.
+SLOTS = 1 << 20
+
+
+def _maybe_unseen(versions: DataFrame, todo: DataFrame, test) -> DataFrame:
+    """``versions`` whose digest may be in ``todo`` and whose text passes ``test``, which no other text is put to:
+    it hangs on a stored column of the joined table, so the optimizer can't move it below the join."""
+    slot = F.pmod(F.xxhash64("digest"), F.lit(SLOTS))
+    slots = stored(todo.select(slot.alias("slot")).distinct().withColumn("unseen", F.lit(True)), "secret-slots")
+    return versions.withColumn("slot", slot).join(F.broadcast(slots), "slot").filter(F.when(F.col("unseen"), test)).drop("slot", "unseen")
+
 
 def _spans(blobs: DataFrame, rule: Rule, number: int) -> DataFrame:
     """(digest, rule, rule_version, kind_no, start, stop) of one rule over ``blobs`` (digest, text)."""
@@ -88,13 +102,17 @@ def scan(history: DataFrame, ledger: str, path_col: str = "path", text_col: str
             seen = known.filter((F.col("rule") == rule[0].name) & (F.col("rule_version") == rule[0].version)).select("digest").distinct()
             todo = one.join(seen, "digest", "left_anti")
         todo = stored(todo, "secret-todo")
+        if known is not None and todo.isEmpty():
+            continue
         # Shuffled-hash: the two short columns are built, the texts stream past unsorted.
         tests = [F.col("text").rlike(r.test) for r in rule]
         any_test = tests[0]
         for t in tests[1:]:
             any_test = any_test | t
-        blobs = (versions.select("digest", "row_key", "text").join(todo.hint("shuffle_hash"), ["digest", "row_key"])
-                 .filter(any_test).select("digest", "text").dropDuplicates(["digest"]))
+        texts = versions.select("digest", "row_key", "text")
+        texts = texts.filter(any_test) if known is None else _maybe_unseen(texts, todo, any_test)
+        blobs = (texts.join(todo.hint("shuffle_hash"), ["digest", "row_key"])
+                 .select("digest", "text").dropDuplicates(["digest"]))
         blobs = stored(blobs, "secret-blobs")
         found = None
         for k, r in enumerate(rule):
