@@ -8,11 +8,14 @@ hash, 32 binary digits each), so 64 sums of a generated aggregation hold
 all 128; texts are exploded into terms and summed in the same stage, so only
 one row of sums per text and task is shuffled.
 
-``near`` finds every fingerprint within ``radius`` bits of the queries: the 128
-bits are cut into ``radius`` + 1 blocks, and two fingerprints that differ in at
-most ``radius`` bits are equal in at least one of them.  Each block is one
-permuted table; a pair is taken only from its first equal block.  Equal
-fingerprints are one row with a count.
+``near`` finds every fingerprint within ``radius`` bits of the queries.  The 128
+bits are cut into (``radius`` + 1) / (``flips`` + 1) blocks, so two fingerprints that
+differ in at most ``radius`` bits differ in at most ``flips`` bits of one of them.
+Each block is one permuted table, looked up by the query's block and, with one
+flip, by all blocks one bit away.  A pair is taken only from its first such
+block.  Equal fingerprints are one row with a count.  Blocks with more than
+``chunk`` fingerprints are cut by a hash of the whole fingerprint, and their queries
+go to every piece.
 
 Defined cases: a null text is empty; a text without words has the zero
 fingerprint; equal texts have equal fingerprints; repeated rows are returned as often as
@@ -35,6 +38,8 @@ SEEDS = (11, 23)
 PAIR_MASK = 0x0000000100000001
 LOW = 0xFFFFFFFF
 NOT_WORD = r"[^\p{L}\p{N}]+"
+#: Fingerprints of one block that a task compares at once.
+CHUNK = 4096
 
 
 def votes(rows: DataFrame, text_col: str, keys: list[str], word_weight: int = 1, pair_weight: int = 2) -> DataFrame:
@@ -78,27 +83,41 @@ def likeness(a: tuple, b: tuple) -> Column:
     return 1 - distance(a, b) / BITS
 
 
-def near(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
+def near(prints: DataFrame, queries: DataFrame, radius: int = 3, flips: int = 0, chunk: int = CHUNK) -> DataFrame:
     """``f0, f1, m0, m1, n`` : for every distinct fingerprint of ``queries``, every distinct one of
     ``prints`` within ``radius`` bits and how many rows have it."""
-    n_blocks, width = radius + 1, BITS // (radius + 1)
-    if not 1 <= width <= 64 or 64 % width:
-        raise ValueError("radius + 1 must be a power of two from 2 to 64, so that blocks don't cross the halves")
+    n_blocks = (radius + 1) // (flips + 1)
+    width = BITS // n_blocks if n_blocks else 0
+    if flips not in (0, 1) or n_blocks * (flips + 1) != radius + 1 or not 1 <= width <= 64 or 64 % width:
+        raise ValueError("flips is 0 or 1, and (radius + 1) / (flips + 1) a power of two from 2 to 64, so that blocks don't cross the halves")
     mask = F.lit((1 << width) - 1 if width < 64 else -1)
     per_half = 64 // width
 
-    def block(names, i):
-        return F.shiftrightunsigned(F.col(names[i // per_half]), i % per_half * width).bitwiseAND(mask)
+    def cut(half, i):
+        return F.shiftrightunsigned(half, i % per_half * width).bitwiseAND(mask)
 
     def tables(df, names):
-        parts = F.array(*[F.struct(F.lit(i).alias("table"), block(names, i).alias("part")) for i in range(n_blocks)])
+        parts = F.array(*[F.struct(F.lit(i).alias("table"), cut(F.col(names[i // per_half]), i).alias("part")) for i in range(n_blocks)])
         return df.select("*", F.explode(parts).alias("_t")).select("*", "_t.table", "_t.part").drop("_t")
 
     all_prints = stored(prints.groupBy(F.col("f0").alias("m0"), F.col("f1").alias("m1")).agg(F.count(F.lit(1)).alias("n")), "simhash-prints")
     asked = stored(queries.select("f0", "f1").distinct(), "simhash-asked")
-    first = reduce(lambda a, b: a & b, [(F.col("table") <= i) | (block(("f0", "f1"), i) != block(("m0", "m1"), i)) for i in range(n_blocks)])
-    pairs = tables(asked, ("f0", "f1")).join(tables(all_prints, ("m0", "m1")), ["table", "part"])
-    return pairs.filter(first & (distance(("f0", "f1"), ("m0", "m1")) <= radius)).select("f0", "f1", "m0", "m1", "n")
+    data, probes = tables(all_prints, ("m0", "m1")), tables(asked, ("f0", "f1"))
+    if flips:
+        masks = [0, *[1 << b if b < 63 else -(1 << 63) for b in range(width)]]
+        probes = probes.withColumn("_flip", F.explode(F.array(*[F.lit(m).cast("bigint") for m in masks])))
+        probes = probes.withColumn("part", F.col("part").bitwiseXOR(F.col("_flip"))).drop("_flip")
+    hot = stored(data.groupBy("table", "part").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk)
+                 .select("table", "part", F.ceil(F.col("_n") / chunk).cast("int").alias("_pieces")), "simhash-hot")
+    if n_blocks << width <= 1 << 20:
+        hot = F.broadcast(hot)  # at most n_blocks x 2 ** width rows of 16 bytes
+    pieces = F.coalesce("_pieces", F.lit(1))
+    data = data.join(hot, ["table", "part"], "left").withColumn("_piece", F.pmod(F.xxhash64("m0", "m1"), pieces).cast("int")).drop("_pieces")
+    probes = probes.join(hot, ["table", "part"], "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("_pieces")
+    halves = [F.col("f0").bitwiseXOR(F.col("m0")), F.col("f1").bitwiseXOR(F.col("m1"))]
+    first = reduce(lambda a, b: a & b, [(F.col("table") <= i) | (F.bit_count(cut(halves[i // per_half], i)) > flips) for i in range(n_blocks)])
+    pairs = probes.join(data, ["table", "part", "_piece"])
+    return pairs.filter((distance(("f0", "f1"), ("m0", "m1")) <= radius) & first).select("f0", "f1", "m0", "m1", "n")
 
 
 def next_ids(ids: DataFrame, width: int = 4096) -> DataFrame:
@@ -147,7 +166,7 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return joined.select("id", "text", edited.alias("edited"), "next_id", "next_key")
 
 
-def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, query_step: int = 50) -> DataFrame:
+def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 15, query_step: int = 50) -> DataFrame:
     """Per row: fingerprints of the text, of its edit and their likeness, the likeness to the next
     document, and for ids divisible by ``query_step`` the number of rows within ``radius`` bits (itself included)."""
     both = with_edits(docs, id_col, text_col)
@@ -163,7 +182,7 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     prints = prints.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int")))).drop("row", "n_rows")
     nexts = prints.select(F.col("id").alias("next_id"), F.col("text_key").alias("next_key"), F.col("f0").alias("g0"), F.col("f1").alias("g1")).distinct()
     asked = prints.filter(F.col("id") % query_step == 0)
-    counts = stored(near(prints, asked, radius).groupBy("f0", "f1").agg(F.sum("n").alias("n_near")), "simhash-near")
+    counts = stored(near(prints, asked, radius, radius % 2).groupBy("f0", "f1").agg(F.sum("n").alias("n_near")), "simhash-near")
     out = prints.join(nexts, ["next_id", "next_key"], "left").join(counts, ["f0", "f1"], "left")
     return out.select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256", as_text("f0", "f1").alias("fingerprint"), as_text("e0", "e1").alias("edited_fingerprint"),

@@ -1,7 +1,9 @@
 """Toxicity from a learned lexicon, fuzzy matching and context windows.
 
 1. Lexicon: words, and stems of at least ``STEM`` letters, whose share among toxic
-   training texts far exceeds that among others; at most ``MAX_TERMS`` of them, in a trie.
+   training texts far exceeds that among others, in a trie.  All of ``SHORTEST`` letters or more that
+   reach the least share and lift are taken; since each is in at least 0.4 % of the toxic texts learnt from, they are at
+   most 250 times the distinct words and stems of an average one.
 2. Matching: every term is a Levenshtein automaton (one edit from ``EDIT1`` letters, two from
    ``EDIT2``); walking the trie under all of them at once is the intersection.  Its
    states are sets of (trie node, edits), made when first met, so a word costs one look-up a letter.  A stem also takes any ending.
@@ -31,12 +33,14 @@ from pyspark.sql import functions as F
 
 from .common import Shipped, plus, stored, text_slices, without
 
-MAX_TERMS = 2000
-CANDIDATES = 20_000
 STEM, EDIT1, EDIT2 = 5, 4, 9
+#: Shorter words (and quotation marks) are no terms: they are mostly pronouns and articles.
+SHORTEST = 3
 FLUSH = 200_000
 CACHE_WORDS = 300_000
 CACHE_STATES = 100_000
+#: Longer words are matched each time they occur, and not kept.
+KEPT = 80
 TOKEN = re.compile(r"[^\W\d_]+|[\"“”«»„]")
 #: Letters with figures or marks between or before them: a word that may be disguised.
 ODD = re.compile(r"(?<![^\W_])[@$]?[^\W\d_]*(?:[\d_*@$#!+|.'’\-]+[^\W\d_]+)+\$*")
@@ -146,7 +150,7 @@ class Matcher:
         """(edits, term) nearest to a word with figures or marks inside: as it is, without its marks, or with letters alone.
         None if one of its runs of letters has a hit of its own, or if whole words are joined by stops or hyphens."""
         parts = TOKEN.findall(word)
-        if len(word) > 80 or not (DISGUISES.search(word) or min(map(len, parts)) <= 2) or any(self.lexicon.match(w) for w in parts):
+        if not (DISGUISES.search(word) or min(map(len, parts)) <= 2) or any(self.lexicon.match(w) for w in parts):
             return None
         plain = SIGNS.sub("", word)
         found = [m for m in map(self.lexicon.match, {word, plain, FIGURES.sub("", plain)}) if m is not None]
@@ -160,7 +164,7 @@ class Matcher:
             m = self._odd(w)
             if m is not None:
                 self.hits[w] = m
-        self.seen |= odd
+        self.seen.update(w for w in odd if len(w) <= KEPT)
         if self.hits.keys().isdisjoint(odd):
             return TOKEN.findall(low)
         out, at = [], 0
@@ -179,7 +183,7 @@ class Matcher:
             m = self.lexicon.match(w)
             if m is not None:
                 self.hits[w] = m
-        self.seen |= distinct
+        self.seen.update(w for w in distinct if len(w) <= KEPT)
         exact = near = most = quoted = 0.0
         if not self.hits.keys().isdisjoint(distinct):
             inside = False
@@ -217,27 +221,30 @@ def _prefixes(words: set[str]):
     """Whole words (marked by a final space) and stems of a text."""
     out = set()
     for w in words:
-        if 3 <= len(w) <= 40:
-            out.add(w + " ")
-            out.update(w[:n] for n in range(STEM, min(len(w), STEM + 4)))
+        if len(w) < SHORTEST:
+            continue
+        out.add(w + " ")
+        out.update(w[:n] for n in range(STEM, min(len(w), STEM + 4)))
     return out
 
 
-def _text_counts(rows: DataFrame, only=None) -> DataFrame:
-    """``term, n``: texts of ``rows`` with each whole word or stem (of ``only``, if given)."""
+def _text_counts(rows: DataFrame) -> DataFrame:
+    """``term, n``: texts of ``rows`` with each whole word or stem."""
 
     def count(batches):
         have: Counter = Counter()
         out = lambda: pa.record_batch({"term": pa.array(list(have), pa.string()), "n": pa.array(list(have.values()), pa.int64())})
-        wanted = only.value if only else None
+        long = 0
         for batch in batches:
             for _, texts in text_slices(batch.column(0)):
                 for t in texts:
-                    found = _prefixes(set(words_of(t)))
-                    have.update(found & wanted if wanted is not None else found)
-                if len(have) > FLUSH:
-                    yield out()
-                    have.clear()
+                    words = set(words_of(t))
+                    have.update(_prefixes(words))
+                    long += sum(len(w) for w in words if len(w) > KEPT)
+                    if len(have) > FLUSH or long > FLUSH * KEPT:
+                        yield out()
+                        have.clear()
+                        long = 0
         yield out()
 
     return rows.select("text").mapInArrow(count, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
@@ -247,27 +254,25 @@ def learn_terms(rows: DataFrame, n_toxic: int, n_other: int, least_lift: float =
     """Words and stems at least ``least_lift`` times as frequent among toxic texts; of nested ones the
     shortest that gains texts.  Weights are logarithms of the lift, largest 1."""
     support = max(4, int(0.004 * n_toxic))
-    toxic = {r["term"]: r["n"] for r in _text_counts(rows.filter("toxic = 1")).filter(F.col("n") >= support)
-             .orderBy(F.desc("n"), "term").limit(CANDIDATES).collect()}  # the feature: a lexicon of bounded size
-    only = rows.sparkSession.sparkContext.broadcast(frozenset(toxic))
-    other = {r["term"]: r["n"] for r in _text_counts(rows.filter("toxic = 0"), only).collect()}
-    lift = {t: ((n + 0.5) / (n_toxic + 1)) / ((other.get(t, 0) + 1) / (n_other + 1)) for t, n in toxic.items()}
-    good = sorted((t for t in toxic if lift[t] >= least_lift), key=lambda t: (-toxic[t], t))
-    chosen: list[str] = []
-    for t in good:
-        stems = [c for c in chosen if not c.endswith(" ") and t.startswith(c)]
-        if stems:
+    toxic = _text_counts(rows.filter("toxic = 1")).filter(F.col("n") >= support)
+    other = _text_counts(rows.filter("toxic = 0")).withColumnRenamed("n", "n_other")
+    ratio = ((F.col("n") + 0.5) / (n_toxic + 1)) / ((F.coalesce("n_other", F.lit(0)) + 1) / (n_other + 1))
+    found = toxic.join(other, "term", "left").select("term", "n", ratio.alias("lift")).filter(F.col("lift") >= least_lift).collect()
+    lift, texts = {r["term"]: r["lift"] for r in found}, {r["term"]: r["n"] for r in found}
+    most: dict[str, int] = {}  # texts of the most frequent word of each stem
+    for t in texts:
+        if t.endswith(" "):
+            for n in range(STEM, min(len(t), STEM + 4)):
+                most[t[:n]] = max(most.get(t[:n], 0), texts[t])
+    chosen: dict[str, None] = {}
+    for t in sorted(texts, key=lambda t: (-texts[t], t)):  # a stem comes before all longer terms
+        if any(t[:n] in chosen for n in range(STEM, min(len(t), STEM + 4))):
             continue  # a chosen stem has all its texts
         if not t.endswith(" "):
-            whole = [c for c in chosen if c.endswith(" ") and c.startswith(t)]
-            if whole and toxic[t] < 1.25 * max(toxic[c] for c in whole):
-                continue  # little more than one word that is chosen
-            words = [c for c in good if c.endswith(" ") and c.startswith(t)]
-            if words and toxic[t] < 1.25 * toxic[words[0]]:
-                continue  # little more than one word that will be
-            chosen = [c for c in chosen if not c.startswith(t)]
-        chosen.append(t)
-    chosen = chosen[:MAX_TERMS]
+            if texts[t] < 1.25 * most.get(t, 0):
+                continue  # little more than one word
+            chosen.pop(t + " ", None)
+        chosen[t] = None
     top = max((np.log(lift[t]) for t in chosen), default=1.0)
     return [(t.strip(), not t.endswith(" "), float(np.log(lift[t]) / top)) for t in chosen]
 

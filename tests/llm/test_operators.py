@@ -330,6 +330,63 @@ def test_block_tables_find_all_within_the_radius(spark):
     assert simhash.near(df, df).count() == want
 
 
+@pytest.mark.parametrize("radius, flips, chunk", [(15, 1, 4096), (15, 1, 4), (7, 1, 8), (7, 0, 2), (3, 0, 2)])
+def test_probes_find_all_within_the_radius(spark, radius, flips, chunk):
+    import random
+    rng = random.Random(radius)
+    base = [rng.getrandbits(128) for _ in range(3)]
+    prints = {*base, *[b ^ sum(1 << n for n in rng.sample(range(128), k)) for b in base for k in range(1, 20) for _ in range(3)],
+              *[base[0] ^ rng.getrandbits(112) << 16 for _ in range(40)]}  # many with one block in common
+    half = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+    df = spark.createDataFrame([(half(p >> 64), half(p & (1 << 64) - 1)) for p in prints], "f0 bigint, f1 bigint")
+    rows = simhash.near(df.union(df.limit(1)), df, radius, flips, chunk).collect()
+    want = {(a, b) for a in prints for b in prints if (a ^ b).bit_count() <= radius}
+    whole = lambda r, x, y: (r[x] % (1 << 64)) << 64 | r[y] % (1 << 64)
+    assert len(rows) == len(want) and {(whole(r, "f0", "f1"), whole(r, "m0", "m1")) for r in rows} == want
+    assert sum(r["n"] == 2 for r in rows) == sum(b == want_b for want_b in [whole(df.limit(1).first(), "f0", "f1")] for _, b in want)
+    assert simhash.near(df.limit(0), df, radius, flips, chunk).count() == simhash.near(df, df.limit(0), radius, flips, chunk).count() == 0
+
+
+def test_fingerprints_equal_a_plain_version(spark, docs):
+    import struct
+
+    import regex
+    import xxhash
+
+    def term(*parts):
+        seed = 42
+        for p in parts:
+            seed = xxhash.xxh64_intdigest(p.encode() if isinstance(p, str) else struct.pack("<i", p), seed)
+        return seed
+
+    def plain(text):
+        words = [w for w in regex.split(simhash.NOT_WORD, text.lower()) if w]
+        out = 0
+        for k, seed in enumerate(simhash.SEEDS):
+            votes = [0] * 64
+            for w, weight in [((a,), 1) for a in words] + [(p, 2) for p in zip(words, words[1:])]:
+                h = term(*w, seed)
+                votes = [v + (weight if h >> j & 1 else -weight) for j, v in enumerate(votes)]
+            out |= sum(1 << j for j, v in enumerate(votes) if v > 0) << 64 * (1 - k)
+        return out
+
+    texts = [(i, t or "") for i, t in TEXTS if i != 13]
+    got = simhash.compare_edits(docs.filter("doc_id IS DISTINCT FROM 13"), query_step=1).collect()
+    prints = {t: plain(t) for _, t in texts}
+    order = sorted({(i, t) for i, t in texts if i is not None}, reverse=True)
+    assert len(got) == len(texts)
+    near = [sum((prints[t] ^ prints[u]).bit_count() <= 15 for _, u in texts) for _, t in texts]
+    wanted = sorted((i, prints[t], n) for (i, t), n in zip(texts, near) if i is not None)
+    assert sorted((r["doc_id"], int(r["fingerprint"], 16), r["n_near"]) for r in got if r["doc_id"] is not None) == wanted
+    for k, (i, t) in enumerate(order):
+        cut, after = len(t) // 3, order[(k + 1) % len(order)][1]
+        edited = plain(t[:len(t) - cut] + after[:cut])
+        for r in got:
+            if r["doc_id"] == i:
+                assert int(r["edited_fingerprint"], 16) == edited
+                assert r["near_edited"] == 1 - (prints[t] ^ edited).bit_count() / 128 and r["near_next"] == 1 - (prints[t] ^ prints[after]).bit_count() / 128
+
+
 def test_language(spark, docs, none):
     train = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de"), ("le chien et la souris", "fr")] * 20)],
                                   "doc_id bigint, text string, lang string")
@@ -380,6 +437,19 @@ def test_disguised_words_are_matched(spark):
     assert got[1] > 0.5 > got[3] and got[2] > 0.5
 
 
+def test_lexicon_takes_rare_and_long_terms(spark):
+    """Terms are taken by their lift, however many common words there are and however long they are."""
+    long = "q" * 90 + "z"
+    texts = [(i, 1, f"{long if i % 2 else 'zzz'} w{i % 5} " + " ".join(f"c{j}" for j in range(40))) for i in range(100)]
+    texts += [(i, 0, f"{'yyy' if i % 2 else 'qqq'} w{i % 5} " + " ".join(f"c{j}" for j in range(40))) for i in range(100)]
+    terms = {t: (stem, w) for t, stem, w in toxicity.learn_terms(spark.createDataFrame(texts, "id int, toxic int, text string"), 100, 100)}
+    assert set(terms) == {"zzz", long} and not any(stem for stem, _ in terms.values())
+    matcher = toxicity.Matcher(toxicity.Lexicon([("qqqqq", True, 1.0), ("moron", False, 1.0)]))
+    for _ in range(2):
+        assert matcher.features(("m" + "_" * 90 + "oron").encode())[1] > 0 and matcher.features(long.encode())[0] > 0
+    assert not any(len(w) > toxicity.KEPT for w in matcher.seen)
+
+
 def test_toxicity(spark, docs, none):
     texts = [(i, "you are a horrible moron today" if i % 4 == 0 else "what a pleasant day it is today") for i in range(200)]
     train = spark.createDataFrame(texts, "doc_id bigint, text string").withColumn("text", F.concat("text", F.lit(" "), "doc_id"))
