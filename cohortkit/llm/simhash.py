@@ -116,7 +116,8 @@ def near(prints: DataFrame, queries: DataFrame, radius: int = 3, flips: int = 0,
     probes = probes.join(hot, ["table", "part"], "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("_pieces")
     halves = [F.col("f0").bitwiseXOR(F.col("m0")), F.col("f1").bitwiseXOR(F.col("m1"))]
     first = reduce(lambda a, b: a & b, [(F.col("table") <= i) | (F.bit_count(cut(halves[i // per_half], i)) > flips) for i in range(n_blocks)])
-    pairs = probes.join(data, ["table", "part", "_piece"])
+    # Sizes are estimated before the explosions: without the hint all probes would be broadcast.
+    pairs = probes.join(data.hint("merge"), ["table", "part", "_piece"])
     return pairs.filter((distance(("f0", "f1"), ("m0", "m1")) <= radius) & first).select("f0", "f1", "m0", "m1", "n")
 
 

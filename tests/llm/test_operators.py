@@ -339,7 +339,10 @@ def test_probes_find_all_within_the_radius(spark, radius, flips, chunk):
               *[base[0] ^ rng.getrandbits(112) << 16 for _ in range(40)]}  # many with one block in common
     half = lambda x: x - (1 << 64) if x >= 1 << 63 else x
     df = spark.createDataFrame([(half(p >> 64), half(p & (1 << 64) - 1)) for p in prints], "f0 bigint, f1 bigint")
-    rows = simhash.near(df.union(df.limit(1)), df, radius, flips, chunk).collect()
+    found = simhash.near(df.union(df.limit(1)), df, radius, flips, chunk)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[-1]
+    assert "SortMergeJoin [table" in plan and plan.count("BroadcastHashJoin") <= 2  # those of the hot blocks
+    rows = found.collect()
     want = {(a, b) for a in prints for b in prints if (a ^ b).bit_count() <= radius}
     whole = lambda r, x, y: (r[x] % (1 << 64)) << 64 | r[y] % (1 << 64)
     assert len(rows) == len(want) and {(whole(r, "f0", "f1"), whole(r, "m0", "m1")) for r in rows} == want
