@@ -104,8 +104,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], target: str, k: float = 1.5) -
     q = quantiles(long.select(target, "column", "value").withColumnRenamed("column", "_ck_col"),
                   ["value"], {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[target, "_ck_col"]).drop("column")
     q = q.withColumnRenamed("_ck_col", "column")
-    # q has targets × columns rows.
-    j = long.join(F.broadcast(q), [target, "column"])
+    j = long.join(q, [target, "column"])  # AQE broadcasts q where it is small: targets × columns rows
     iqr = F.col("q3") - F.col("q1")
     lo, hi = F.col("q1") - k * iqr, F.col("q3") + k * iqr
     inside = (F.col("value") >= lo) & (F.col("value") <= hi)
@@ -123,7 +122,7 @@ def box_outliers(df: DataFrame, cols: Sequence[str], target: str, k: float = 1.5
     q = quantiles(long.select(target, "column", "value").withColumnRenamed("column", "_ck_col"),
                   ["value"], {"q1": 0.25, "q3": 0.75}, by=[target, "_ck_col"]).drop("column")
     q = q.withColumnRenamed("_ck_col", "column")
-    j = long.join(F.broadcast(q), [target, "column"])  # targets × columns rows
+    j = long.join(q, [target, "column"])
     iqr = F.col("q3") - F.col("q1")
     out = (F.col("value") < F.col("q1") - k * iqr) | (F.col("value") > F.col("q3") + k * iqr)
     return j.where(out).select(target, "column", "value", *keep)

@@ -108,3 +108,15 @@ def test_tfidf_counts_every_row(spark):
     assert by[(1, "red red blue")] == [round(idf[0] / norm, 6), 0.0, round(2 * idf[2] / norm, 6)]
     assert by[(1, "blue green")] == by[(2, "blue green")]
     assert by[(3, None)] == [0.0, 0.0, 0.0] and by[(None, "red")] == [0.0, 0.0, 1.0]
+
+
+def test_only_columns_with_gaps_are_filled(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 1.0, float("nan"), None, "a"), (2, 3.0, 5.0, None, "b"), (3, 2.0, 7.0, None, "b")],
+                               "id int, x double, y double, z double, s string")
+    assert clean.with_nulls(df, ["x", "y", "z", "s"]) == ["y", "z"]
+    assert clean.with_nulls(df.limit(0), ["x", "s"]) == [] == clean.with_nulls(df, [])
+    asked = []
+    real = clean.median_values
+    monkeypatch.setattr(clean, "median_values", lambda d, cols: asked.append(list(cols)) or real(d, cols))
+    out = clean.handle_missing(df, "median", exclude=["id"]).orderBy("id").collect()
+    assert asked == [["y", "z"]] and [r["y"] for r in out] == [6.0, 5.0, 7.0] and [r["z"] for r in out] == [None] * 3
