@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.ordered import melt, quantile_values, quantiles
+from cohortkit.operators.joins import broadcast_if_small
 from cohortkit.operators.select import (cast_columns, columns_of_kind, drop_duplicates, drop_null_keys,
                                         inf_to_null)
+from cohortkit.session import checkpoint_dir
 
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -169,7 +171,9 @@ def iqr_filter(df: DataFrame, cols: Sequence[str], k: float = 1.5, by: Sequence[
     b = q.groupBy(*by).agg(*[e for c in cols for e in (
         F.max(F.when(F.col("column") == c, F.col("q1") - k * (F.col("q3") - F.col("q1")))).alias(f"_ck_lo_{c}"),
         F.max(F.when(F.col("column") == c, F.col("q3") + k * (F.col("q3") - F.col("q1")))).alias(f"_ck_hi_{c}"))])
-    j = df.join(b, by, "left")
+    # The bounds first, then their size: joined by key, a group of most rows would be one task's.
+    checkpoint_dir(df.sparkSession)
+    j = df.join(broadcast_if_small(b.checkpoint(eager=True), 100_000), by, "left")
     cond = F.lit(True)
     for c in cols:
         cond = cond & F.coalesce(F.col(c).between(F.col(f"_ck_lo_{c}"), F.col(f"_ck_hi_{c}")), F.lit(False))
