@@ -78,3 +78,29 @@ def test_largest_range_shrinks_with_more_ranges(spark):
     df = spark.range(200_000).selectExpr("concat('Customer#', lpad(cast(id as string), 12, '0')) as name")
     largest = [cut_by_range(df, ["name"], n).groupBy("_ck_pid").count().agg({"count": "max"}).first()[0] for n in (10, 100, 1000)]
     assert largest[0] < 40_000 and largest[1] < 5_000 and largest[2] < 1_000
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_task_gets_all_rows_of_a_column_or_group(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+    df = spark.range(3000).selectExpr("cast(id as double) as x", "cast(id % 2 as string) as g")
+    monkeypatch.setattr(DataFrame, "limit", lambda *a: pytest.fail("a limit brings the rows to one task"))
+    assert quantile_values(df, ["x"], {"m": 0.5}, max_candidates=50) == {"x": {"m": 1499.5}}
+    # Hot groups meet their bounds by broadcast, not by key.
+    from cohortkit.functions import ordered
+    met = []
+    join = ordered._targets_join
+    monkeypatch.setattr(ordered, "_targets_join", lambda *a: met.append(join(*a)) or met[-1])
+    got = {r["g"]: r["m"] for r in quantiles(df, ["x"], {"m": 0.5}, by=["g"], max_candidates=50).collect()}
+    assert got == {"0": 1499.0, "1": 1500.0}
+    assert met and all("BroadcastHashJoin" in _plan(m) and "SortMergeJoin" not in _plan(m) for m in met)
+
+
+def test_row_index_deals_rows_once(spark):
+    df = spark.range(3000).selectExpr("id % 3 as g", "id as v")
+    out = row_index(df, ["v"], by=["g"], name="i", num_partitions=4)
+    assert "Window [" not in _plan(out).split("_ck_range")[0] and "hashpartitioning(g" not in _plan(out)
+    assert out.where("v <> i * 3 + g").count() == 0
