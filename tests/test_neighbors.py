@@ -64,3 +64,39 @@ def test_far_cells_are_not_visited():
         assert (bound[:, j] <= true[:, cell == c].min(1) + 1e-9).all()
     kth = np.sort(true, 1)[:, 5]
     assert (bound <= kth[:, None]).mean() < 0.4
+
+
+def test_boxes_exclude_units_that_spheres_do_not():
+    """Points of one tag on either side of a plane through every cell: only their boxes tell them apart."""
+    rng = np.random.default_rng(5)
+    data = rng.normal(size=(4000, 4))
+    data[:, 0] = np.where(data[:, 1] > 0, 1.0, 0.0)
+    pivots = nb.fit_pivots(np.column_stack([np.full(500, 0.5), data[:500, 1:]]), 20)
+    far = nb.to_pivots(data, pivots)
+    cell, side = far.argmin(1), data[:, 0] == 1.0
+    units = sorted({(c, s) for c, s in zip(cell.tolist(), side.tolist())})
+    held = [(cell == c) & (side == s) for c, s in units]
+    pivot_of = np.array([c for c, _ in units])
+    least, most = (np.array([f(far[h, c]) for h, c in zip(held, pivot_of)]) for f in (np.min, np.max))
+    asked = data[:200]
+    spheres, boxes = nb.lower_bounds(asked, pivots, pivot_of, least, most), nb.box_bounds(asked, *(np.array([f(data[h], 0) for h in held]) for f in (np.min, np.max)))
+    true = np.sqrt(((asked[:, None] - data[None]) ** 2).sum(2))
+    for j, h in enumerate(held):
+        assert (boxes[:, j] <= true[:, h].min(1)).all()
+    kth = np.sort(true, 1)[:, 5]
+    across = (pivot_of == cell[:200, None]) & (np.array([s for _, s in units]) != side[:200, None])
+    near = across & (spheres <= kth[:, None])
+    assert near.sum() > 20 and (boxes[near] > np.broadcast_to(kth[:, None], near.shape)[near]).all()
+
+
+def test_visits_hold_few_bounds_at_a_time(spark, monkeypatch):
+    """A batch's bounds to all units are worked out in slices."""
+    df = spark.range(3000).select("id", F.array(F.rand(1), F.rand(2)).alias("v")).coalesce(1).checkpoint()
+    index = nb.build_index(df, F.col("v"), ["id"], cells=30)
+    plain = nb.lower_bounds
+
+    def small(points, *rest):
+        assert len(points) <= 512
+        return plain(points, *rest)
+    monkeypatch.setattr(nb, "lower_bounds", small)
+    assert nb.knn(index, df, F.col("v"), 2).count() == 6000
