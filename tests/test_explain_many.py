@@ -106,3 +106,56 @@ def test_stability_equals_brute_force(spark):
             means.append(top / below)
         assert got[f]["mean"] == pytest.approx(np.mean(means)) and got[f]["std"] == pytest.approx(np.std(means))
         assert [got[f]["p2_5"], got[f]["p97_5"]] == pytest.approx(list(np.percentile(means, [2.5, 97.5])))
+
+
+def plain_lime(rows, chance, samples, seed, drawn, scale):
+    out = {}
+    for r in rows:
+        Z = np.array([drawn[r[0], s] for s in range(samples)])
+        y = np.array([chance([x + z * d for x, z, d in zip(r[1:4], zs, scale)]) for zs in Z])
+        w = np.exp(-(Z ** 2).sum(1) / (0.75 * 3 ** 0.5) ** 2)
+        X = np.hstack([np.ones((samples, 1)), Z])
+        out[r[0]] = np.linalg.solve(X.T @ (X * w[:, None]) + np.diag([0.0, 1, 1, 1]), X.T @ (y * w))[1:]
+    return out
+
+
+def draws(spark, ids, samples, seed):
+    df = spark.createDataFrame([(i, s) for i in ids for s in range(samples)], "id long, s int")
+    u = lambda j: F.pmod(F.xxhash64(F.lit(seed), F.lit(j), F.col("s"), F.col("id")), F.lit(1 << 40)).cast("double")
+    z = [F.when(F.col("s") == 0, 0.0).otherwise(F.sqrt(-2 * F.log((u(2 * j) + 1.0) / float((1 << 40) + 1))) * F.cos(2 * 3.141592653589793 * (u(2 * j + 1) / float(1 << 40)))) for j in range(3)]
+    return {(r["id"], r["s"]): list(r["z"]) for r in df.select("id", "s", F.array(*z).alias("z")).collect()}
+
+
+@pytest.mark.parametrize("kind", ["linear", "forest"])
+def test_lime_equals_plain_fits_and_shuffles_no_perturbation(spark, data, rows, kind):
+    if kind == "linear":
+        model = SCORER
+        chance = lambda x: 1 / (1 + np.exp(0.3 - 2.0 * x[0] + x[1] - 0.1 * x[2]))
+    else:
+        from pyspark.ml import Pipeline
+        from pyspark.ml.classification import RandomForestClassifier
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.linalg import Vectors
+        model = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep"), RandomForestClassifier(numTrees=4, maxDepth=3, seed=1)]).fit(data)
+        chance = lambda x: model.stages[-1].predictProbability(Vectors.dense(x))[1]
+    df = xp.lime_weights(model, data, data.where("id < 4"), FEATURES, samples=40, seed=3)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroups" not in plan and plan.index("Aggregate") < plan.index("MapInArrow", plan.index("Aggregate")) < plan.index("Generate")
+    got = {}
+    for r in df.collect():
+        got.setdefault(r["id"], {})[r["feature"]] = r["weight"]
+    want = plain_lime(rows[:4], chance, 40, 3, draws(spark, range(4), 40, 3), [statistics.pstdev(r[c] for r in rows) for c in (1, 2, 3)])
+    assert {i: [w[f] for f in FEATURES] for i, w in got.items()} == {i: pytest.approx(list(w), rel=1e-7, abs=1e-9) for i, w in want.items()}
+
+
+def test_anchor_rules_walk_once_a_kind(spark, data):
+    """Instances of equal bins and prediction take one walk's steps; rows of one key share a walk and count each."""
+    twins = data.where("id < 20").withColumn("id", F.col("id") + 1000)
+    df = xp.anchor_rules(SCORER, data, data.where("id < 20").unionByName(twins), FEATURES)
+    assert "FlatMapGroups" not in df._jdf.queryExecution().optimizedPlan().toString()
+    steps = {}
+    for r in df.collect():
+        steps.setdefault(r["id"], []).append(tuple(r[c] for c in ("step", "rule", "covered", "same", "precision")))
+    assert len(steps) == 40 and all(sorted(steps[i]) == sorted(steps[i + 1000]) for i in range(20))
+    twice = {(r["id"], r["step"]): (r["covered"], r["precision"]) for r in xp.anchor_rules(SCORER, data, data.where("id < 20").unionByName(data.where("id < 20")), FEATURES).collect()}
+    assert twice == {(i, s[0]): (2 * s[2], s[4]) for i in range(20) for s in steps[i]}
