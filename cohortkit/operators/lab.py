@@ -152,10 +152,11 @@ def trend(df: DataFrame, key: Sequence[str] | str, order: Sequence[str], cols: S
     heavy = cut_by_range(keyed.join(hot.select(*key), key, "left_semi"), [*key, *order], n, "_ck_b")
     part = [*key, "_ck_b"]
     payload = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    local = heavy.withColumn("_ck_prev", F.lag(payload).over(Window.partitionBy(*part).orderBy(*order)))
+    # Ranges sort and compress well, so tasks merged by their bytes would hold millions of rows: each range keeps its own.
+    local = heavy.repartition(n, *part).withColumn("_ck_prev", F.lag(payload).over(Window.partitionBy(*part).orderBy(*order)))
     last = heavy.groupBy(*part).agg(F.max_by(payload, F.struct(*order)).alias("_ck_last"))
     edge = last.select(*part, F.lag("_ck_last").over(Window.partitionBy(*key).orderBy("_ck_b")).alias("_ck_edge"))
-    j = local.join(edge, part, "left")
+    j = local.join(F.broadcast(edge), part, "left")  # a row per range and hot key beginning in it
     prev = F.coalesce(F.col("_ck_prev"), F.col("_ck_edge"))
     exprs = []
     for i, c in enumerate(cols):
