@@ -62,6 +62,14 @@ RULES = (
 SLOTS = 1 << 20
 
 
+def _any_test(text, rules):
+    """Whether ``text`` passes the test of any of ``rules``."""
+    out = text.rlike(rules[0].test)
+    for r in rules[1:]:
+        out = out | text.rlike(r.test)
+    return out
+
+
 def _maybe_unseen(versions: DataFrame, todo: DataFrame, test) -> DataFrame:
     """``versions`` whose digest may be in ``todo`` and whose text passes ``test``, which no other text is put to:
     it hangs on a stored column of the joined table, so the optimizer can't move it below the join."""
@@ -105,10 +113,7 @@ def scan(history: DataFrame, ledger: str, path_col: str = "path", text_col: str
         if known is not None and todo.isEmpty():
             continue
         # Shuffled-hash: the two short columns are built, the texts stream past unsorted.
-        tests = [F.col("text").rlike(r.test) for r in rule]
-        any_test = tests[0]
-        for t in tests[1:]:
-            any_test = any_test | t
+        any_test = _any_test(F.col("text"), rule)
         texts = versions.select("digest", "row_key", "text")
         texts = texts.filter(any_test) if known is None else _maybe_unseen(texts, todo, any_test)
         blobs = (texts.join(todo.hint("shuffle_hash"), ["digest", "row_key"])
@@ -161,6 +166,9 @@ def redact(docs: DataFrame, ledger: str | None = None, id_col: str = "doc_id", t
     before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(at, i - 1)["stop"])
     pieces = F.transform(at, lambda c, i: F.concat(F.substring(text, (before(i) + 1).cast("int"), (c["start"] - before(i)).cast("int")), F.lit(mark)))
     tail = F.substring(text, (F.element_at(at, -1)["stop"] + 1).cast("int"), F.char_length(text))
-    out = docs.withColumn(digest, F.sha2(F.coalesce(text, F.lit("")), 256)).join(few, digest, "left")
-    return out.withColumn(text_col, F.when(at.isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), tail))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    # Only texts that pass a rule's test can have cuts; the others stay in their tasks.
+    tested = _any_test(F.coalesce(text, F.lit("")), RULES)
+    out = docs.filter(tested).withColumn(digest, F.sha2(F.coalesce(text, F.lit("")), 256)).join(few, digest, "left")
+    out = out.withColumn(text_col, F.when(at.isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), tail)))
+    same = docs.filter(~tested).withColumn(text_col, text)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns]).union(same)
