@@ -105,15 +105,22 @@ class RangeMax:
         return out
 
 
-def pieces(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> list[tuple[int, int, int]]:
-    """Matches (x, y) on one diagonal within ``reach`` of each other, as (x, y, length)."""
-    x, y = np.unique(np.stack([x, y]), axis=1)
-    order = np.lexsort((x, y - x))
-    x, y = x[order], y[order]
-    new = np.r_[True, (np.diff(y - x) != 0) | (np.diff(x) > reach)]
+def pieces_of_pairs(pair: np.ndarray, x: np.ndarray, y: np.ndarray, k: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Matches (x, y) of one pair of texts and on one diagonal within ``reach`` of each other, as arrays of (pair, x, y, length) in order."""
+    order = np.lexsort((x, y - x, pair))
+    pair, x, y = pair[order], x[order], y[order]
+    new = np.r_[True, (np.diff(pair) != 0) | (np.diff(y - x) != 0) | (np.diff(x) > reach)][:len(x)]
     first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(x)] - 1
-    return sorted(zip(x[first].tolist(), y[first].tolist(), (x[last] + k - x[first]).tolist()))
+    last = np.r_[first[1:], len(x)][:len(first)] - 1
+    pair, n, x, y = pair[first], x[last] + k - x[first], x[first], y[first]
+    order = np.lexsort((y, x, pair))
+    return pair[order], x[order], y[order], n[order]
+
+
+def pieces(x: np.ndarray, y: np.ndarray, k: int, reach: int) -> list[tuple[int, int, int]]:
+    """``pieces_of_pairs`` of the matches of one pair, as (x, y, length)."""
+    _, *of = pieces_of_pairs(np.zeros(len(x), np.int64), x, y, k, reach)
+    return list(zip(*(c.tolist() for c in of)))
 
 
 def chains(parts: list[tuple[int, int, int]], gap: int) -> list[list[tuple[int, int, int]]]:
@@ -239,17 +246,25 @@ def _passages(rows: DataFrame, matches: DataFrame, k: int, min_words: int, ident
 
     def chain(part: pa.Table) -> pa.Table:
         """The matches of many pairs of documents, sorted by pair."""
-        part = part.sort_by([("id", "ascending"), ("match_id", "ascending")])
         ids, match_ids, x, y = (part[c].to_numpy().astype(np.int64) for c in ("id", "match_id", "at", "match_at"))
-        starts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (match_ids[1:] != match_ids[:-1])])
+        order = np.lexsort((match_ids, ids))
+        ids, match_ids, x, y = ids[order], match_ids[order], x[order], y[order]
+        starts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (match_ids[1:] != match_ids[:-1])][:len(ids)])
+        pair, x, y, n = pieces_of_pairs(np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(ids)])), x, y, k, gap)
+        ids, match_ids = ids[starts], match_ids[starts]
+        begin = np.searchsorted(pair, np.arange(len(starts) + 1))
+        alone = begin[:-1][np.diff(begin) == 1]  # pairs of one piece, which is their chain
         out = []
-        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]):
-            parts = pieces(x[lo:hi], y[lo:hi], k, gap) if hi - lo > 1 else [(int(x[lo]), int(y[lo]), k)]
-            out += [(int(ids[lo]), int(match_ids[lo]), c) for c in chains(parts, gap)]
-        return pa.table({"id": pa.array([o[0] for o in out], pa.int64()), "match_id": pa.array([o[1] for o in out], pa.int64()),
-                         "from": pa.array([max(0, o[2][0][1] - margin) for o in out], pa.int32()),
-                         "to": pa.array([o[2][-1][1] + o[2][-1][2] + margin for o in out], pa.int32()),
-                         "chain": pa.array([[v for p in o[2] for v in p] for o in out], pa.list_(pa.int32()))})
+        for t in np.flatnonzero(np.diff(begin) > 1).tolist():
+            at = slice(begin[t], begin[t + 1])
+            out += [(t, c) for c in chains(list(zip(x[at].tolist(), y[at].tolist(), n[at].tolist())), gap)]
+        of = np.r_[pair[alone], np.array([t for t, _ in out], np.int64)]
+        flat = np.r_[np.stack([x[alone], y[alone], n[alone]], axis=1).ravel(), np.array([v for _, c in out for p in c for v in p], np.int64)]
+        ends = np.r_[0, np.cumsum(np.r_[np.full(len(alone), 3), np.array([3 * len(c) for _, c in out], np.int64)])]
+        last = np.r_[y[alone] + n[alone], np.array([c[-1][1] + c[-1][2] for _, c in out], np.int64)]
+        return pa.table({"id": ids[of], "match_id": match_ids[of],
+                         "from": pa.array(np.maximum(0, flat[ends[:-1] + 1] - margin), pa.int32()), "to": pa.array(last + margin, pa.int32()),
+                         "chain": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))})
 
     matches = stored(matches, "passage-matches")
     deal = F.pmod(F.xxhash64("id", "match_id"), F.lit(max(1, matches.count() // 50_000)))  # many pairs to a call
