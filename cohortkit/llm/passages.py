@@ -8,7 +8,7 @@
    occurrences makes less than 2 m matches, not m squared.
 3. The matches of two texts are put together where they continue each other, and chained: the best
    chain that ends in a piece is its length plus the best earlier chain less a cost for the gaps on both
-   sides, found by a tree of maxima over the pieces that are near enough.
+   sides, found by a tree of maxima over the pieces that are near enough.  A piece with none near enough is a chain.
 4. Chains are aligned on the words of both texts, extended at both ends while matches outweigh
    differences, and kept as passages of ``min_words`` words or more with ``identity`` or more of them equal; a chain
    with fewer equal words is parted at its widest gaps.
@@ -37,14 +37,19 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import stored, text_slices
-from .shingles import MIX, WordHashes, shingle_hashes, signed
+from .shingles import MIX, hashed_words, joined_words, shingle_hashes, signed, xxh_words
 
 SLOTS = 1 << 20
+#: Bytes of texts whose words are hashed at a time.
+SLICE = 1 << 20
+#: Pairs of pieces, or words beside chains, that are compared at a time.
+AT_ONCE = 1 << 18
 #: Places of a seed that are all compared where the first one leads to no passage.
 FEW = 16
 PLACE = ["id", "first_word", "stop_word", "match_id", "match_first_word", "match_stop_word"]
@@ -60,12 +65,32 @@ def minimizers(hashes: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarr
     return kmers[at], at
 
 
-def own_places(s: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
+def minimizers_of_texts(hashes: np.ndarray, bounds: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, seed hash, word place) of the ``minimizers`` of many texts in one go, in order; text t has the words ``bounds[t]`` to ``bounds[t + 1]``."""
+    n, kmers = np.diff(bounds), shingle_hashes(hashes, k)
+    some = np.flatnonzero((n >= k) & (n < k + w - 1))
+    short = [int(bounds[t] + kmers[bounds[t]:bounds[t] + n[t] - k + 1].argmin()) for t in some]
+    m = max(0, len(hashes) - k - w + 2)  # windows, of which those within one text count
+    best, least = kmers[:m].copy(), np.zeros(m, np.int64)
+    for j in range(1, w):
+        lower = kmers[j:j + m] < best
+        np.copyto(best, kmers[j:j + m], where=lower)
+        least[lower] = j
+    text = np.repeat(np.arange(len(n)), n)[:m]
+    found = (least + np.arange(m))[np.arange(m) + k + w - 1 <= bounds[1:][text]]
+    found = found[np.r_[True, found[1:] != found[:-1]][:len(found)]]  # the places ascend with the windows
+    found = np.sort(np.r_[found, np.array(short, np.int64)])
+    text = np.searchsorted(bounds, found, "right") - 1
+    return text, kmers[found], found - bounds[text]
+
+
+def own_places(s: np.ndarray, at: np.ndarray, least: int, text: np.ndarray | int = 0) -> np.ndarray:
     """For each seed of a text the place in the same text it is matched with, or -1: the seed's first one if that is ``least`` words
-    earlier; where the seed comes again within ``least`` words (a short period), the last one that is, so that the run stays on one diagonal."""
-    order = np.lexsort((at, s))
-    s, p = s[order], at[order].astype(np.int64)
-    new = np.r_[True, s[1:] != s[:-1]][:len(s)]
+    earlier; where the seed comes again within ``least`` words (a short period), the last one that is, so that the run stays on one diagonal.
+    Seeds are in order of their ``text`` and place."""
+    order = np.argsort(s, kind="stable")
+    s, p, text = s[order], at[order].astype(np.int64), np.broadcast_to(text, len(s))[order]
+    new = np.r_[True, (s[1:] != s[:-1]) | (text[1:] != text[:-1])][:len(s)]
     start = np.flatnonzero(new)[np.cumsum(new) - 1]
     key = np.cumsum(new) * (1 << 32) + p
     far = np.searchsorted(key, key - least, "right") - 1
@@ -177,6 +202,44 @@ def chains(parts: list[tuple[int, int, int]], gap: int) -> list[list[tuple[int,
     return out
 
 
+def in_reach(pair: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray, gap: int) -> np.ndarray:
+    """Whether another piece of the same pair can come before or after a piece in a chain: one that begins earlier in both texts and ends at most
+    ``gap`` before the later one begins.  The pieces are in order, as ``pieces_of_pairs`` has them.
+
+    Pieces of about one length are searched at a time, so that only those that begin near enough for their length are compared."""
+    out = np.zeros(len(x), bool)
+    if not len(x):
+        return out
+    wide = int(x.max()) + int(n.max()) + 2 * gap + 2
+    place = pair * wide + x
+    size = np.frexp(n.astype(np.float64))[1]
+    for z in np.unique(size):
+        of = np.flatnonzero(size == z)
+        since = np.searchsorted(place[of], pair * wide + np.maximum(0, x - gap - (1 << int(z))), "left")
+        many = np.maximum(0, np.searchsorted(place[of], place, "left") - since)
+        before = np.r_[0, np.cumsum(many)]
+        i = 0
+        while i < len(x):  # as many later pieces at a time as ``AT_ONCE`` comparisons do, or one
+            j = max(i + 1, int(np.searchsorted(before, before[i] + AT_ONCE, "right")) - 1)
+            later = np.repeat(np.arange(i, j), many[i:j])
+            q = of[np.arange(len(later)) - np.repeat(before[i:j] - before[i] - since[i:j], many[i:j])]
+            near = (y[q] < y[later]) & (x[q] + n[q] >= x[later] - gap) & (y[q] + n[q] >= y[later] - gap)
+            out[q[near]] = out[later[near]] = True
+            i = j
+    return out
+
+
+def chains_of_pairs(pair: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray, gap: int) -> tuple[np.ndarray, list[tuple[int, list]]]:
+    """``chains`` of the pieces of many pairs: (the pieces that none of their pair is ``in_reach`` of, which are a chain each, (pair, chain) of the others)."""
+    near = in_reach(pair, x, y, n, gap)
+    some = np.flatnonzero(near)
+    starts = np.flatnonzero(np.r_[True, np.diff(pair[some]) != 0][:len(some)])
+    out = []
+    for part in np.split(some, starts[1:]) if len(some) else ():
+        out += [(int(pair[part[0]]), c) for c in chains(list(zip(x[part].tolist(), y[part].tolist(), n[part].tolist())), gap)]
+    return np.flatnonzero(~near), out
+
+
 def _grow(equal: np.ndarray, penalty: int = 2) -> tuple[int, int]:
     """How far to go along ``equal`` so that matches less ``penalty`` x differences are most: (words, matches)."""
     if not len(equal):
@@ -234,6 +297,50 @@ def accepted(a: np.ndarray, b: np.ndarray, b_from: int, chain: list, margin: int
     return out
 
 
+def _grown(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, room: np.ndarray, margin: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_grow`` for many places: ``room`` words of a and b from ``at`` and ``bt`` on, forward or backward."""
+    j = np.arange(margin)
+    inside = j < room[:, None]
+    same = a[np.where(inside, at[:, None] + step * j, 0)] == b[np.where(inside, bt[:, None] + step * j, 0)]
+    score = np.cumsum(np.where(inside & same, 1, -2), axis=1)
+    n = score.argmax(1)
+    best = np.maximum(score[np.arange(len(n)), n], 0)
+    n = np.where(best > 0, n + 1, 0)
+    return n, (best + 2 * n) // 3
+
+
+def aligned_pieces(a: np.ndarray, a_bounds: tuple, b: np.ndarray, b_bounds: tuple, x: np.ndarray, y: np.ndarray, n: np.ndarray, margin: int) -> np.ndarray:
+    """``align`` for many chains of one piece each: rows of (a first, a stop, b first, b stop, equal words), places within their texts.  Chain t is
+    over the words ``a_bounds[0][t]`` to ``a_bounds[1][t]`` of a and the like of b; y is a place of its part of b."""
+    out = np.zeros((len(x), 5), np.int64)
+    step = max(1, AT_ONCE // max(1, margin))
+    for i in range(0, len(x), step):
+        part = slice(i, i + step)
+        (af, az), (bf, bz) = ((v[0][part], v[1][part]) for v in (a_bounds, b_bounds))
+        p, q = af + x[part], bf + y[part]
+        left, equal = _grown(a, p - 1, b, q - 1, np.where(q <= bz, np.minimum(x[part], y[part]), 0), margin, -1) if margin and len(b) else (0 * p, 0 * p)
+        m = np.minimum(n[part], np.minimum(az - p, bz - q))
+        end = np.where(m > 0, m, -left)
+        for t in np.flatnonzero(m > 256).tolist():
+            equal[t] += (a[p[t]:p[t] + m[t]] == b[q[t]:q[t] + m[t]]).sum()
+        few = np.where(m > 256, 0, np.maximum(m, 0))
+        each = np.repeat(np.arange(len(m)), few)
+        k = np.arange(len(each)) - np.repeat(np.cumsum(few) - few, few)
+        equal = equal + np.bincount(each, a[p[each] + k] == b[q[each] + k], len(m)).astype(np.int64)
+        right, same = _grown(a, p + end, b, q + end, np.minimum(az - p - end, bz - q - end), margin, 1) if margin and len(b) else (0 * p, 0 * p)
+        out[part] = np.stack([x[part] - left, x[part] + end + right, y[part] - left, y[part] + end + right, equal + same], axis=1)
+    return out
+
+
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all 64-bit numbers of a binary column, where each row's begin and the last one's stop), uncopied."""
+    column = column.cast(pa.large_binary())
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int64)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    size = int(ends[-1] - ends[0])
+    return np.frombuffer(data, np.uint64, size // 8, int(ends[0])) if size else np.zeros(0, np.uint64), (ends - ends[0]) // 8
+
+
 def _texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """``id, text`` of the documents in ``ids``, after a slot table of fixed size has kept most others out."""
     slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS))
@@ -252,12 +359,7 @@ def _passages(rows: DataFrame, matches: DataFrame, k: int, min_words: int, ident
         starts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (match_ids[1:] != match_ids[:-1])][:len(ids)])
         pair, x, y, n = pieces_of_pairs(np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(ids)])), x, y, k, gap)
         ids, match_ids = ids[starts], match_ids[starts]
-        begin = np.searchsorted(pair, np.arange(len(starts) + 1))
-        alone = begin[:-1][np.diff(begin) == 1]  # pairs of one piece, which is their chain
-        out = []
-        for t in np.flatnonzero(np.diff(begin) > 1).tolist():
-            at = slice(begin[t], begin[t + 1])
-            out += [(t, c) for c in chains(list(zip(x[at].tolist(), y[at].tolist(), n[at].tolist())), gap)]
+        alone, out = chains_of_pairs(pair, x, y, n, gap)
         of = np.r_[pair[alone], np.array([t for t, _ in out], np.int64)]
         flat = np.r_[np.stack([x[alone], y[alone], n[alone]], axis=1).ravel(), np.array([v for _, c in out for p in c for v in p], np.int64)]
         ends = np.r_[0, np.cumsum(np.r_[np.full(len(alone), 3), np.array([3 * len(c) for _, c in out], np.int64)])]
@@ -275,13 +377,11 @@ def _passages(rows: DataFrame, matches: DataFrame, k: int, min_words: int, ident
     wanted = stored(wanted, "passage-wanted")
 
     def cut(batches):
-        hashes = WordHashes()
         for batch in batches:
-            for begin, texts in text_slices(batch.column(1)):
+            for begin, texts in text_slices(batch.column(1), SLICE):
                 ids, lists = batch.column(0).slice(begin, len(texts)).to_pylist(), batch.column(2).slice(begin, len(texts)).to_pylist()
                 out = []
-                for i, t, parts in zip(ids, texts, lists):
-                    words = hashes.of(t.lower().split())
+                for i, words, parts in zip(ids, hashed_words(texts), lists):
                     out += [(i, p["from"], p["to"], words[p["from"]:p["to"]].tobytes()) for p in parts]
                 yield pa.record_batch({"match_id": pa.array([o[0] for o in out], pa.int64()), "from": pa.array([o[1] for o in out], pa.int32()),
                                        "to": pa.array([o[2] for o in out], pa.int32()), "words": pa.array([o[3] for o in out], pa.binary())})
@@ -293,23 +393,35 @@ def _passages(rows: DataFrame, matches: DataFrame, k: int, min_words: int, ident
     per_doc = stored(per_doc, "passage-per-document")
 
     def aligned(batches):
-        hashes = WordHashes()
         for batch in batches:
-            for begin, texts in text_slices(batch.column(1)):
-                ids, lists = batch.column(0).slice(begin, len(texts)).to_pylist(), batch.column(2).slice(begin, len(texts)).to_pylist()
-                out = []
-                for i, t, every in zip(ids, texts, lists):
-                    a = hashes.of(t.lower().split())
-                    for c in every:
-                        flat = c["chain"]
-                        steps = list(zip(flat[::3], flat[1::3], flat[2::3]))
-                        if steps[-1][0] + steps[-1][2] > len(a):
-                            continue  # places of another text with the same id
-                        for p in accepted(a, np.frombuffer(c["words"], np.uint64), c["from"], steps, margin, min_words, identity):
-                            out.append((i, p[0], p[1], c["match_id"], p[2], p[3], p[4], p[4] / max(p[1] - p[0], p[3] - p[2])))
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
-                names = ("id", "first_word", "stop_word", "match_id", "match_first_word", "match_stop_word", "n_equal", "identity")
-                yield pa.record_batch({n: pa.array([o[c] for o in out], kind) for c, (n, kind) in enumerate(zip(names, kinds))})
+            for begin, texts in text_slices(batch.column(1), SLICE):
+                lists = batch.column(2).slice(begin, len(texts))
+                text = np.repeat(np.arange(len(texts)), pa.compute.list_value_length(lists).to_numpy())
+                match_id, since, chain, words = lists.flatten().flatten()
+                ids, match_id, since = batch.column(0).slice(begin, len(texts)).to_numpy()[text], match_id.to_numpy(), since.to_numpy().astype(np.int64)
+                ends, flat = chain.offsets.to_numpy(), chain.values.to_numpy().astype(np.int64)
+                a, bounds = joined_words(texts)
+                af, az = bounds[text], bounds[text + 1]
+                b, stops = _numbers(words)
+                ok = flat[ends[1:] - 3] + flat[ends[1:] - 1] <= az - af  # else places of another text with the same id
+                one = np.flatnonzero(ok & (np.diff(ends) == 3))
+                x, y, n = flat[ends[one]], flat[ends[one] + 1] - since[one], flat[ends[one] + 2]
+                got = aligned_pieces(a, (af[one], az[one]), b, (stops[one], stops[one + 1]), x, y, n, margin)
+                got[:, 2:4] += since[one, None]
+                long = np.minimum(got[:, 1] - got[:, 0], got[:, 3] - got[:, 2]) >= min_words
+                good = long & (got[:, 4] >= identity * np.maximum(got[:, 1] - got[:, 0], got[:, 3] - got[:, 2]))
+                of, rest = [one[good]], []
+                for t in np.flatnonzero(ok & (np.diff(ends) > 3)).tolist() + one[long & ~good].tolist():
+                    steps = list(zip(*(flat[ends[t] + c:ends[t + 1]:3].tolist() for c in range(3))))
+                    found = accepted(a[af[t]:az[t]], b[stops[t]:stops[t + 1]], int(since[t]), steps, margin, min_words, identity)
+                    of.append(np.full(len(found), t))
+                    rest += found
+                of = np.concatenate(of)
+                got = np.concatenate([got[good], np.array(rest, np.int64).reshape(-1, 5)])
+                whole = np.maximum(got[:, 1] - got[:, 0], got[:, 3] - got[:, 2])
+                yield pa.record_batch({"id": pa.array(ids[of], pa.int64()), "first_word": pa.array(got[:, 0], pa.int32()), "stop_word": pa.array(got[:, 1], pa.int32()),
+                                       "match_id": pa.array(match_id[of], pa.int64()), "match_first_word": pa.array(got[:, 2], pa.int32()),
+                                       "match_stop_word": pa.array(got[:, 3], pa.int32()), "n_equal": pa.array(got[:, 4], pa.int32()), "identity": pa.array(got[:, 4] / whole, pa.float64())})
 
     schema = "id bigint, first_word int, stop_word int, match_id bigint, match_first_word int, match_stop_word int, n_equal int, identity double"
     out = _texts_of(rows, per_doc).join(per_doc.hint("shuffle_hash"), "id").select("id", "text", "chains").mapInArrow(aligned, schema)
@@ -324,30 +436,33 @@ def _again(places: DataFrame, first: DataFrame, found: DataFrame, k: int, min_wo
 
     def keys(batches):
         for batch in batches:
-            out = []
-            for i, seeds, covered in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                seeds = sorted((p["at"], p["s"], p["hot"]) for p in seeds)
-                at, s, hot = (np.array(c) for c in zip(*seeds))
-                inside = np.zeros(int(at[-1]) + k + 2, np.int64)
-                for p in covered or ():
-                    if p["stop_word"] - p["first_word"] >= k and p["first_word"] <= at[-1]:
-                        inside[p["first_word"]] += 1
-                        inside[min(p["stop_word"] - k + 1, len(inside) - 1)] -= 1
-                asks = np.cumsum(inside)[at] == 0
-                out += [(i, a, a, 0, h, q) for a, h, q in zip(at[~hot].tolist(), s[~hot].tolist(), asks[~hot].tolist())]
-                breaks = np.r_[0, np.cumsum(np.diff(at) > gap + k)]
-                with np.errstate(over="ignore"):
-                    power, back = (np.cumprod(np.full(len(s), b, np.uint64)) for b in (MIX, np.uint64(pow(int(MIX), -1, 1 << 64))))
-                    mixed = s.astype(np.int64).view(np.uint64)
-                    sums = np.r_[np.uint64(0), np.cumsum((mixed ^ (mixed >> np.uint64(31))) * power)]
-                    for kind, span in ((1, k + 1), (2, min_words)):
-                        last = np.maximum(np.searchsorted(at, at + span - k), np.arange(len(at)) + 1)
-                        begin = np.flatnonzero(hot & (last < len(at)))
-                        begin = begin[breaks[last[begin]] == breaks[begin]]
-                        key = (sums[last[begin] + 1] - sums[begin]) * back[begin]  # the same wherever in the text
-                        out += [(i, a, z, kind, h, q) for a, z, h, q in zip(at[begin].tolist(), at[last[begin]].tolist(), signed(key).tolist(), asks[begin].tolist())]
-            yield pa.record_batch({n: pa.array([o[c] for o in out], kind) for c, (n, kind) in enumerate(
-                zip(("id", "a", "z", "kind", "key", "asks"), (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_())))})
+            ids, lists, parts = batch.column(0).to_numpy(), *(batch.column(c) for c in (1, 2))
+            a, s, hot = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+            text = np.repeat(np.arange(len(ids)), pa.compute.list_value_length(lists).to_numpy())
+            order = np.lexsort((hot, s, a, text))
+            a, s, hot, text = a[order].astype(np.int64), s[order], hot[order], text[order]
+            of = np.repeat(np.arange(len(ids)), pa.compute.fill_null(pa.compute.list_value_length(parts), 0).to_numpy())
+            since, until = (c.to_numpy().astype(np.int64) for c in parts.flatten().flatten())
+            whole = until - since >= k
+            wide = int(max(a.max(initial=0), until.max(initial=0))) + gap + k + min_words + 2
+            at = text * wide + a  # ascends over all texts
+            inside = np.searchsorted(np.sort((of * wide + since)[whole]), at, "right") - np.searchsorted(np.sort((of * wide + until - k + 1)[whole]), at, "right")
+            cold = np.flatnonzero(~hot)
+            asks, out = inside == 0, [(cold, cold, 0, s[cold])]
+            breaks = np.r_[0, np.cumsum((np.diff(a) > gap + k) | (np.diff(text) > 0))]
+            with np.errstate(over="ignore"):
+                power, back = (np.cumprod(np.full(len(s), b, np.uint64)) for b in (MIX, np.uint64(pow(int(MIX), -1, 1 << 64))))
+                mixed = s.astype(np.int64).view(np.uint64)
+                sums = np.r_[np.uint64(0), np.cumsum((mixed ^ (mixed >> np.uint64(31))) * power)]
+                for kind, span in ((1, k + 1), (2, min_words)):
+                    last = np.maximum(np.searchsorted(at, at + span - k), np.arange(len(at)) + 1)
+                    begin = np.flatnonzero(hot & (last < len(at)))
+                    begin = begin[breaks[last[begin]] == breaks[begin]]
+                    key = (sums[last[begin] + 1] - sums[begin]) * back[begin]  # the same wherever in the text
+                    out.append((begin, last[begin], kind, signed(key)))
+            for begin, last, kind, key in out:
+                yield pa.record_batch({"id": pa.array(ids[text[begin]], pa.int64()), "a": pa.array(a[begin], pa.int32()), "z": pa.array(a[last], pa.int32()),
+                                       "kind": pa.array(np.full(len(begin), kind), pa.int32()), "key": pa.array(key, pa.int64()), "asks": pa.array(asks[begin], pa.bool_())})
 
     got = stored(seeds.join(covered, "id", "left").select("id", "seeds", "covered")
                  .mapInArrow(keys, "id bigint, a int, z int, kind int, key bigint, asks boolean"), "passage-keys")
@@ -369,18 +484,15 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL")
 
     def seeds(batches):
-        hashes = WordHashes()
         for batch in batches:
-            for begin, texts in text_slices(batch.column(1)):
-                s, at, own = [], [], []
-                for t in texts:
-                    words = t.lower().split()
-                    found = minimizers(hashes.of(words), k, w) if len(words) >= min_words else ((), ())
-                    s.append(signed(found[0]) if len(found[0]) else [])
-                    at.append(found[1])
-                    own.append(own_places(*found, min_words) if len(found[0]) else [])
-                yield pa.record_batch({"id": batch.column(0).slice(begin, len(texts)), "s": pa.array(s, pa.list_(pa.int64())), "at": pa.array(at, pa.list_(pa.int32())),
-                                       "own": pa.array(own, pa.list_(pa.int32()))})
+            for begin, texts in text_slices(batch.column(1), SLICE):
+                hashes, bounds = xxh_words(texts)
+                text, s, at = minimizers_of_texts(hashes, bounds, k, w)
+                enough = (np.diff(bounds) >= min_words)[text]
+                text, s, at = text[enough], s[enough], at[enough]
+                ends = pa.array(np.searchsorted(text, np.arange(len(texts) + 1)), pa.int32())
+                columns = {"s": pa.array(signed(s), pa.int64()), "at": pa.array(at, pa.int32()), "own": pa.array(own_places(s, at, min_words, text), pa.int32())}
+                yield pa.record_batch({"id": batch.column(0).slice(begin, len(texts)), **{c: pa.ListArray.from_arrays(ends, v) for c, v in columns.items()}})
 
     found = stored(rows.mapInArrow(seeds, "id bigint, s array<bigint>, at array<int>, own array<int>").filter("size(s) > 0"), "passage-seeds")
     shared = stored(found.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("s"), "passage-shared")
