@@ -10,11 +10,17 @@ from __future__ import annotations
 
 import hashlib
 import math
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# ``permuted_numbers`` goes to executors by value, so these need no copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PRIME = 2_147_483_647
 ROUNDS = 4
 #: Walks of more steps than this do not occur: the chance of one is below n^(-WALK / 2).
@@ -61,6 +67,14 @@ def permuted_number(x: int, n: int, keys: Sequence[tuple[int, int]]) -> int:
     return x
 
 
+def permuted_numbers(x: np.ndarray, n: int, keys: Sequence[tuple[int, int]]) -> np.ndarray:
+    """Where whole numbers of 0..n-1 go, a batch at a time."""
+    x = _network(x.astype(np.int64), n, keys)
+    while len(out := np.nonzero(x >= n)[0]):
+        x[out] = _network(x[out], n, keys)
+    return x
+
+
 def permuted_index(index: Column, n: int, repeat: Column, lines: list[list[tuple[int, int]]]) -> Column:
     """Where ``index`` (0..n-1) goes in the permutation of ``repeat``."""
     pick = lambda values: F.element_at(F.lit(values), (repeat + 1).cast("int")).cast("bigint")
