@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -67,11 +68,18 @@ def _typed_fills(df: DataFrame, fills: dict) -> dict:
 
 
 def _persisted(df: DataFrame) -> DataFrame:
-    """Cut lineage before several passes: a reliable checkpoint in the
-    cluster's shared checkpoint folder (survives executor loss)."""
-    from cohortkit.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage before several passes: rows written to the cluster's shared checkpoint folder (they survive executor
+    loss) by column and compressed, which takes a fraction of a checkpoint's disk, and each pass reads its columns alone.
+    The folder is deleted when the session ends.  Rows that Parquet can't hold go to a reliable checkpoint."""
+    spark = df.sparkSession
+    folder = checkpoint_dir(spark)
+    if len({c.lower() for c in df.columns}) < len(df.columns) or any(t in kind for _, kind in df.dtypes for t in ("void", "interval", "variant")):
+        return df.checkpoint(eager=True)
+    path = f"{folder.rstrip('/')}/kept-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def with_nulls(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -116,7 +124,9 @@ def handle_missing(df: DataFrame, numeric_strategy: str = "median", fill_value:
     num = columns_of_kind(df, "numeric", exclude)
     txt = columns_of_kind(df, "string", exclude)
     if numeric_strategy == "median":
-        fills = median_values(df, with_nulls(df, num))
+        gaps = with_nulls(df, num)
+        # A selection passes over the rows several times: only these columns are kept for it, and ``df`` is not made again.
+        fills = median_values(_persisted(df.select(*gaps)), gaps) if gaps else {}
     elif numeric_strategy == "mean":
         row = df.agg(*[F.avg(c).alias(c) for c in num]).first() if num else None
         fills = {c: row[c] for c in num} if row else {}
